@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference job is a daily batch over snapshot tables; it has no stream,
+watermark, window-over-time or state.  Adding any would be an operator the
+reference does not have, so none is built here.
+"""
