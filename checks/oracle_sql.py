@@ -328,3 +328,5 @@ ORACLE: dict[str, str] = {
 ORACLE["pdv_normalised_window"] = ORACLE["pdv_normalised"]
 ORACLE["revenue_matrix_two_step"] = ORACLE["revenue_matrix"]
 ORACLE["exit_ranks_window"] = ORACLE["exit_ranks"]
+ORACLE["exit_ranks_sorted"] = ORACLE["exit_ranks"]
+ORACLE["pdv_normalised_sorted"] = ORACLE["pdv_normalised"]

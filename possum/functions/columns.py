@@ -49,8 +49,11 @@ def date_text_to_int(c: str | Column) -> Column:
     One rule for both places the job reads these dates.  Malformed text also
     becomes 0 instead of failing the run; ``count_malformed_dates`` reports it.
     """
-    digits = F.replace(F.substring(_c(c).cast("string"), 1, 10), F.lit("-"), F.lit(""))
-    return F.coalesce(digits.try_cast("int"), F.lit(K.NO_DATE))
+    text = _c(c).cast("string")
+    digits = F.replace(F.substring(text, 1, 10), F.lit("-"), F.lit(""))
+    # The blank test is only a shortcut: try_cast fails slowly on blank text.
+    return (F.when(F.trim(text) == "", F.lit(K.NO_DATE))
+            .otherwise(F.coalesce(digits.try_cast("int"), F.lit(K.NO_DATE))))
 
 
 def account_key(branch: str | Column = "numero_agencia",

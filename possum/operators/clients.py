@@ -18,7 +18,7 @@ from ..functions.columns import account_key
 from ..functions.rules import (entry_or_exit, event_date, is_active, journey_label,
                                journey_override, opening_date)
 from ..sources.scans import scan_snapshot
-from .ordering import ordinal
+from .ordering import DEFAULT_MAX_GROUP_ROWS, ordinal
 
 # Above this many listed accounts the exclusion becomes a join against a
 # DataFrame built from the list (its size is the list's, known on the driver).
@@ -86,7 +86,8 @@ def exit_history(cli: DataFrame, exits: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def exit_ranks(history: DataFrame, method: str = "sorted") -> DataFrame:
+def exit_ranks(history: DataFrame, method: str = "auto",
+               max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Ordinal of each event within (account, entry-or-exit side), oldest first.
 
     NULL dates sort last.  The history is distinct over all its columns, so
@@ -96,7 +97,8 @@ def exit_ranks(history: DataFrame, method: str = "sorted") -> DataFrame:
     order = [F.col(c).asc_nulls_last() for c in (
         "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "canal",
         "numero_cnpj_completo", "numero_unico_cliente")]
-    return (ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method)
+    return (ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method,
+                    max_group_rows=max_group_rows)
             .drop("_side"))
 
 
@@ -165,7 +167,7 @@ def client_accounts(adjusted: DataFrame, open_end: dt.date = K.OPEN_END) -> Data
 
 def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[str] = (),
                          to_outros: Sequence[str] = (), to_onboarding: Sequence[str] = (),
-                         open_end: dt.date = K.OPEN_END, method: str = "sorted") -> DataFrame:
+                         open_end: dt.date = K.OPEN_END, method: str = "auto") -> DataFrame:
     """The whole chain from the raw client table."""
     exits = exit_accounts(cli, excluded)
     ranks = exit_ranks(exit_history(cli, exits), method=method)

@@ -1,16 +1,21 @@
 """Order-based operators that stay correct and parallel under key skew.
 
-``latest_per_key`` keeps the greatest row of each key with an aggregate
-(``max_by``), so the work is combined map-side and a key holding a third of
-all rows never lands whole in one task.
-
-``ordinal`` numbers the rows of each group (``row_number``).  ``method="window"``
-is the plain window: one hash exchange on the group key, so one task sorts a
-whole group.  ``method="sorted"`` (default) is skew-safe: a global range sort
-spreads a hot group over many partitions, each row gets a position inside its
-partition, and a small per-(group, partition) count table turns positions into
-ordinals.  The sorted rows are checkpointed once so both uses read the same
-positions, also after a lost executor.
+``latest_per_key`` keeps the greatest row of each key with an aggregate, so
+rows are combined map-side and a key holding a third of all rows never
+lands whole in one task.
+
+``ordinal`` numbers the rows of each group (``row_number``):
+
+* ``method="window"``: the plain window, one hash exchange on the group key;
+  one task sorts a whole group.
+* ``method="sorted"``: a global range sort spreads even a single huge group
+  over many partitions; each row gets its position inside its partition,
+  and a small per-(group, partition) count table turns positions into
+  ordinals.  Two large exchanges instead of one.
+* ``method="auto"`` (default): split by group size.  Groups above
+  ``max_group_rows`` are found with a map-side-combined count; there are at
+  most ``rows / max_group_rows`` of them, a proven bound, so that key set is
+  broadcast.  Their rows take the sorted path, all other rows the window.
 """
 
 from __future__ import annotations
@@ -20,62 +25,93 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.session import checkpoint_dir
-
 _POS_BITS = 33   # monotonically_increasing_id = partition index << 33 | row position
 
+# A group up to this size is sorted by one task (a few seconds of work);
+# larger ones are spread over many.
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    values: Sequence[str], extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """One row per ``keys``: the ``values`` of the row with the greatest ``order``.
 
-    ``order`` is compared left to right (NULL lowest), so it acts as
-    ``ORDER BY order DESC NULLS LAST`` and ``row_number() = 1``.  Give a total
-    order: ties pick any of the tied rows, as the window would.
+    ``order`` is compared left to right with NULL lowest, i.e.
+    ``ORDER BY order DESC NULLS LAST`` then ``row_number() = 1``.  Exact ties
+    on ``order`` resolve to the greatest ``values``, so the pick is
+    reproducible.  ``max`` of one struct keeps a single aggregation buffer.
     """
-    ordering = F.struct(*[F.col(c) for c in order])
-    payload = F.struct(*[F.col(c) for c in values])
-    picked = (df.groupBy(*keys)
-                .agg(F.max_by(payload, ordering).alias("_latest"), *extra_aggs))
+    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                      *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
+    picked = df.groupBy(*keys).agg(F.max(packed).alias("_latest"), *extra_aggs)
     rest = [c for c in picked.columns if c not in set(keys) | {"_latest"}]
-    return picked.select(*keys, *[F.col(f"_latest.{v}").alias(v) for v in values], *rest)
+    return picked.select(*keys, *[F.col(f"_latest.v{i}").alias(v) for i, v in enumerate(values)],
+                         *rest)
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
-            method: str = "sorted") -> DataFrame:
-    """Add ``name`` = ``row_number() OVER (PARTITION BY keys ORDER BY order)``.
+            method: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+    """Add ``name`` = ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as int.
 
-    ``order`` must be a total order within each group (as for any
-    reproducible ``row_number``).
+    ``order`` must be a total order within each group, as for any
+    reproducible ``row_number``.
     """
+    keys = list(keys)
+    order = list(order)
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w))
-    if method != "sorted":
+        return _ordinal_window(df, keys, order, name)
+    if method == "sorted":
+        return _ordinal_sorted(df, keys, order, name)
+    if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    return _ordinal_sorted(df, list(keys), list(order), name)
+    gnames = [f"_g{i}" for i in range(len(keys))]
+    hot_keys = (df.groupBy(*[F.col(k).alias(g) for k, g in zip(keys, gnames)])
+                  .agg(F.count(F.lit(1)).alias("_size"))
+                  .where(F.col("_size") > F.lit(max_group_rows))
+                  .select(*gnames, F.lit(True).alias("_hot")))
+    # At most count(df) / max_group_rows rows: safe to broadcast.
+    tagged = df.join(F.broadcast(hot_keys),
+                     [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, gnames)], "left")
+    cold = tagged.where(F.col("_hot").isNull()).select(*df.columns)
+    hot = tagged.where(F.col("_hot")).select(*df.columns)
+    return (_ordinal_window(cold, keys, order, name)
+            .unionByName(_ordinal_sorted(hot, keys, order, name)))
+
+
+def _ordinal_window(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w))
 
 
 def _ordinal_sorted(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     cols = df.columns
-    # Range partitioning samples the full sort key, so a hot group is cut
-    # into many partitions; the ids follow the sorted order.
+    # Range partitioning samples the whole sort key, so a hot group is cut
+    # into many partitions; the ids follow the sorted order.  The group is
+    # carried as one struct column: never NULL, and equal for equal keys
+    # (NULL fields included), so one column serves window, count and join.
     positioned = (df.orderBy(*[F.col(k).asc_nulls_first() for k in keys], *order)
                     .withColumn("_oid", F.monotonically_increasing_id())
-                    .checkpoint(eager=True))
-    part = F.shiftright(F.col("_oid"), _POS_BITS)
-    renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    knames = [f"_k{i}" for i in range(len(keys))]
-    counts = (positioned.groupBy(*renamed, part.alias("_part"))
-                        .agg(F.min("_oid").alias("_first"), F.count(F.lit(1)).alias("_n")))
+                    .withColumn("_part", F.shiftright(F.col("_oid"), _POS_BITS))
+                    .withColumn("_key", F.struct(*keys)))
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Both branches below must read ONE range shuffle (a second one would
+        # sample its own bounds); without exchange reuse, materialise it.
+        from ..plans.session import checkpoint_dir
+        checkpoint_dir(spark)
+        positioned = positioned.checkpoint(eager=True)
+    counts = (positioned.groupBy(F.col("_key").alias("_gkey"), F.col("_part").alias("_gpart"))
+                        .agg(F.count(F.lit(1)).alias("_n")))
     # Rows of the same group in earlier partitions.  One row per
     # (group, partition): a group spans at most every partition.
-    before = Window.partitionBy(*knames).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*knames, "_part", "_first",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    cond = [F.col(k).eqNullSafe(F.col(kn)) for k, kn in zip(keys, knames)]
-    cond.append(part == F.col("_part"))
-    joined = positioned.join(offsets, cond, "inner")
-    rn = (F.col("_before") + F.col("_oid") - F.col("_first") + 1).cast("int")
-    return joined.select(*cols, rn.alias(name))
+    earlier = (Window.partitionBy("_gkey").orderBy("_gpart")
+                     .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_gkey", "_gpart",
+                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # Position inside the partition: the exchange is on (group, partition),
+    # so a hot group still spreads over as many tasks as it has partitions.
+    local = positioned.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_key", "_part").orderBy("_oid")))
+    joined = local.join(offsets, (F.col("_key") == F.col("_gkey"))
+                        & (F.col("_part") == F.col("_gpart")), "inner")
+    return joined.select(*cols, (F.col("_before") + F.col("_local")).cast("int").alias(name))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_text_to_int, snapshot_int, tax_id14, tax_id_base
 from ..sources.scans import scan_upto
-from .ordering import latest_per_key, ordinal
+from .ordering import DEFAULT_MAX_GROUP_ROWS, latest_per_key, ordinal
 
 HISTORY_COLUMNS = [
     "num_pdv", "cnpj14", "cnpjbas", "cod_cnae", "num_cad_grl_ctri_estb", "cod_mot_can",
@@ -59,33 +59,57 @@ def _latest_order(tie_break: Sequence[str]) -> list[Column]:
     return [F.col("dat_updt").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
 
 
-def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (),
-                   method: str = "sorted") -> DataFrame:
+def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str = "auto",
+                   max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Every history row with its point of sale's latest cancellation and
     reactivation days, and ``index_num`` = 1 for the most recent snapshot.
 
     The reference joins the history to its own per-key aggregate; the per-key
-    maximum is the same thing.  ``method="window"``: one exchange, windows on
-    ``num_pdv``.  ``method="sorted"``: the maxima come from a partial
-    aggregate joined back (AQE splits a hot key in that join) and the index
+    maximum over a window is the same thing with one exchange instead of two.
+
+    ``method="window"``: windows on ``num_pdv``, one exchange.
+    ``method="sorted"``: maxima from a partial aggregate joined back, index
     from the skew-safe ordinal.
+    ``method="auto"``: one partial aggregate finds the points of sale with
+    more than ``max_group_rows`` rows together with their maxima (at most
+    rows / max_group_rows of them, so broadcast); those rows take the
+    skew-safe ordinal, all others the window.
     """
     h = hist.where(F.col("num_pdv").isNotNull())
+    order = _latest_order(tie_break)
     if method == "window":
-        by_pdv = Window.partitionBy("num_pdv")
-        out = (h.withColumn("dat_can_pdv", F.max("dat_can_pdv").over(by_pdv))
-                .withColumn("dat_rtvc_pdv", F.max("dat_rtvc_pdv").over(by_pdv))
-                .withColumn("index_num", F.row_number().over(
-                    by_pdv.orderBy(*_latest_order(tie_break)))))
-        return out.select(*NORMALISED_COLUMNS)
-    status = h.groupBy(F.col("num_pdv").alias("_pdv")).agg(
-        F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
-    joined = (h.join(status, F.col("num_pdv") == F.col("_pdv"))
-               .withColumn("dat_can_pdv", F.col("_can"))
-               .withColumn("dat_rtvc_pdv", F.col("_rtvc"))
-               .drop("_pdv", "_can", "_rtvc"))
-    ranked = ordinal(joined, ["num_pdv"], _latest_order(tie_break), "index_num", method="sorted")
-    return ranked.select(*NORMALISED_COLUMNS)
+        return _normalised_window(h, order)
+    if method == "sorted":
+        status = h.groupBy(F.col("num_pdv").alias("_g")).agg(
+            F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
+        joined = _take_maxima(h.join(status, F.col("num_pdv") == F.col("_g")))
+        return ordinal(joined, ["num_pdv"], order, "index_num", "sorted").select(*NORMALISED_COLUMNS)
+    if method != "auto":
+        raise ValueError(f"unknown method {method!r}")
+    hot = (h.groupBy(F.col("num_pdv").alias("_g"))
+            .agg(F.count(F.lit(1)).alias("_size"),
+                 F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
+            .where(F.col("_size") > F.lit(max_group_rows))
+            .drop("_size"))
+    tagged = h.join(F.broadcast(hot), F.col("num_pdv") == F.col("_g"), "left")
+    cold = _normalised_window(tagged.where(F.col("_g").isNull()).select(*h.columns), order)
+    spread = ordinal(_take_maxima(tagged.where(F.col("_g").isNotNull())), ["num_pdv"], order,
+                     "index_num", "sorted")
+    return cold.unionByName(spread.select(*NORMALISED_COLUMNS))
+
+
+def _take_maxima(joined: DataFrame) -> DataFrame:
+    return (joined.withColumn("dat_can_pdv", F.col("_can"))
+                  .withColumn("dat_rtvc_pdv", F.col("_rtvc"))
+                  .drop("_g", "_can", "_rtvc"))
+
+
+def _normalised_window(h: DataFrame, order: list[Column]) -> DataFrame:
+    by_pdv = Window.partitionBy("num_pdv")
+    out = (h.withColumn("dat_can_pdv", F.max("dat_can_pdv").over(by_pdv))
+            .withColumn("dat_rtvc_pdv", F.max("dat_rtvc_pdv").over(by_pdv))
+            .withColumn("index_num", F.row_number().over(by_pdv.orderBy(*order))))
+    return out.select(*NORMALISED_COLUMNS)
 
 
 def latest_pdv(hist: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -25,7 +25,7 @@ class Results:
 
 
 def transform(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
-              method: str = "sorted") -> Results:
+              method: str = "auto") -> Results:
     """Build the result plans; nothing runs until an action."""
     hist = pdv_history(s_pdv, params.execute_date, keep=params.pdv_tie_break)
     latest = latest_pdv(hist, params.pdv_tie_break)

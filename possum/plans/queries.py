@@ -60,7 +60,7 @@ class _Job:
     """The relations of one run over one scale-factor folder, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: RunParams = fixtures.FIXTURE_PARAMS,
-                 method: str = "sorted"):
+                 method: str = "auto"):
         self.p = p
         self.method = method
         self.inp = fixtures.load_inputs(spark, sf_dir)
@@ -109,7 +109,7 @@ class _Job:
         return FL.pdv_emps(self.latest_pdv(), self.accounts(), self.estab(), self.p.cancel_floor)
 
 
-def _q(build: Callable[[_Job], DataFrame], method: str = "sorted") -> Query:
+def _q(build: Callable[[_Job], DataFrame], method: str = "auto") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return for_compare(build(_Job(spark, sf_dir, method=method)))
     return run
@@ -130,7 +130,8 @@ QUERIES: dict[str, Query] = {
     # point of sale
     "pdv_history": _q(lambda j: j.history(keep=())),
     "pdv_status": _q(lambda j: P.pdv_status(j.inp.s_pdv, j.p.execute_date)),
-    "pdv_normalised": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "sorted")),
+    "pdv_normalised": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "auto")),
+    "pdv_normalised_sorted": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "sorted")),
     "pdv_normalised_window": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "window")),
     "latest_pdv": _q(lambda j: j.latest_pdv()),
     # establishment
@@ -145,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "exit_history": _q(lambda j: j.history_exits()),
     "exit_ranks": _q(lambda j: j.ranks()),
     "exit_ranks_window": _q(lambda j: j.ranks(), method="window"),
+    "exit_ranks_sorted": _q(lambda j: j.ranks(), method="sorted"),
     "never_left_accounts": _q(lambda j: j.never_left()),
     "account_lifecycle": _q(lambda j: j.lifecycle()),
     "journey_adjusted": _q(lambda j: j.adjusted()),
