@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -118,17 +118,16 @@ def account_lifecycle(ranks: DataFrame, never_left: DataFrame) -> DataFrame:
     alone, with no date test), then add the never-left accounts.
 
     An entry without a same-ordinal exit stays open.  A NULL channel is
-    neither an entry nor an exit here.  The join key includes the ordinal,
-    so even a hot account spreads over many join keys.
+    neither an entry nor an exit here.  The reference states the pairing as
+    a left self-join on (account, ordinal); an (account, ordinal) holds at
+    most one entry and one exit, so a window over that key gives the same
+    rows with one exchange instead of two, in groups of at most two rows
+    even for a hot account.
     """
-    entries = ranks.where(F.col("canal") != K.CHANNEL_RESSEG_OUT).alias("i")
-    exits = ranks.where(F.col("canal") == K.CHANNEL_RESSEG_OUT).select(
-        F.col("agencia_conta").alias("_acct"), F.col("rank_cli").alias("_rank"),
-        F.col("data_aceite_ressegmentacao").alias("_closed"))
-    paired = entries.join(
-        exits, (F.col("agencia_conta") == F.col("_acct")) & (F.col("rank_cli") == F.col("_rank")),
-        "left",
-    ).select(
+    pair = Window.partitionBy("agencia_conta", "rank_cli")
+    is_exit = F.col("canal") == K.CHANNEL_RESSEG_OUT
+    closed = F.max(F.when(is_exit, F.col("data_aceite_ressegmentacao"))).over(pair)
+    paired = ranks.withColumn("_closed", closed).where(F.col("canal") != K.CHANNEL_RESSEG_OUT).select(
         "numero_cnpj_completo", "numero_unico_cliente", "agencia_conta", "canal",
         F.col("data_aceite_ressegmentacao").cast("date").alias("data_aceite_ressegmentacao"),
         F.col("data_inicio_relacionamento_bancario").cast("date")

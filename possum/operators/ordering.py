@@ -65,15 +65,17 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: s
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
     gnames = [f"_g{i}" for i in range(len(keys))]
-    hot_keys = (df.groupBy(*[F.col(k).alias(g) for k, g in zip(keys, gnames)])
-                  .agg(F.count(F.lit(1)).alias("_size"))
-                  .where(F.col("_size") > F.lit(max_group_rows))
-                  .select(*gnames, F.lit(True).alias("_hot")))
-    # At most count(df) / max_group_rows rows: safe to broadcast.
-    tagged = df.join(F.broadcast(hot_keys),
-                     [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, gnames)], "left")
-    cold = tagged.where(F.col("_hot").isNull()).select(*df.columns)
-    hot = tagged.where(F.col("_hot")).select(*df.columns)
+    hot_keys = F.broadcast(
+        df.groupBy(*[F.col(k).alias(g) for k, g in zip(keys, gnames)])
+          .agg(F.count(F.lit(1)).alias("_size"))
+          .where(F.col("_size") > F.lit(max_group_rows))
+          .select(*gnames))
+    # hot_keys has at most count(df) / max_group_rows rows, a proven bound.
+    # Anti and inner joins (not one outer join and a filter) let AQE drop
+    # the whole sorted branch at run time when there is no hot key.
+    cond = [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, gnames)]
+    cold = df.join(hot_keys, cond, "left_anti")
+    hot = df.join(hot_keys, cond, "inner").select(*df.columns)
     return (_ordinal_window(cold, keys, order, name)
             .unionByName(_ordinal_sorted(hot, keys, order, name)))
 

@@ -86,15 +86,16 @@ def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str =
         return ordinal(joined, ["num_pdv"], order, "index_num", "sorted").select(*NORMALISED_COLUMNS)
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    hot = (h.groupBy(F.col("num_pdv").alias("_g"))
-            .agg(F.count(F.lit(1)).alias("_size"),
-                 F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
-            .where(F.col("_size") > F.lit(max_group_rows))
-            .drop("_size"))
-    tagged = h.join(F.broadcast(hot), F.col("num_pdv") == F.col("_g"), "left")
-    cold = _normalised_window(tagged.where(F.col("_g").isNull()).select(*h.columns), order)
-    spread = ordinal(_take_maxima(tagged.where(F.col("_g").isNotNull())), ["num_pdv"], order,
-                     "index_num", "sorted")
+    hot = F.broadcast(
+        h.groupBy(F.col("num_pdv").alias("_g"))
+         .agg(F.count(F.lit(1)).alias("_size"),
+              F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
+         .where(F.col("_size") > F.lit(max_group_rows))
+         .drop("_size"))
+    # Anti and inner joins let AQE drop the sorted branch when nothing is hot.
+    cold = _normalised_window(h.join(hot, F.col("num_pdv") == F.col("_g"), "left_anti"), order)
+    spread = ordinal(_take_maxima(h.join(hot, F.col("num_pdv") == F.col("_g"), "inner")),
+                     ["num_pdv"], order, "index_num", "sorted")
     return cold.unionByName(spread.select(*NORMALISED_COLUMNS))
 
 

@@ -15,6 +15,12 @@ RECOMMENDED_CONF = {
     # downstream (the flagship chains two joins on the same key).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Broadcast only what was measured: no broadcast from static estimates
+    # (a file-size estimate is no bound on decompressed rows); AQE converts a
+    # join to broadcast once the side's stage has run and its size is known.
+    # Explicit broadcast() hints remain for sets bounded by construction.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
 

@@ -15,8 +15,10 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
+    from possum.plans.session import apply_recommended
+
     scratch = tempfile.mkdtemp(prefix="possum-tests-")
-    s = (SparkSession.builder.master("local[4]").appName("possum-tests")
+    s = (apply_recommended(SparkSession.builder).master("local[4]").appName("possum-tests")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
