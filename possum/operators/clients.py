@@ -18,6 +18,7 @@ from ..functions.columns import account_key
 from ..functions.rules import (entry_or_exit, event_date, is_active, journey_label,
                                journey_override, opening_date)
 from ..sources.scans import scan_snapshot
+from .joins import maybe_broadcast, measured_side
 from .ordering import DEFAULT_MAX_GROUP_ROWS, ordinal
 
 # Above this many listed accounts the exclusion becomes a join against a
@@ -70,13 +71,14 @@ def exit_accounts(cli: DataFrame, excluded: Sequence[str]) -> DataFrame:
     return exclude_accounts(exits.select("agencia_conta"), excluded).distinct()
 
 
-def exit_history(cli: DataFrame, exits: DataFrame) -> DataFrame:
+def exit_history(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
     """Distinct events, over all snapshots, of the accounts in ``exits``.
 
-    The semi-join runs before the de-duplication, so only the leaving
-    accounts' rows are shuffled.
+    ``small`` (a measured size, see ``measured_side``) broadcasts the exit
+    accounts: the semi-join then filters the raw rows map-side and the
+    distinct combines before its exchange; otherwise a shuffle semi-join.
     """
-    rows = with_account_key(cli).join(exits, "agencia_conta", "left_semi")
+    rows = with_account_key(cli).join(maybe_broadcast(exits, small), "agencia_conta", "left_semi")
     return rows.select(
         F.col("cnpj").alias("numero_cnpj_completo"),
         F.col("id_cnpj_eq3").alias("numero_unico_cliente"),
@@ -102,9 +104,9 @@ def exit_ranks(history: DataFrame, method: str = "auto",
             .drop("_side"))
 
 
-def never_left_accounts(snapshot: DataFrame, exits: DataFrame) -> DataFrame:
+def never_left_accounts(snapshot: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
     """Run-day accounts that never had an exit, with their own closing date."""
-    return snapshot.join(exits, "agencia_conta", "left_anti").select(
+    return snapshot.join(maybe_broadcast(exits, small), "agencia_conta", "left_anti").select(
         "numero_cnpj_completo", "numero_unico_cliente", "agencia_conta", "canal",
         F.col("data_aceite_ressegmentacao").cast("date").alias("data_aceite_ressegmentacao"),
         F.col("data_inicio_relacionamento_bancario").cast("date")
@@ -167,9 +169,13 @@ def client_accounts(adjusted: DataFrame, open_end: dt.date = K.OPEN_END) -> Data
 def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[str] = (),
                          to_outros: Sequence[str] = (), to_onboarding: Sequence[str] = (),
                          open_end: dt.date = K.OPEN_END, method: str = "auto") -> DataFrame:
-    """The whole chain from the raw client table."""
-    exits = exit_accounts(cli, excluded)
-    ranks = exit_ranks(exit_history(cli, exits), method=method)
+    """The whole chain from the raw client table.
+
+    The exit accounts are materialised once and measured, then broadcast
+    to both the semi- and the anti-join when small enough.
+    """
+    exits, small = measured_side(exit_accounts(cli, excluded))
+    ranks = exit_ranks(exit_history(cli, exits, small), method=method)
     lifecycle = account_lifecycle(ranks, never_left_accounts(
-        client_snapshot(cli, execute_date, excluded), exits))
+        client_snapshot(cli, execute_date, excluded), exits, small))
     return client_accounts(journey_adjusted(lifecycle, to_outros, to_onboarding), open_end)

@@ -18,6 +18,7 @@ from ..operators import flagship as FL
 from ..operators import pdv as P
 from ..operators import revenue as R
 from ..operators.estab import latest_estab
+from ..operators.joins import measured_side
 from ..params import RunParams
 from ..sources import fixtures
 from ..sources.scans import extract, scan_since, scan_snapshot, scan_upto
@@ -64,6 +65,7 @@ class _Job:
         self.p = p
         self.method = method
         self.inp = fixtures.load_inputs(spark, sf_dir)
+        self._exits = None
 
     # point of sale
     def history(self, keep=None):
@@ -80,17 +82,22 @@ class _Job:
     def exits(self):
         return C.exit_accounts(self.inp.cli, self.p.excluded_accounts)
 
+    def measured_exits(self):
+        if self._exits is None:
+            self._exits = measured_side(self.exits())
+        return self._exits
+
     def snapshot(self):
         return C.client_snapshot(self.inp.cli, self.p.execute_date, self.p.excluded_accounts)
 
     def history_exits(self):
-        return C.exit_history(self.inp.cli, self.exits())
+        return C.exit_history(self.inp.cli, *self.measured_exits())
 
     def ranks(self):
         return C.exit_ranks(self.history_exits(), method=self.method)
 
     def never_left(self):
-        return C.never_left_accounts(self.snapshot(), self.exits())
+        return C.never_left_accounts(self.snapshot(), *self.measured_exits())
 
     def lifecycle(self):
         return C.account_lifecycle(self.ranks(), self.never_left())

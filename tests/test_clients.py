@@ -104,3 +104,17 @@ def test_large_exclusion_list_uses_join(cli):
     many = tuple(f"x{i:03d}_{i:07d}" for i in range(20_000)) + EXCLUDED
     a = sorted(r.agencia_conta for r in C.client_snapshot(cli, D, many).collect())
     assert a == ["0001_0000001", "0002_0000002", "0003_0000003", "0006_0000006", "0007_0000007"]
+
+
+def test_measured_exit_set_both_ways(cli):
+    from possum.operators.joins import measured_side
+
+    exits, small = measured_side(C.exit_accounts(cli, EXCLUDED))
+    assert small
+    _, tiny = measured_side(C.exit_accounts(cli, EXCLUDED), max_rows=1)
+    assert not tiny
+    as_broadcast = C.exit_history(cli, exits, small=True)
+    as_shuffle = C.exit_history(cli, exits, small=False)
+    assert sorted(map(repr, as_broadcast.collect())) == sorted(map(repr, as_shuffle.collect()))
+    plan = as_broadcast._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
