@@ -17,7 +17,7 @@ from .. import constants as K
 from ..functions.columns import account_key
 from ..functions.rules import (entry_or_exit, event_date, is_active, journey_label,
                                journey_override, opening_date)
-from ..sources.scans import scan_snapshot
+from ..sources.scans import scan_since, scan_snapshot
 from .joins import maybe_broadcast, measured_side
 from .ordering import DEFAULT_MAX_GROUP_ROWS, ordinal
 
@@ -168,12 +168,18 @@ def client_accounts(adjusted: DataFrame, open_end: dt.date = K.OPEN_END) -> Data
 
 def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[str] = (),
                          to_outros: Sequence[str] = (), to_onboarding: Sequence[str] = (),
-                         open_end: dt.date = K.OPEN_END, method: str = "auto") -> DataFrame:
+                         open_end: dt.date = K.OPEN_END, method: str = "auto",
+                         client_floor: int | None = None) -> DataFrame:
     """The whole chain from the raw client table.
 
-    The exit accounts are materialised once and measured, then broadcast
-    to both the semi- and the anti-join when small enough.
+    ``client_floor`` optionally limits every client read to snapshots on or
+    after that day (a partition filter); by default all snapshots are read,
+    as the exit history needs them.  The exit accounts are materialised once
+    and measured, then broadcast to both the semi- and the anti-join when
+    small enough.
     """
+    if client_floor is not None:
+        cli = scan_since(cli, client_floor)
     exits, small = measured_side(exit_accounts(cli, excluded))
     ranks = exit_ranks(exit_history(cli, exits, small), method=method)
     lifecycle = account_lifecycle(ranks, never_left_accounts(

@@ -25,14 +25,18 @@ class Results:
 
 
 def transform(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
-              method: str = "auto") -> Results:
-    """Build the result plans; nothing runs until an action."""
+              method: str = "auto", client_floor: int | None = None) -> Results:
+    """Build the result plans; only the exit-account measurement runs a job.
+
+    ``client_floor`` (e.g. ``params.client_floor``) limits the client table
+    to recent snapshots; by default every snapshot is read.
+    """
     hist = pdv_history(s_pdv, params.execute_date, keep=params.pdv_tie_break)
     latest = latest_pdv(hist, params.pdv_tie_break)
     estab = latest_estab(s_estb, params.estab_tie_break)
     accounts = client_accounts_from(
         cli, params.execute_date, params.excluded_accounts, params.journey_to_outros,
-        params.journey_to_onboarding, params.open_end, method=method)
+        params.journey_to_onboarding, params.open_end, method=method, client_floor=client_floor)
     return Results(pdv_emps(latest, accounts, estab, params.cancel_floor), accounts, estab)
 
 

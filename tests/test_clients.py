@@ -118,3 +118,16 @@ def test_measured_exit_set_both_ways(cli):
     assert sorted(map(repr, as_broadcast.collect())) == sorted(map(repr, as_shuffle.collect()))
     plan = as_broadcast._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_client_floor_limits_the_reads(cli):
+    full = C.client_accounts_from(cli, D, EXCLUDED, TO_OUTROS, TO_ONBOARDING)
+    floored = C.client_accounts_from(cli, D, EXCLUDED, TO_OUTROS, TO_ONBOARDING, client_floor=20240105)
+    f = {(r.agencia_conta, r.jornada) for r in floored.collect()}
+    # H's history lies before the floor: no exit, no run-day row, so it is gone.
+    # A's first entry lies before the floor too; its later entry now takes ordinal 1.
+    assert not any(a == "0008_0000008" for a, _ in f)
+    assert {(r.agencia_conta, r.jornada) for r in full.collect()} - f == {
+        ("0008_0000008", "onboarding"), ("0001_0000001", "ressegmentacao")}
+    a = [r for r in floored.collect() if r.agencia_conta == "0001_0000001"]
+    assert [(r.jornada, str(r.data_encerramento_conta_emps)) for r in a] == [("onboarding", "2024-01-05")]
