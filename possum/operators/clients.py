@@ -29,11 +29,6 @@ LIFECYCLE_COLUMNS = [
     "numero_cnpj_completo", "numero_unico_cliente", "agencia_conta", "canal",
     "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "data_encerramento_conta",
 ]
-ADJUSTED_COLUMNS = [c if c != "canal" else "jornada" for c in LIFECYCLE_COLUMNS]
-ACCOUNT_COLUMNS = [
-    "numero_cnpj_completo", "numero_unico_cliente", "agencia_conta", "jornada",
-    "data_abertura_conta_emps", "data_encerramento_conta_emps", "flag_conta_ativa",
-]
 
 
 def with_account_key(cli: DataFrame) -> DataFrame:
@@ -169,7 +164,8 @@ def client_accounts(adjusted: DataFrame, open_end: dt.date = K.OPEN_END) -> Data
 def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[str] = (),
                          to_outros: Sequence[str] = (), to_onboarding: Sequence[str] = (),
                          open_end: dt.date = K.OPEN_END, method: str = "auto",
-                         client_floor: int | None = None) -> DataFrame:
+                         client_floor: int | None = None,
+                         max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """The whole chain from the raw client table.
 
     ``client_floor`` optionally limits every client read to snapshots on or
@@ -181,7 +177,7 @@ def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[s
     if client_floor is not None:
         cli = scan_since(cli, client_floor)
     exits, small = measured_side(exit_accounts(cli, excluded))
-    ranks = exit_ranks(exit_history(cli, exits, small), method=method)
+    ranks = exit_ranks(exit_history(cli, exits, small), method=method, max_group_rows=max_group_rows)
     lifecycle = account_lifecycle(ranks, never_left_accounts(
         client_snapshot(cli, execute_date, excluded), exits, small))
     return client_accounts(journey_adjusted(lifecycle, to_outros, to_onboarding), open_end)
