@@ -36,8 +36,24 @@ FIXTURE_PARAMS = RunParams(
 )
 
 
+# Columns of the shared tables that the adapters read, with their file types.
+# Declaring them skips the schema-inference job of every read and fails fast
+# if a table changes type.
+SOURCE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "lineitem": "l_suppkey bigint, l_extendedprice double, l_shipdate timestamp_ntz",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _shifted(ts: str) -> Column:
