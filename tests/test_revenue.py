@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from possum.operators import revenue as R
 from tests.helpers import tx_df
@@ -57,3 +58,24 @@ def test_matrix_has_one_exchange(spark, tx):
         return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert exchanges(R.revenue_matrix(tx, AS_OF)) == 1
     assert exchanges(R.revenue_matrix_two_step(tx, AS_OF)) == 2
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_one_step_equals_two_step_in_both_ansi_modes(spark, tx, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert _by_pdv(R.revenue_matrix(tx, AS_OF)) == _by_pdv(R.revenue_matrix_two_step(tx, AS_OF))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("dtype", ["decimal(18,4)", "decimal(10,0)", "decimal(30,2)"])
+def test_exact_sums_for_other_decimal_types(spark, tx, dtype):
+    other = tx.withColumn("valor_transacao", tx["valor_transacao"].cast(dtype))
+    assert _by_pdv(R.revenue_matrix(other, AS_OF)) == _by_pdv(R.revenue_matrix_two_step(other, AS_OF))
+    got = {(r.numero_ponto_venda, r.anomes): r.faturamento for r in R.monthly_revenue(other).collect()}
+    want = {(r.numero_ponto_venda, r.anomes): r.faturamento for r in other.groupBy(
+        "numero_ponto_venda", F.substring(F.col("anomesdia").cast("string"), 1, 6).alias("anomes"))
+        .agg(F.sum("valor_transacao").alias("faturamento")).collect()}
+    assert got == want
