@@ -5,13 +5,18 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions.columns import snapshot_int
 
 from ..operators.clients import client_accounts_from
 from ..operators.estab import latest_estab
 from ..operators.flagship import pdv_emps
 from ..operators.pdv import latest_pdv, pdv_history
 from ..params import RunParams
+from ..sources.scans import extract
 from ..sources.sinks import load
 
 log = logging.getLogger(__name__)
@@ -52,3 +57,25 @@ def run(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
         load(result, table=table, path=path, partition_by="anomesdia")
         log.info("loaded day %s", params.execute_date)
     return result
+
+
+def run_from_catalog(spark: SparkSession, params: RunParams, pdv_table: str, estab_table: str,
+                     client_table: str, output_table: str, output_path: str | None = None,
+                     client_floor: int | None = None) -> DataFrame:
+    """The whole daily job over catalog tables.
+
+    The point-of-sale history is read up to the run day through a partition
+    predicate (only those day folders are listed and read); the
+    establishment and client tables are read whole, as the job needs every
+    snapshot.  Inputs are schema-checked, the flagship is loaded into
+    ``output_table`` partitioned by run day.
+    """
+    s_pdv = schemas.require(
+        extract(pdv_table, predicate=snapshot_int() <= F.lit(params.execute_date), spark=spark),
+        schemas.S_PDV, pdv_table)
+    s_estb = schemas.require(extract(estab_table, spark=spark), schemas.S_ESTB, estab_table)
+    cli = schemas.require(extract(client_table, spark=spark), schemas.CLI, client_table)
+    result = transform(s_pdv, s_estb, cli, params, client_floor=client_floor).pdv_emps
+    load(result, table=output_table, path=output_path, partition_by="anomesdia")
+    log.info("loaded day %s into %s", params.execute_date, output_table)
+    return spark.table(output_table)

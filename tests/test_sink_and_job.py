@@ -39,3 +39,29 @@ def test_run_loads_flagship(spark, scratch_dir):
     back = spark.read.parquet(path)
     assert back.count() == 1635
     assert {r.anomesdia for r in back.select("anomesdia").distinct().collect()} == {20240115}
+
+
+def test_run_from_catalog_two_days_and_rerun(spark):
+    import dataclasses
+
+    from possum.plans.job import run_from_catalog
+
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    names = {"pdv": "possum_s_pdv", "estb": "possum_s_estb", "cli": "possum_cli", "out": "possum_emps"}
+    for n in names.values():
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+    inp.s_pdv.write.partitionBy("ano", "mes", "dia").saveAsTable(names["pdv"])
+    inp.s_estb.write.partitionBy("ano", "mes", "dia").saveAsTable(names["estb"])
+    inp.cli.write.partitionBy("anomesdia").saveAsTable(names["cli"])
+    p = fixtures.FIXTURE_PARAMS
+    args = (names["pdv"], names["estb"], names["cli"], names["out"])
+    run_from_catalog(spark, p, *args)
+    before = spark.table(names["out"]).count()
+    assert before == 1635
+    earlier = dataclasses.replace(p, execute_date=20240114)
+    run_from_catalog(spark, earlier, *args)
+    run_from_catalog(spark, p, *args)          # rerun: replaces only its own day
+    days = {r.anomesdia: r["count"] for r in spark.table(names["out"]).groupBy("anomesdia").count().collect()}
+    assert set(days) == {20240114, 20240115} and days[20240115] == 1635
+    for n in names.values():
+        spark.sql(f"DROP TABLE {n}")
