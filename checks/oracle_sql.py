@@ -1,15 +1,17 @@
 """Independent DuckDB SQL for every registered query.
 
-Written straight from the job's SQL semantics (CTE per step, self-join form,
-literal two-step revenue pivot), over views of the shared test tables.  The
-adapters repeat FIXTURES.md §2 in DuckDB's dialect.  Output casts match the
-Spark side: dates as ISO text, money as double, ordinals as INTEGER.
+Written from the job's stated meaning, not from any engine's plan, and
+deliberately by other means than the Spark code where that is natural:
+ordinals and latest rows are counted by brute force ("how many rows of my
+group come before me"), the per-key maxima come from a grouped subquery.
+The adapters repeat FIXTURES.md §2 in DuckDB's dialect.  Output casts match
+the Spark side: dates as ISO text, money as double, ordinals as INTEGER.
 """
 
 from __future__ import annotations
 
 # Fixture parameters (FIXTURES.md §2), as SQL literals.
-EXECUTE_DATE = 20240115
+RUN_DAY = 20240115
 CLIENT_FLOOR = 20240115
 CANCEL_FLOOR = 20231001
 AS_OF = "2024-01-15"
@@ -18,8 +20,10 @@ EXCLUDED = "'0000_0000000', '0000_0000005', '0001_0000025'"
 TO_OUTROS = "'0002_0000041', '0002_0000042', '0004_0000081'"
 TO_ONBOARDING = "'0003_0000061', '0003_0000062'"
 
-DAY = "CAST(ano || lpad(mes, 2, '0') || lpad(dia, 2, '0') AS INTEGER)"
-ACCT = "numero_agencia || '_' || numero_conta"
+DAY_OF = "CAST({t}ano || lpad({t}mes, 2, '0') || lpad({t}dia, 2, '0') AS INTEGER)"
+DAY = DAY_OF.format(t="")
+
+# ---- adapters over the shared tables (FIXTURES.md §2) ----------------------
 
 S_PDV = """s_pdv AS (
     SELECT o_custkey AS num_pdv,
@@ -79,164 +83,138 @@ TX = """tx AS (
            CAST(l_extendedprice AS DECIMAL(18, 2)) AS valor_transacao
     FROM lineitem)"""
 
+# ---- point of sale ----------------------------------------------------------
 
-def _date_text(c: str, alias: str | None = None) -> str:
-    return f"CAST({c} AS VARCHAR) AS {alias or c}"
-
-
-# ---- point of sale -------------------------------------------------------
-
-PDV_STATUS = f"""ponto_venda_status AS (
-    SELECT num_pdv,
-           MAX(CASE WHEN (trim(CAST(dat_can_pdv AS VARCHAR)) = '' OR dat_can_pdv IS NULL) THEN 0
-                    ELSE CAST(replace(substring(CAST(dat_can_pdv AS VARCHAR), 1, 10), '-', '') AS INTEGER)
-               END) AS dat_can_pdv,
-           MAX(CASE WHEN (trim(CAST(dat_rtvc_pdv AS VARCHAR)) = '' OR dat_rtvc_pdv IS NULL) THEN 0
-                    ELSE CAST(replace(substring(CAST(dat_rtvc_pdv AS VARCHAR), 1, 10), '-', '') AS INTEGER)
-               END) AS dat_rtvc_pdv,
-           {EXECUTE_DATE} AS anomesdia
-    FROM s_pdv
-    WHERE {DAY} <= {EXECUTE_DATE}
-    GROUP BY num_pdv)"""
-
-PDV_HISTORY = f"""ponto_venda_history AS (
+HIST = f"""hist AS (
     SELECT num_pdv,
            CAST(lpad(trim(CAST(num_cad_grl_ctri_estb AS VARCHAR)), 14, '0') AS BIGINT) AS cnpj14,
-           CAST(substring(lpad(trim(CAST(num_cad_grl_ctri_estb AS VARCHAR)), 14, '0'), 1, 8) AS INTEGER) AS cnpjbas,
+           CAST(left(lpad(trim(CAST(num_cad_grl_ctri_estb AS VARCHAR)), 14, '0'), 8) AS INTEGER) AS cnpjbas,
            trim(cod_cnae) AS cod_cnae,
            CAST(num_cad_grl_ctri_estb AS VARCHAR) AS num_cad_grl_ctri_estb,
            cod_mot_can, cod_ram_atvd, cod_gru_ram,
-           CAST(dat_cdst_pdv AS VARCHAR) AS dat_cdst_pdv,
-           COALESCE(TRY_CAST(replace(substring(CAST(dat_can_pdv AS VARCHAR), 1, 10), '-', '') AS INTEGER), 0) AS dat_can_pdv,
-           COALESCE(TRY_CAST(replace(substring(CAST(dat_rtvc_pdv AS VARCHAR), 1, 10), '-', '') AS INTEGER), 0) AS dat_rtvc_pdv,
+           dat_cdst_pdv,
+           coalesce(TRY_CAST(replace(left(dat_can_pdv, 10), '-', '') AS INTEGER), 0) AS dat_can_pdv,
+           coalesce(TRY_CAST(replace(left(dat_rtvc_pdv, 10), '-', '') AS INTEGER), 0) AS dat_rtvc_pdv,
            {DAY} AS dat_updt,
-           {EXECUTE_DATE} AS anomesdia,
+           {RUN_DAY} AS anomesdia,
            seq
     FROM s_pdv
-    WHERE {DAY} <= {EXECUTE_DATE})"""
-
-PDV_NORMALISED = """ponto_venda_normalizacao AS (
-    SELECT pdvh.num_pdv, pdvh.cnpj14, pdvh.cnpjbas, pdvh.cod_mot_can, pdvh.cod_ram_atvd,
-           pdvh.cod_cnae, pdvh.cod_gru_ram,
-           CASE WHEN pdvh.dat_can_pdv >= pdvs.dat_can_pdv THEN pdvh.dat_can_pdv
-                ELSE pdvs.dat_can_pdv END AS dat_can_pdv,
-           CASE WHEN pdvh.dat_rtvc_pdv >= pdvs.dat_rtvc_pdv THEN pdvh.dat_rtvc_pdv
-                ELSE pdvs.dat_rtvc_pdv END AS dat_rtvc_pdv,
-           pdvh.dat_cdst_pdv, pdvh.dat_updt,
-           CAST(ROW_NUMBER() OVER (PARTITION BY pdvh.num_pdv
-                                   ORDER BY pdvh.dat_updt DESC NULLS LAST, pdvh.seq DESC NULLS LAST)
+    WHERE {DAY} <= {RUN_DAY})"""
+
+# Per-key maxima by a grouped subquery; the index counts the rows of the same
+# point of sale that are more recent (by day, then by seq).
+NORM = """pdv_maxima AS (
+    SELECT num_pdv, max(dat_can_pdv) AS max_can, max(dat_rtvc_pdv) AS max_rtvc
+    FROM hist WHERE num_pdv IS NOT NULL GROUP BY num_pdv),
+norm AS (
+    SELECT h.num_pdv, h.cnpj14, h.cnpjbas, h.cod_mot_can, h.cod_ram_atvd, h.cod_cnae, h.cod_gru_ram,
+           m.max_can AS dat_can_pdv, m.max_rtvc AS dat_rtvc_pdv, h.dat_cdst_pdv, h.dat_updt,
+           CAST(1 + (SELECT count(*) FROM hist x
+                     WHERE x.num_pdv = h.num_pdv
+                       AND (x.dat_updt > h.dat_updt OR (x.dat_updt = h.dat_updt AND x.seq > h.seq)))
                 AS INTEGER) AS index_num,
-           pdvh.anomesdia
-    FROM ponto_venda_history pdvh
-    JOIN ponto_venda_status pdvs ON pdvh.num_pdv = pdvs.num_pdv AND pdvs.anomesdia = {d})""".replace(
-    "{d}", str(EXECUTE_DATE))
-
-ESTAB = f"""estabelecimentos AS (
-    SELECT cnpj14, uf, cidade, cod_cep FROM (
-        SELECT num_cad_grl_ctri_estb AS cnpj14, cod_sgl_uf AS uf, trim(nom_cid_estb) AS cidade,
-               CAST(cod_cep_estb AS INTEGER) AS cod_cep,
-               ROW_NUMBER() OVER (PARTITION BY num_cad_grl_ctri_estb
-                                  ORDER BY {DAY} DESC NULLS LAST, seq DESC NULLS LAST) AS index_est
-        FROM s_estb)
-    WHERE index_est = 1)"""
-
-# ---- client accounts ------------------------------------------------------
-
-SOT_CONTAS = f"""sot_contas AS (
-    SELECT cnpj AS numero_cnpj_completo, id_cnpj_eq3 AS numero_unico_cliente,
-           {ACCT} AS agencia_conta, canal, data_aceite_ressegmentacao,
+           h.anomesdia
+    FROM hist h JOIN pdv_maxima m ON m.num_pdv = h.num_pdv)"""
+
+NORM_COLS = ("num_pdv, cnpj14, cnpjbas, cod_mot_can, cod_ram_atvd, cod_cnae, cod_gru_ram, "
+             "dat_can_pdv, dat_rtvc_pdv, dat_cdst_pdv, dat_updt, anomesdia")
+
+# Latest establishment: the row no other row of its tax id is more recent than.
+ESTAB = f"""estab_rows AS (
+    SELECT num_cad_grl_ctri_estb AS cnpj14, cod_sgl_uf AS uf, trim(nom_cid_estb) AS cidade,
+           cod_cep_estb, {DAY} AS snap_day, seq
+    FROM s_estb),
+estab_latest AS (
+    SELECT cnpj14, uf, cidade, CAST(cod_cep_estb AS INTEGER) AS cod_cep
+    FROM estab_rows e
+    WHERE NOT EXISTS (SELECT 1 FROM estab_rows f
+                      WHERE f.cnpj14 IS NOT DISTINCT FROM e.cnpj14
+                        AND (f.snap_day > e.snap_day OR (f.snap_day = e.snap_day AND f.seq > e.seq))))"""
+
+# ---- client accounts ----------------------------------------------------------
+
+ACCT_ROWS = """acct_rows AS (
+    SELECT *, numero_agencia || '_' || numero_conta AS acct FROM cli)"""
+
+SNAP = f"""snap AS (
+    SELECT cnpj AS numero_cnpj_completo, id_cnpj_eq3 AS numero_unico_cliente, acct AS agencia_conta,
+           canal, data_aceite_ressegmentacao,
            data_abertura_conta AS data_inicio_relacionamento_bancario, data_encerramento_conta
-    FROM cli
-    WHERE anomesdia = {EXECUTE_DATE} AND {ACCT} NOT IN ({EXCLUDED}))"""
-
-RESSEG_OUT = f"""resseg_out AS (
-    SELECT DISTINCT {ACCT} AS agencia_conta
-    FROM cli
-    WHERE canal = 'resseg out' AND {ACCT} NOT IN ({EXCLUDED}))"""
-
-HISTORICO = """historico_cli_resseg_out AS (
-    SELECT DISTINCT a.cnpj AS numero_cnpj_completo, a.id_cnpj_eq3 AS numero_unico_cliente,
-           a.numero_agencia || '_' || a.numero_conta AS agencia_conta, a.canal,
-           CASE WHEN a.canal IN ('resseg in', 'resseg out') THEN a.data_aceite_ressegmentacao
-                ELSE a.data_abertura_conta END AS data_aceite_ressegmentacao,
-           a.data_abertura_conta AS data_inicio_relacionamento_bancario
-    FROM cli a
-    WHERE EXISTS (SELECT 1 FROM resseg_out
-                  WHERE a.numero_agencia || '_' || a.numero_conta = resseg_out.agencia_conta))"""
-
-RANKS = """resseg_in_resseg_out AS (
-    SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal,
-           data_aceite_ressegmentacao, data_inicio_relacionamento_bancario,
-           CAST(ROW_NUMBER() OVER (
-               PARTITION BY agencia_conta,
-                            CASE WHEN canal = 'resseg out' THEN 'resseg out' ELSE 'entrada' END
-               ORDER BY data_aceite_ressegmentacao ASC NULLS LAST,
-                        data_inicio_relacionamento_bancario ASC NULLS LAST,
-                        canal ASC NULLS LAST, numero_cnpj_completo ASC NULLS LAST,
-                        numero_unico_cliente ASC NULLS LAST) AS INTEGER) AS rank_cli
-    FROM historico_cli_resseg_out)"""
+    FROM acct_rows
+    WHERE anomesdia = {RUN_DAY} AND acct IS NOT NULL AND acct NOT IN ({EXCLUDED}))"""
+
+LEAVERS = f"""leavers AS (
+    SELECT DISTINCT acct AS agencia_conta
+    FROM acct_rows
+    WHERE canal = 'resseg out' AND acct IS NOT NULL AND acct NOT IN ({EXCLUDED}))"""
+
+EVENTS = """leaver_events AS (
+    SELECT DISTINCT cnpj AS numero_cnpj_completo, id_cnpj_eq3 AS numero_unico_cliente,
+           acct AS agencia_conta, canal,
+           CASE WHEN canal = 'resseg in' OR canal = 'resseg out' THEN data_aceite_ressegmentacao
+                ELSE data_abertura_conta END AS data_aceite_ressegmentacao,
+           data_abertura_conta AS data_inicio_relacionamento_bancario
+    FROM acct_rows
+    WHERE acct IN (SELECT agencia_conta FROM leavers))"""
+
+RANKED = """ranked AS (
+    SELECT *, CAST(row_number() OVER (
+               PARTITION BY agencia_conta, coalesce(canal = 'resseg out', false)
+               ORDER BY data_aceite_ressegmentacao NULLS LAST, data_inicio_relacionamento_bancario NULLS LAST,
+                        canal NULLS LAST, numero_cnpj_completo NULLS LAST, numero_unico_cliente NULLS LAST)
+           AS INTEGER) AS rank_cli
+    FROM leaver_events)"""
 
 NEVER_LEFT = """never_left AS (
-    SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal,
-           CAST(data_aceite_ressegmentacao AS DATE) AS data_aceite_ressegmentacao,
-           CAST(data_inicio_relacionamento_bancario AS DATE) AS data_inicio_relacionamento_bancario,
-           CAST(data_encerramento_conta AS DATE) AS data_encerramento_conta
-    FROM sot_contas a
-    WHERE NOT EXISTS (SELECT 1 FROM resseg_out WHERE a.agencia_conta = resseg_out.agencia_conta))"""
-
-LIFECYCLE = """base_canal_entrada_ajustado AS (
-    SELECT resseg_in.numero_cnpj_completo, resseg_in.numero_unico_cliente, resseg_in.agencia_conta,
-           resseg_in.canal,
-           CAST(resseg_in.data_aceite_ressegmentacao AS DATE) AS data_aceite_ressegmentacao,
-           CAST(resseg_in.data_inicio_relacionamento_bancario AS DATE) AS data_inicio_relacionamento_bancario,
-           CAST(resseg_out.data_aceite_ressegmentacao AS DATE) AS data_encerramento_conta
-    FROM (SELECT * FROM resseg_in_resseg_out WHERE canal != 'resseg out') resseg_in
-    LEFT JOIN (SELECT * FROM resseg_in_resseg_out WHERE canal = 'resseg out') resseg_out
-      ON resseg_in.agencia_conta = resseg_out.agencia_conta AND resseg_in.rank_cli = resseg_out.rank_cli
+    SELECT * FROM snap WHERE agencia_conta NOT IN (SELECT agencia_conta FROM leavers))"""
+
+LIFECYCLE = """lifecycle AS (
+    SELECT e.numero_cnpj_completo, e.numero_unico_cliente, e.agencia_conta, e.canal,
+           e.data_aceite_ressegmentacao, e.data_inicio_relacionamento_bancario,
+           x.data_aceite_ressegmentacao AS data_encerramento_conta
+    FROM ranked e
+    LEFT JOIN ranked x
+      ON x.canal = 'resseg out' AND x.agencia_conta = e.agencia_conta AND x.rank_cli = e.rank_cli
+    WHERE e.canal <> 'resseg out'
     UNION ALL
-    SELECT * FROM never_left)"""
+    SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal,
+           data_aceite_ressegmentacao, data_inicio_relacionamento_bancario, data_encerramento_conta
+    FROM never_left)"""
 
-ADJUSTED = f"""ajuste_jornada_casos_pontuais AS (
+JOURNEYS = f"""journeys AS (
     SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta,
            CASE WHEN agencia_conta IN ({TO_OUTROS}) THEN 'outros'
                 WHEN agencia_conta IN ({TO_ONBOARDING}) THEN 'onboarding'
                 ELSE canal END AS jornada,
            data_aceite_ressegmentacao, data_inicio_relacionamento_bancario, data_encerramento_conta
-    FROM base_canal_entrada_ajustado)"""
+    FROM lifecycle)"""
 
-CLIENTES = """schema_spec AS (
+ACCOUNTS = """accounts AS (
     SELECT DISTINCT numero_cnpj_completo, numero_unico_cliente, agencia_conta,
-           CASE WHEN jornada = 'resseg in' THEN 'ressegmentacao'
-                WHEN jornada IN ('outros', 'outro') THEN 'one_itau'
-                ELSE jornada END AS jornada,
+           CASE jornada WHEN 'resseg in' THEN 'ressegmentacao'
+                        WHEN 'outros' THEN 'one_itau'
+                        WHEN 'outro' THEN 'one_itau'
+                        ELSE jornada END AS jornada,
            CASE WHEN jornada = 'resseg in' THEN data_aceite_ressegmentacao
                 ELSE data_inicio_relacionamento_bancario END AS data_abertura_conta_emps,
-           data_encerramento_conta AS data_encerramento_conta_emps
-    FROM ajuste_jornada_casos_pontuais),
-clientes_emps AS (
-    SELECT DISTINCT numero_cnpj_completo, numero_unico_cliente, agencia_conta, jornada,
-           data_abertura_conta_emps, data_encerramento_conta_emps,
-           IF(data_encerramento_conta_emps = DATE '9999-12-31' OR data_encerramento_conta_emps IS NULL,
-              TRUE, FALSE) AS flag_conta_ativa
-    FROM schema_spec)"""
-
-PDV_EMPS = """ponto_venda_emps AS (
-    SELECT pdv.num_pdv, cliente.numero_unico_cliente,
-           CAST(cliente.numero_cnpj_completo AS BIGINT) AS cnpj14,
-           pdv.cnpjbas,
-           substring(cliente.agencia_conta, 1, 4) AS numero_agencia,
-           substring(cliente.agencia_conta, 6, 7) AS numero_conta,
-           pdv.cod_mot_can, pdv.cod_gru_ram, pdv.cod_ram_atvd, pdv.cod_cnae,
-           pdv_estab.cod_cep, pdv_estab.uf, pdv_estab.cidade,
-           pdv.dat_can_pdv, pdv.dat_cdst_pdv, pdv.dat_rtvc_pdv, pdv.dat_updt, pdv.anomesdia
-    FROM ponto_venda_normalizacao AS pdv
-    INNER JOIN clientes_emps AS cliente
-       ON CAST(cliente.numero_cnpj_completo AS BIGINT) = pdv.cnpj14
-      AND cliente.flag_conta_ativa = TRUE
-    LEFT JOIN estabelecimentos AS pdv_estab ON pdv.cnpj14 = pdv_estab.cnpj14
-    WHERE pdv.index_num = 1)"""
-
-FINAL = f"""SELECT num_pdv AS numero_ponto_venda, numero_unico_cliente,
+           data_encerramento_conta AS data_encerramento_conta_emps,
+           coalesce(data_encerramento_conta = DATE '9999-12-31', true) AS flag_conta_ativa
+    FROM journeys)"""
+
+# ---- flagship ---------------------------------------------------------------
+
+PDV_ACCOUNTS = """pdv_accounts AS (
+    SELECT n.num_pdv, a.numero_unico_cliente, CAST(a.numero_cnpj_completo AS BIGINT) AS cnpj14,
+           n.cnpjbas, left(a.agencia_conta, 4) AS numero_agencia,
+           substring(a.agencia_conta, 6, 7) AS numero_conta,
+           n.cod_mot_can, n.cod_gru_ram, n.cod_ram_atvd, n.cod_cnae, e.cod_cep, e.uf, e.cidade,
+           n.dat_can_pdv, n.dat_cdst_pdv, n.dat_rtvc_pdv, n.dat_updt, n.anomesdia
+    FROM norm n
+    JOIN accounts a ON a.flag_conta_ativa AND CAST(a.numero_cnpj_completo AS BIGINT) = n.cnpj14
+    LEFT JOIN estab_latest e ON e.cnpj14 = n.cnpj14
+    WHERE n.index_num = 1)"""
+
+PUBLISHED = f"""SELECT num_pdv AS numero_ponto_venda, numero_unico_cliente,
        cnpj14 AS numero_cnpj14, cnpjbas AS numero_cnpj_base, numero_agencia, numero_conta,
        cod_mot_can AS codigo_motivo_cancelamento, cod_gru_ram AS codigo_grupo_ramo,
        cod_ram_atvd AS codigo_ramo_atividade, cod_cnae AS codigo_cnae, cod_cep AS codigo_cep,
@@ -244,89 +222,85 @@ FINAL = f"""SELECT num_pdv AS numero_ponto_venda, numero_unico_cliente,
        dat_can_pdv AS data_cancelamento_ponto_venda, dat_cdst_pdv AS data_cadastro_ponto_venda,
        dat_rtvc_pdv AS data_reativacao_ponto_venda, dat_updt AS data_atualizacao_ponto_venda,
        anomesdia
-FROM ponto_venda_emps
-WHERE (COALESCE(dat_can_pdv, 0) = 0 OR dat_can_pdv >= {CANCEL_FLOOR} OR dat_rtvc_pdv >= dat_can_pdv)"""
+FROM pdv_accounts
+WHERE dat_can_pdv IS NULL OR dat_can_pdv = 0 OR dat_can_pdv >= {CANCEL_FLOOR} OR dat_rtvc_pdv >= dat_can_pdv"""
 
 # ---- revenue ----------------------------------------------------------------
 
-
-def _month(i: int) -> str:
-    return (f"replace(substring(CAST(CAST(DATE '{AS_OF}' - INTERVAL ({i}) MONTH AS DATE) AS VARCHAR),"
-            f" 1, 7), '-', '')")
-
-
 MONTHLY = """monthly AS (
-    SELECT numero_ponto_venda, substring(CAST(anomesdia AS VARCHAR), 1, 6) AS anomes,
-           SUM(valor_transacao) AS faturamento
-    FROM tx
-    GROUP BY numero_ponto_venda, substring(CAST(anomesdia AS VARCHAR), 1, 6))"""
+    SELECT numero_ponto_venda, left(CAST(anomesdia AS VARCHAR), 6) AS anomes,
+           sum(valor_transacao) AS faturamento
+    FROM tx GROUP BY ALL)"""
 
 MATRIX = ("SELECT numero_ponto_venda,\n" + ",\n".join(
-    f"       CAST(MAX(CASE WHEN anomes = {_month(i)} THEN faturamento ELSE 0.0 END) AS DOUBLE) AS mes_{i}"
-    for i in range(MONTHS)) + "\nFROM monthly\nGROUP BY numero_ponto_venda")
+    f"       CAST(max(CASE WHEN anomes = strftime(DATE '{AS_OF}' - INTERVAL ({i}) MONTH, '%Y%m') "
+    f"THEN faturamento ELSE 0 END) AS DOUBLE) AS mes_{i}"
+    for i in range(MONTHS)) + "\nFROM monthly GROUP BY numero_ponto_venda")
 
 
-def _with(*ctes: str) -> str:
+def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-_PDV = (S_PDV, PDV_STATUS, PDV_HISTORY, PDV_NORMALISED)
-_CLIENTS = (CLI, SOT_CONTAS, RESSEG_OUT, HISTORICO, RANKS, NEVER_LEFT, LIFECYCLE, ADJUSTED, CLIENTES)
+def _text(c: str) -> str:
+    return f"CAST({c} AS VARCHAR) AS {c}"
+
 
-NORMALISED_COLS = ("num_pdv, cnpj14, cnpjbas, cod_mot_can, cod_ram_atvd, cod_cnae, cod_gru_ram, "
-                   "dat_can_pdv, dat_rtvc_pdv, dat_cdst_pdv, dat_updt")
-LIFECYCLE_SELECT = ("SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, {j}, "
-                    + _date_text("data_aceite_ressegmentacao") + ", "
-                    + _date_text("data_inicio_relacionamento_bancario") + ", "
-                    + _date_text("data_encerramento_conta") + " FROM {t}")
-CLI_SELECT = ("SELECT cnpj, id_cnpj_eq3, numero_agencia, numero_conta, canal, "
-              + _date_text("data_aceite_ressegmentacao") + ", " + _date_text("data_abertura_conta")
-              + ", " + _date_text("data_encerramento_conta") + ", anomesdia FROM cli ")
+PDV_CTES = (HIST, NORM)
+CLIENT_CTES = (ACCT_ROWS, SNAP, LEAVERS, EVENTS, RANKED, NEVER_LEFT, LIFECYCLE, JOURNEYS, ACCOUNTS)
+CLI_COLS = ("cnpj, id_cnpj_eq3, numero_agencia, numero_conta, canal, "
+            + ", ".join(_text(c) for c in ("data_aceite_ressegmentacao", "data_abertura_conta",
+                                           "data_encerramento_conta")) + ", anomesdia")
+LIFE_DATES = ", ".join(_text(c) for c in ("data_aceite_ressegmentacao",
+                                          "data_inicio_relacionamento_bancario",
+                                          "data_encerramento_conta"))
+ACCOUNTS_SELECT = ("SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, jornada, "
+                   + _text("data_abertura_conta_emps") + ", " + _text("data_encerramento_conta_emps")
+                   + ", flag_conta_ativa FROM accounts")
+EVENT_COLS = ("numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal, "
+              + _text("data_aceite_ressegmentacao") + ", " + _text("data_inicio_relacionamento_bancario"))
+EXTRACT_DAY = "make_date(CAST(ano AS INTEGER), CAST(mes AS INTEGER), CAST(dia AS INTEGER))"
 
 ORACLE: dict[str, str] = {
-    "scan_upto": _with(S_PDV) + f"SELECT * FROM s_pdv WHERE {DAY} <= {EXECUTE_DATE}",
-    "scan_snapshot": _with(CLI) + CLI_SELECT + f"WHERE anomesdia = {EXECUTE_DATE}",
-    "scan_since": _with(CLI) + CLI_SELECT + f"WHERE anomesdia >= {CLIENT_FLOOR}",
-    "extract_predicate": _with(S_PDV, PDV_HISTORY)
-    + "SELECT * EXCLUDE (seq, anomesdia), dat_updt AS anomesdia FROM ponto_venda_history",
-    "pdv_history": _with(S_PDV, PDV_HISTORY) + "SELECT * EXCLUDE (seq) FROM ponto_venda_history",
-    "pdv_status": _with(S_PDV, PDV_STATUS) + "SELECT * FROM ponto_venda_status",
-    "pdv_normalised": _with(*_PDV) + "SELECT * FROM ponto_venda_normalizacao",
-    "latest_pdv": _with(*_PDV)
-    + f"SELECT {NORMALISED_COLS}, anomesdia FROM ponto_venda_normalizacao WHERE index_num = 1",
-    "latest_estab": _with(S_ESTB, ESTAB) + "SELECT * FROM estabelecimentos",
-    "monthly_revenue": _with(TX)
-    + "SELECT numero_ponto_venda, substring(CAST(anomesdia AS VARCHAR), 1, 6) AS anomes, "
-      "CAST(SUM(valor_transacao) AS DOUBLE) AS faturamento FROM tx "
-      "GROUP BY numero_ponto_venda, substring(CAST(anomesdia AS VARCHAR), 1, 6)",
-    "revenue_matrix": _with(TX, MONTHLY) + MATRIX,
-    "client_snapshot": _with(CLI, SOT_CONTAS)
-    + LIFECYCLE_SELECT.format(j="canal", t="sot_contas"),
-    "exit_accounts": _with(CLI, RESSEG_OUT) + "SELECT * FROM resseg_out",
-    "exit_history": _with(CLI, RESSEG_OUT, HISTORICO)
-    + "SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal, "
-    + _date_text("data_aceite_ressegmentacao") + ", " + _date_text("data_inicio_relacionamento_bancario")
-    + " FROM historico_cli_resseg_out",
-    "exit_ranks": _with(CLI, RESSEG_OUT, HISTORICO, RANKS)
-    + "SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal, "
-    + _date_text("data_aceite_ressegmentacao") + ", " + _date_text("data_inicio_relacionamento_bancario")
-    + ", rank_cli FROM resseg_in_resseg_out",
-    "never_left_accounts": _with(CLI, SOT_CONTAS, RESSEG_OUT, NEVER_LEFT)
-    + LIFECYCLE_SELECT.format(j="canal", t="never_left"),
-    "account_lifecycle": _with(*_CLIENTS[:7])
-    + LIFECYCLE_SELECT.format(j="canal", t="base_canal_entrada_ajustado"),
-    "journey_adjusted": _with(*_CLIENTS[:8])
-    + LIFECYCLE_SELECT.format(j="jornada", t="ajuste_jornada_casos_pontuais"),
-    "client_accounts": _with(*_CLIENTS)
-    + "SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, jornada, "
-    + _date_text("data_abertura_conta_emps") + ", " + _date_text("data_encerramento_conta_emps")
-    + ", flag_conta_ativa FROM clientes_emps",
-    "pdv_clients": _with(*_PDV, S_ESTB, ESTAB, *_CLIENTS, PDV_EMPS) + "SELECT * FROM ponto_venda_emps",
-    "pdv_emps": _with(*_PDV, S_ESTB, ESTAB, *_CLIENTS, PDV_EMPS) + FINAL,
+    "scan_upto": with_(S_PDV) + f"SELECT * FROM s_pdv WHERE {DAY} <= {RUN_DAY}",
+    "scan_snapshot": with_(CLI) + f"SELECT {CLI_COLS} FROM cli WHERE anomesdia = {RUN_DAY}",
+    "scan_since": with_(CLI) + f"SELECT {CLI_COLS} FROM cli WHERE anomesdia >= {CLIENT_FLOOR}",
+    "extract_predicate": with_(S_PDV)
+    + "SELECT num_pdv, num_cad_grl_ctri_estb, trim(cod_cnae) AS cod_cnae, "
+      "coalesce(TRY_CAST(replace(left(dat_can_pdv, 10), '-', '') AS INTEGER), 0) AS dat_can_pdv, "
+      f"CAST({EXTRACT_DAY} AS VARCHAR) AS snapshot_date FROM s_pdv "
+      f"WHERE {EXTRACT_DAY} <= DATE '{AS_OF}'",
+    "pdv_history": with_(S_PDV, HIST) + "SELECT * EXCLUDE (seq) FROM hist",
+    "pdv_status": with_(S_PDV, HIST)
+    + f"SELECT num_pdv, max(dat_can_pdv) AS dat_can_pdv, max(dat_rtvc_pdv) AS dat_rtvc_pdv, "
+      f"{RUN_DAY} AS anomesdia FROM hist GROUP BY num_pdv",
+    "pdv_normalised": with_(S_PDV, *PDV_CTES) + "SELECT * FROM norm",
+    "latest_pdv": with_(S_PDV, *PDV_CTES) + f"SELECT {NORM_COLS} FROM norm WHERE index_num = 1",
+    "latest_estab": with_(S_ESTB, ESTAB) + "SELECT * FROM estab_latest",
+    "monthly_revenue": with_(TX, MONTHLY)
+    + "SELECT numero_ponto_venda, anomes, CAST(faturamento AS DOUBLE) AS faturamento FROM monthly",
+    "revenue_matrix": with_(TX, MONTHLY) + MATRIX,
+    "client_snapshot": with_(CLI, ACCT_ROWS, SNAP)
+    + f"SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal, {LIFE_DATES} FROM snap",
+    "exit_accounts": with_(CLI, ACCT_ROWS, LEAVERS) + "SELECT * FROM leavers",
+    "exit_history": with_(CLI, ACCT_ROWS, LEAVERS, EVENTS) + f"SELECT {EVENT_COLS} FROM leaver_events",
+    "exit_ranks": with_(CLI, ACCT_ROWS, LEAVERS, EVENTS, RANKED)
+    + f"SELECT {EVENT_COLS}, rank_cli FROM ranked",
+    "never_left_accounts": with_(CLI, ACCT_ROWS, SNAP, LEAVERS, NEVER_LEFT)
+    + f"SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal, {LIFE_DATES} FROM never_left",
+    "account_lifecycle": with_(CLI, *CLIENT_CTES[:7])
+    + f"SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, canal, {LIFE_DATES} FROM lifecycle",
+    "journey_adjusted": with_(CLI, *CLIENT_CTES[:8])
+    + f"SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, jornada, {LIFE_DATES} FROM journeys",
+    "client_accounts": with_(CLI, *CLIENT_CTES) + ACCOUNTS_SELECT,
+    "pdv_clients": with_(S_PDV, *PDV_CTES, S_ESTB, ESTAB, CLI, *CLIENT_CTES, PDV_ACCOUNTS)
+    + "SELECT * FROM pdv_accounts",
+    "pdv_emps": with_(S_PDV, *PDV_CTES, S_ESTB, ESTAB, CLI, *CLIENT_CTES, PDV_ACCOUNTS) + PUBLISHED,
 }
 # Other physical strategies of the same relation: same oracle.
-ORACLE["pdv_normalised_window"] = ORACLE["pdv_normalised"]
-ORACLE["revenue_matrix_two_step"] = ORACLE["revenue_matrix"]
-ORACLE["exit_ranks_window"] = ORACLE["exit_ranks"]
-ORACLE["exit_ranks_sorted"] = ORACLE["exit_ranks"]
-ORACLE["pdv_normalised_sorted"] = ORACLE["pdv_normalised"]
+for _alt, _base in (("pdv_normalised_window", "pdv_normalised"),
+                    ("pdv_normalised_sorted", "pdv_normalised"),
+                    ("revenue_matrix_two_step", "revenue_matrix"),
+                    ("exit_ranks_window", "exit_ranks"),
+                    ("exit_ranks_sorted", "exit_ranks")):
+    ORACLE[_alt] = ORACLE[_base]

@@ -25,22 +25,14 @@ from ..sources.scans import extract, scan_since, scan_snapshot, scan_upto
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# SQL column expressions for the extractor, as a caller of ``extract`` passes
-# them: qualified by the source alias, NULL/blank/bad dates → 0.
-PDV_EXTRACT_COLUMNS = [
-    "PDV.num_pdv AS num_pdv",
-    "CAST(LPAD(TRIM(CAST(PDV.num_cad_grl_ctri_estb AS STRING)), 14, '0') AS BIGINT) AS cnpj14",
-    "CAST(SUBSTR(LPAD(TRIM(CAST(PDV.num_cad_grl_ctri_estb AS STRING)), 14, '0'), 1, 8) AS INT) AS cnpjbas",
-    "TRIM(PDV.cod_cnae) AS cod_cnae",
-    "CAST(PDV.num_cad_grl_ctri_estb AS STRING) AS num_cad_grl_ctri_estb",
-    "PDV.cod_mot_can AS cod_mot_can",
-    "PDV.cod_ram_atvd AS cod_ram_atvd",
-    "PDV.cod_gru_ram AS cod_gru_ram",
-    "CAST(PDV.dat_cdst_pdv AS STRING) AS dat_cdst_pdv",
-    "COALESCE(TRY_CAST(REPLACE(SUBSTR(CAST(PDV.dat_can_pdv AS STRING), 1, 10), '-', '') AS INT), 0) AS dat_can_pdv",
-    "COALESCE(TRY_CAST(REPLACE(SUBSTR(CAST(PDV.dat_rtvc_pdv AS STRING), 1, 10), '-', '') AS INT), 0) AS dat_rtvc_pdv",
-    "CAST(PDV.ano || LPAD(PDV.mes, 2, '0') || LPAD(PDV.dia, 2, '0') AS INT) AS dat_updt",
-    "CAST(PDV.ano || LPAD(PDV.mes, 2, '0') || LPAD(PDV.dia, 2, '0') AS INT) AS anomesdia",
+# An extractor call as a caller writes it: SQL column expressions over an
+# aliased source, and a SQL predicate on the partition columns.
+EXTRACT_COLUMNS = [
+    "p.num_pdv AS num_pdv",
+    "p.num_cad_grl_ctri_estb AS num_cad_grl_ctri_estb",
+    "trim(p.cod_cnae) AS cod_cnae",
+    "coalesce(try_cast(replace(left(p.dat_can_pdv, 10), '-', '') AS INT), 0) AS dat_can_pdv",
+    "make_date(int(p.ano), int(p.mes), int(p.dia)) AS snapshot_date",
 ]
 
 
@@ -124,8 +116,9 @@ def _q(build: Callable[[_Job], DataFrame], method: str = "auto") -> Query:
 
 def _extract_pdv(j: _Job) -> DataFrame:
     d = j.p.execute_date
-    predicate = f"CAST(PDV.ano || LPAD(PDV.mes, 2, '0') || LPAD(PDV.dia, 2, '0') AS INT) <= {d}"
-    return extract(j.inp.s_pdv, predicate=predicate, columns=PDV_EXTRACT_COLUMNS, alias="PDV")
+    day = f"{d // 10000:04d}-{d // 100 % 100:02d}-{d % 100:02d}"
+    predicate = f"make_date(int(p.ano), int(p.mes), int(p.dia)) <= DATE'{day}'"
+    return extract(j.inp.s_pdv, predicate=predicate, columns=EXTRACT_COLUMNS, alias="p")
 
 
 QUERIES: dict[str, Query] = {
