@@ -21,6 +21,8 @@ RECOMMENDED_CONF = {
     # Explicit broadcast() hints remain for sets bounded by construction.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Remove checkpoint files once their DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

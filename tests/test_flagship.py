@@ -49,3 +49,17 @@ def test_flagship_grain_and_left_join(spark):
     assert rows == [(1, 10, "0001", "0000001", "NEW", D, 20240110),
                     (1, 11, "0001", "0000002", "NEW", D, 20240110),
                     (2, 13, "0002", "0000004", None, D, 20240110)]
+
+
+def test_short_branch_and_account_numbers_split_by_position(spark):
+    s_pdv = pdv_df(spark, [pdv_row(1, "20240110", 1)])
+    latest = latest_pdv(pdv_history(s_pdv, D, keep=("seq",)), ("seq",))
+    estab = latest_estab(estb_df(spark, [estb_row(TAX, "20240101", 1)]), ("seq",))
+    accounts = _accounts(spark, [
+        ("01230000000191", 10, "12_345", "x", None, None, True),          # short parts
+        ("01230000000191", 11, "0001_00000012345", "x", None, None, True),  # long account
+    ])
+    got = sorted((r.numero_unico_cliente, r.numero_agencia, r.numero_conta)
+                 for r in FL.pdv_clients(latest, accounts, estab).collect())
+    # Fixed positions 1-4 and 6-12 of the key, as published.
+    assert got == [(10, "12_3", "5"), (11, "0001", "0000001")]
