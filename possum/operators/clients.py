@@ -84,21 +84,35 @@ def exit_history(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataF
 
 
 def exit_ranks(history: DataFrame, method: str = "auto",
-               max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+               max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+               sizes_from: DataFrame | None = None) -> DataFrame:
     """Ordinal of each event within (account, entry-or-exit side), oldest first.
 
     NULL dates sort last.  The history is distinct over all its columns, so
     ordering by all of them is total and the ordinals are reproducible.
+    ``sizes_from`` (see ``exit_event_sizes``) lets the hot-group check count
+    raw rows instead of recomputing the distinct history.
     """
     side = history.withColumn("_side", entry_or_exit())
     order = [F.col(c).asc_nulls_last() for c in (
         "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "canal",
         "numero_cnpj_completo", "numero_unico_cliente")]
     return (ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method,
-                    max_group_rows=max_group_rows)
+                    max_group_rows=max_group_rows, sizes_from=sizes_from)
             .drop("_side"))
 
 
+def exit_event_sizes(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
+    """Raw (pre-distinct) rows of the leaving accounts, keyed like ``exit_ranks``.
+
+    Per (account, side) there are at least as many raw rows as distinct
+    events, so counting these bounds the group sizes from above, reading
+    three columns of the client table and no shuffle of the history.
+    """
+    return (with_account_key(cli).join(maybe_broadcast(exits, small), "agencia_conta", "left_semi")
+            .select("agencia_conta", entry_or_exit().alias("_side")))
+
+
 def never_left_accounts(snapshot: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
     """Run-day accounts that never had an exit, with their own closing date."""
     return snapshot.join(maybe_broadcast(exits, small), "agencia_conta", "left_anti").select(
@@ -177,7 +191,8 @@ def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[s
     if client_floor is not None:
         cli = scan_since(cli, client_floor)
     exits, small = measured_side(exit_accounts(cli, excluded))
-    ranks = exit_ranks(exit_history(cli, exits, small), method=method, max_group_rows=max_group_rows)
+    ranks = exit_ranks(exit_history(cli, exits, small), method=method, max_group_rows=max_group_rows,
+                       sizes_from=exit_event_sizes(cli, exits, small))
     lifecycle = account_lifecycle(ranks, never_left_accounts(
         client_snapshot(cli, execute_date, excluded), exits, small))
     return client_accounts(journey_adjusted(lifecycle, to_outros, to_onboarding), open_end)

@@ -13,9 +13,10 @@ lands whole in one task.
   and a small per-(group, partition) count table turns positions into
   ordinals.  Two large exchanges instead of one.
 * ``method="auto"`` (default): split by group size.  Groups above
-  ``max_group_rows`` are found with a map-side-combined count; there are at
-  most ``rows / max_group_rows`` of them, a proven bound, so that key set is
-  broadcast.  Their rows take the sorted path, all other rows the window.
+  ``max_group_rows`` are found first with a map-side-combined count; there
+  are at most ``rows / max_group_rows`` of them, a proven bound, so that key
+  set is broadcast.  Their rows take the sorted path, all other rows the
+  window; with no hot group the plan is just the window.
 """
 
 from __future__ import annotations
@@ -49,12 +50,48 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                          *rest)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], max_group_rows: int,
+             sizes_from: DataFrame | None = None) -> DataFrame | None:
+    """The groups of ``df`` with more than ``max_group_rows`` rows, or None.
+
+    Counted with a map-side-combined aggregate, in its own small job; the
+    result (at most rows / max_group_rows keys, a proven bound) is
+    checkpointed so every later use reads the same keys.  ``sizes_from``
+    may be a cheaper DataFrame with the same key columns whose per-key row
+    counts are at least those of ``df`` (e.g. the rows before a distinct):
+    then ``df`` itself is not computed for the check.
+    """
+    from ..plans.session import checkpoint_dir
+
+    source = df if sizes_from is None else sizes_from
+    gnames = [f"_g{i}" for i in range(len(keys))]
+    found = (source.groupBy(*[F.col(k).alias(g) for k, g in zip(keys, gnames)])
+                   .agg(F.count(F.lit(1)).alias("_size"))
+                   .where(F.col("_size") > F.lit(max_group_rows))
+                   .select(*gnames))
+    checkpoint_dir(df.sparkSession)
+    found = found.checkpoint(eager=True)
+    return None if found.isEmpty() else found
+
+
+def split_by_hot_keys(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of other groups, rows of hot groups); ``hot`` comes from ``hot_keys``."""
+    gnames = [f"_g{i}" for i in range(len(keys))]
+    cond = [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, gnames)]
+    small = F.broadcast(hot)   # bounded by construction, see hot_keys
+    return (df.join(small, cond, "left_anti"),
+            df.join(small, cond, "left_semi"))
+
+
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
-            method: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+            method: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+            sizes_from: DataFrame | None = None) -> DataFrame:
     """Add ``name`` = ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as int.
 
     ``order`` must be a total order within each group, as for any
-    reproducible ``row_number``.
+    reproducible ``row_number``.  With ``method="auto"`` the group sizes are
+    checked first (``hot_keys``); without a hot group the plan is the plain
+    window.
     """
     keys = list(keys)
     order = list(order)
@@ -64,20 +101,12 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: s
         return _ordinal_sorted(df, keys, order, name)
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    gnames = [f"_g{i}" for i in range(len(keys))]
-    hot_keys = F.broadcast(
-        df.groupBy(*[F.col(k).alias(g) for k, g in zip(keys, gnames)])
-          .agg(F.count(F.lit(1)).alias("_size"))
-          .where(F.col("_size") > F.lit(max_group_rows))
-          .select(*gnames))
-    # hot_keys has at most count(df) / max_group_rows rows, a proven bound.
-    # Anti and inner joins (not one outer join and a filter) let AQE drop
-    # the whole sorted branch at run time when there is no hot key.
-    cond = [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, gnames)]
-    cold = df.join(hot_keys, cond, "left_anti")
-    hot = df.join(hot_keys, cond, "inner").select(*df.columns)
-    return (_ordinal_window(cold, keys, order, name)
-            .unionByName(_ordinal_sorted(hot, keys, order, name)))
+    hot = hot_keys(df, keys, max_group_rows, sizes_from)
+    if hot is None:
+        return _ordinal_window(df, keys, order, name)
+    cold_rows, hot_rows = split_by_hot_keys(df, keys, hot)
+    return (_ordinal_window(cold_rows, keys, order, name)
+            .unionByName(_ordinal_sorted(hot_rows, keys, order, name)))
 
 
 def _ordinal_window(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
@@ -86,22 +115,21 @@ def _ordinal_window(df: DataFrame, keys: list[str], order: list[Column], name: s
 
 
 def _ordinal_sorted(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    spark = df.sparkSession
+    from ..plans.session import checkpoint_dir
+
     cols = df.columns
     # Range partitioning samples the whole sort key, so a hot group is cut
-    # into many partitions; the ids follow the sorted order.  The group is
-    # carried as one struct column: never NULL, and equal for equal keys
-    # (NULL fields included), so one column serves window, count and join.
+    # into many partitions; the ids follow the sorted order.  The positioned
+    # rows are checkpointed: the two uses below must see the very same
+    # partitions (a second range shuffle would sample its own bounds), and a
+    # lost executor must not change them.  The group is carried as one
+    # struct column: never NULL and equal for equal keys (NULL fields too).
+    checkpoint_dir(df.sparkSession)
     positioned = (df.orderBy(*[F.col(k).asc_nulls_first() for k in keys], *order)
                     .withColumn("_oid", F.monotonically_increasing_id())
                     .withColumn("_part", F.shiftright(F.col("_oid"), _POS_BITS))
-                    .withColumn("_key", F.struct(*keys)))
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Both branches below must read ONE range shuffle (a second one would
-        # sample its own bounds); without exchange reuse, materialise it.
-        from ..plans.session import checkpoint_dir
-        checkpoint_dir(spark)
-        positioned = positioned.checkpoint(eager=True)
+                    .withColumn("_key", F.struct(*keys))
+                    .checkpoint(eager=True))
     counts = (positioned.groupBy(F.col("_key").alias("_gkey"), F.col("_part").alias("_gpart"))
                         .agg(F.count(F.lit(1)).alias("_n")))
     # Rows of the same group in earlier partitions.  One row per

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_text_to_int, snapshot_int, tax_id14, tax_id_base
 from ..sources.scans import scan_upto
-from .ordering import DEFAULT_MAX_GROUP_ROWS, latest_per_key, ordinal
+from .ordering import (DEFAULT_MAX_GROUP_ROWS, hot_keys, latest_per_key, ordinal,
+                       split_by_hot_keys)
 
 HISTORY_COLUMNS = [
     "num_pdv", "cnpj14", "cnpjbas", "cod_cnae", "num_cad_grl_ctri_estb", "cod_mot_can",
@@ -70,10 +71,10 @@ def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str =
     ``method="window"``: windows on ``num_pdv``, one exchange.
     ``method="sorted"``: maxima from a partial aggregate joined back, index
     from the skew-safe ordinal.
-    ``method="auto"``: one partial aggregate finds the points of sale with
-    more than ``max_group_rows`` rows together with their maxima (at most
-    rows / max_group_rows of them, so broadcast); those rows take the
-    skew-safe ordinal, all others the window.
+    ``method="auto"``: a counting job first finds the points of sale with
+    more than ``max_group_rows`` rows (at most rows / max_group_rows of them,
+    so broadcast); those rows take the skew-safe ordinal, all others the
+    window.  Without such a point of sale the plan is just the window.
     """
     h = hist.where(F.col("num_pdv").isNotNull())
     order = _latest_order(tie_break)
@@ -86,17 +87,16 @@ def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str =
         return ordinal(joined, ["num_pdv"], order, "index_num", "sorted").select(*NORMALISED_COLUMNS)
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    hot = F.broadcast(
-        h.groupBy(F.col("num_pdv").alias("_g"))
-         .agg(F.count(F.lit(1)).alias("_size"),
-              F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
-         .where(F.col("_size") > F.lit(max_group_rows))
-         .drop("_size"))
-    # Anti and inner joins let AQE drop the sorted branch when nothing is hot.
-    cold = _normalised_window(h.join(hot, F.col("num_pdv") == F.col("_g"), "left_anti"), order)
-    spread = ordinal(_take_maxima(h.join(hot, F.col("num_pdv") == F.col("_g"), "inner")),
+    hot = hot_keys(h, ["num_pdv"], max_group_rows)
+    if hot is None:
+        return _normalised_window(h, order)
+    cold, hot_rows = split_by_hot_keys(h, ["num_pdv"], hot)
+    # One row per hot point of sale: bounded like the hot-key set itself.
+    maxima = hot_rows.groupBy(F.col("num_pdv").alias("_g")).agg(
+        F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
+    spread = ordinal(_take_maxima(hot_rows.join(F.broadcast(maxima), F.col("num_pdv") == F.col("_g"))),
                      ["num_pdv"], order, "index_num", "sorted")
-    return cold.unionByName(spread.select(*NORMALISED_COLUMNS))
+    return _normalised_window(cold, order).unionByName(spread.select(*NORMALISED_COLUMNS))
 
 
 def _take_maxima(joined: DataFrame) -> DataFrame:

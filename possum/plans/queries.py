@@ -86,7 +86,8 @@ class _Job:
         return C.exit_history(self.inp.cli, *self.measured_exits())
 
     def ranks(self):
-        return C.exit_ranks(self.history_exits(), method=self.method)
+        return C.exit_ranks(self.history_exits(), method=self.method,
+                            sizes_from=C.exit_event_sizes(self.inp.cli, *self.measured_exits()))
 
     def never_left(self):
         return C.never_left_accounts(self.snapshot(), *self.measured_exits())

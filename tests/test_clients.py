@@ -131,3 +131,20 @@ def test_client_floor_limits_the_reads(cli):
         ("0008_0000008", "onboarding"), ("0001_0000001", "ressegmentacao")}
     a = [r for r in floored.collect() if r.agencia_conta == "0001_0000001"]
     assert [(r.jornada, str(r.data_encerramento_conta_emps)) for r in a] == [("onboarding", "2024-01-05")]
+
+
+def test_raw_sizes_bound_the_distinct_groups(cli):
+    from pyspark.sql import functions as F
+
+    exits = C.exit_accounts(cli, EXCLUDED)
+    raw = {(r[0], r[1]): r[2] for r in C.exit_event_sizes(cli, exits)
+           .groupBy("agencia_conta", "_side").count().collect()}
+    hist = C.exit_history(cli, exits).withColumn(
+        "_side", F.when(F.col("canal") == "resseg out", "resseg out").otherwise("entrada"))
+    for r in hist.groupBy("agencia_conta", "_side").count().collect():
+        assert raw[(r[0], r[1])] >= r[2]
+    # A bound that marks groups hot only routes them to the sorted path.
+    exact = C.exit_ranks(C.exit_history(cli, exits), method="window")
+    bounded = C.exit_ranks(C.exit_history(cli, exits), max_group_rows=1,
+                           sizes_from=C.exit_event_sizes(cli, exits))
+    assert sorted(map(repr, exact.collect())) == sorted(map(repr, bounded.collect()))

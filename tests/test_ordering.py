@@ -73,3 +73,23 @@ def test_latest_per_key_plan_combines_map_side(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"))
     plan = latest_per_key(df, ["k"], ["o"], ["o"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+def test_sorted_with_columns_outside_the_sort_key(spark):
+    # Regression: with payload columns outside the sort key and too many rows
+    # for the range sampler to see them all, two independent range shuffles
+    # disagree; the positions must come from one materialisation.
+    df = spark.range(40_000).select(
+        (F.col("id") % 7).alias("g"), (F.col("id") * 7919 % 40_000).alias("o"),
+        F.concat(F.lit("p"), F.col("id").cast("string")).alias("payload"),
+        (F.col("id") % 13).alias("more")).repartition(8)
+    order = [F.col("o").asc()]
+    # Keep the range partitions apart (AQE would merge this small input into one).
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ordinal(df, ["g"], order, "rn", method="sorted")
+        assert got.count() == 40_000
+        assert _rows(got) == _rows(df.withColumn("rn", F.row_number().over(
+            Window.partitionBy("g").orderBy("o"))))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
