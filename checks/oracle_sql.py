@@ -217,7 +217,8 @@ PDV_ACCOUNTS = """pdv_accounts AS (
 PUBLISHED = f"""SELECT num_pdv AS numero_ponto_venda, numero_unico_cliente,
        cnpj14 AS numero_cnpj14, cnpjbas AS numero_cnpj_base, numero_agencia, numero_conta,
        cod_mot_can AS codigo_motivo_cancelamento, cod_gru_ram AS codigo_grupo_ramo,
-       cod_ram_atvd AS codigo_ramo_atividade, cod_cnae AS codigo_cnae, cod_cep AS codigo_cep,
+       cod_ram_atvd AS codigo_ramo_atividade, cod_cnae AS codigo_cnae,
+       CAST(cod_cep AS DOUBLE) AS codigo_cep,
        uf AS sigla_unidade_federativa, cidade AS nome_cidade_estabelecimento,
        dat_can_pdv AS data_cancelamento_ponto_venda, dat_cdst_pdv AS data_cadastro_ponto_venda,
        dat_rtvc_pdv AS data_reativacao_ponto_venda, dat_updt AS data_atualizacao_ponto_venda,
@@ -294,7 +295,7 @@ ORACLE: dict[str, str] = {
     + f"SELECT numero_cnpj_completo, numero_unico_cliente, agencia_conta, jornada, {LIFE_DATES} FROM journeys",
     "client_accounts": with_(CLI, *CLIENT_CTES) + ACCOUNTS_SELECT,
     "pdv_clients": with_(S_PDV, *PDV_CTES, S_ESTB, ESTAB, CLI, *CLIENT_CTES, PDV_ACCOUNTS)
-    + "SELECT * FROM pdv_accounts",
+    + "SELECT * REPLACE (CAST(cod_cep AS DOUBLE) AS cod_cep) FROM pdv_accounts",
     "pdv_emps": with_(S_PDV, *PDV_CTES, S_ESTB, ESTAB, CLI, *CLIENT_CTES, PDV_ACCOUNTS) + PUBLISHED,
 }
 # Other physical strategies of the same relation: same oracle.

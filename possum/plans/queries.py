@@ -36,14 +36,17 @@ EXTRACT_COLUMNS = [
 ]
 
 
-def for_compare(df: DataFrame) -> DataFrame:
-    """Dates → ``yyyy-MM-dd`` text, decimals → double; other columns unchanged."""
+def for_compare(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
+    """Dates → ``yyyy-MM-dd`` text, decimals → double, ``as_double`` columns →
+    double (integers that can be NULL, e.g. after a left join: pandas turns
+    them into floats on one engine and nullable ints on another); other
+    columns unchanged."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DateType):
             c = c.cast("string")
-        elif isinstance(f.dataType, T.DecimalType):
+        elif isinstance(f.dataType, T.DecimalType) or f.name in as_double:
             c = c.cast("double")
         cols.append(c.alias(f.name))
     return df.select(*cols)
@@ -109,9 +112,10 @@ class _Job:
         return FL.pdv_emps(self.latest_pdv(), self.accounts(), self.estab(), self.p.cancel_floor)
 
 
-def _q(build: Callable[[_Job], DataFrame], method: str = "auto") -> Query:
+def _q(build: Callable[[_Job], DataFrame], method: str = "auto",
+       as_double: tuple[str, ...] = ()) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return for_compare(build(_Job(spark, sf_dir, method=method)))
+        return for_compare(build(_Job(spark, sf_dir, method=method)), as_double)
     return run
 
 
@@ -153,6 +157,6 @@ QUERIES: dict[str, Query] = {
     "journey_adjusted": _q(lambda j: j.adjusted()),
     "client_accounts": _q(lambda j: j.accounts()),
     # flagship
-    "pdv_clients": _q(lambda j: j.pdv_clients()),
-    "pdv_emps": _q(lambda j: j.pdv_emps()),
+    "pdv_clients": _q(lambda j: j.pdv_clients(), as_double=("cod_cep",)),
+    "pdv_emps": _q(lambda j: j.pdv_emps(), as_double=("codigo_cep",)),
 }
