@@ -69,6 +69,8 @@ def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str =
     maximum over a window is the same thing with one exchange instead of two.
 
     ``method="window"``: windows on ``num_pdv``, one exchange.
+    ``method="join"``: the literal self-join with the per-key aggregate, for
+    comparison.
     ``method="sorted"``: maxima from a partial aggregate joined back, index
     from the skew-safe ordinal.
     ``method="auto"``: a counting job first finds the points of sale with
@@ -80,6 +82,15 @@ def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str =
     order = _latest_order(tie_break)
     if method == "window":
         return _normalised_window(h, order)
+    if method == "join":
+        # The literal shape: history joined to its own per-key aggregate, then
+        # the index window.  Two exchanges of the history instead of one.
+        status = h.groupBy(F.col("num_pdv").alias("_g")).agg(
+            F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
+        joined = _take_maxima(h.join(status, F.col("num_pdv") == F.col("_g")))
+        ranked = joined.withColumn("index_num", F.row_number().over(
+            Window.partitionBy("num_pdv").orderBy(*order)))
+        return ranked.select(*NORMALISED_COLUMNS)
     if method == "sorted":
         status = h.groupBy(F.col("num_pdv").alias("_g")).agg(
             F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))

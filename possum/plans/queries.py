@@ -138,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "pdv_normalised": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "auto")),
     "pdv_normalised_sorted": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "sorted")),
     "pdv_normalised_window": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "window")),
+    "pdv_normalised_join": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "join")),
     "latest_pdv": _q(lambda j: j.latest_pdv()),
     # establishment
     "latest_estab": _q(lambda j: j.estab()),

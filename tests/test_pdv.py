@@ -37,7 +37,7 @@ def test_status_keeps_null_key_group(s_pdv):
     assert got == {1: (20230501, 20230601), 2: (0, 0), None: (20230101, 0)}
 
 
-@pytest.mark.parametrize("method", ["auto", "window", "sorted"])
+@pytest.mark.parametrize("method", ["auto", "window", "sorted", "join"])
 def test_normalised_all_methods(s_pdv, method):
     h = P.pdv_history(s_pdv, D, keep=("seq",))
     got = sorted((r.num_pdv, r.dat_updt, r.index_num, r.dat_can_pdv, r.dat_rtvc_pdv)
