@@ -18,8 +18,8 @@ from ..functions.columns import account_key
 from ..functions.rules import (entry_or_exit, event_date, is_active, journey_label,
                                journey_override, opening_date)
 from ..sources.scans import scan_since, scan_snapshot
-from .joins import maybe_broadcast, measured_side
-from .ordering import DEFAULT_MAX_GROUP_ROWS, ordinal
+from .joins import DEFAULT_BROADCAST_ROWS, at_most, materialise, maybe_broadcast
+from .ordering import DEFAULT_MAX_GROUP_ROWS, DETECT, ordinal
 
 # Above this many listed accounts the exclusion becomes a join against a
 # DataFrame built from the list (its size is the list's, known on the driver).
@@ -69,7 +69,7 @@ def exit_accounts(cli: DataFrame, excluded: Sequence[str]) -> DataFrame:
 def exit_history(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
     """Distinct events, over all snapshots, of the accounts in ``exits``.
 
-    ``small`` (a measured size, see ``measured_side``) broadcasts the exit
+    ``small`` (a measured size, see ``joins.at_most``) broadcasts the exit
     accounts: the semi-join then filters the raw rows map-side and the
     distinct combines before its exchange; otherwise a shuffle semi-join.
     """
@@ -85,20 +85,21 @@ def exit_history(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataF
 
 def exit_ranks(history: DataFrame, method: str = "auto",
                max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-               sizes_from: DataFrame | None = None) -> DataFrame:
+               sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT) -> DataFrame:
     """Ordinal of each event within (account, entry-or-exit side), oldest first.
 
     NULL dates sort last.  The history is distinct over all its columns, so
     ordering by all of them is total and the ordinals are reproducible.
     ``sizes_from`` (see ``exit_event_sizes``) lets the hot-group check count
-    raw rows instead of recomputing the distinct history.
+    raw rows instead of recomputing the distinct history; ``hot`` (see
+    ``hot_exit_groups``) skips the check.
     """
     side = history.withColumn("_side", entry_or_exit())
     order = [F.col(c).asc_nulls_last() for c in (
         "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "canal",
         "numero_cnpj_completo", "numero_unico_cliente")]
     return (ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method,
-                    max_group_rows=max_group_rows, sizes_from=sizes_from)
+                    max_group_rows=max_group_rows, sizes_from=sizes_from, hot=hot)
             .drop("_side"))
 
 
@@ -113,6 +114,41 @@ def exit_event_sizes(cli: DataFrame, exits: DataFrame, small: bool = False) -> D
             .select("agencia_conta", entry_or_exit().alias("_side")))
 
 
+def account_profile(cli: DataFrame, excluded: Sequence[str]) -> DataFrame:
+    """Per account key (listed and keyless rows dropped): whether it ever had
+    an exit, and its raw row counts on the entry and on the exit side.
+
+    One map-side-combined aggregate over three columns of the client table
+    gives both the exit accounts and upper bounds of every ranking group's
+    size.
+    """
+    rows = exclude_accounts(with_account_key(cli).select("agencia_conta", "canal"), excluded)
+    is_exit = F.coalesce(F.col("canal") == K.CHANNEL_RESSEG_OUT, F.lit(False))
+    return rows.groupBy("agencia_conta").agg(
+        F.max(is_exit).alias("has_exit"),
+        F.sum(is_exit.cast("long")).alias("exit_rows"),
+        F.sum((~is_exit).cast("long")).alias("entry_rows"))
+
+
+def exits_of(profile: DataFrame) -> DataFrame:
+    """The exit accounts, from a profile (same rows as ``exit_accounts``)."""
+    return profile.where(F.col("has_exit")).select("agencia_conta")
+
+
+def hot_exit_groups(profile: DataFrame, max_group_rows: int) -> DataFrame | None:
+    """Ranking groups (account, side) that may exceed ``max_group_rows``, or None.
+
+    At most rows / max_group_rows of them; named like ``ordinal``'s hot keys.
+    """
+    sides = F.array(
+        F.when(F.col("entry_rows") > max_group_rows, F.lit(K.SIDE_ENTRY)),
+        F.when(F.col("exit_rows") > max_group_rows, F.lit(K.CHANNEL_RESSEG_OUT)))
+    hot = (profile.where(F.col("has_exit"))
+                  .select(F.col("agencia_conta").alias("_g0"), F.explode(sides).alias("_g1"))
+                  .where(F.col("_g1").isNotNull()))
+    return None if hot.isEmpty() else hot
+
+
 def never_left_accounts(snapshot: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
     """Run-day accounts that never had an exit, with their own closing date."""
     return snapshot.join(maybe_broadcast(exits, small), "agencia_conta", "left_anti").select(
@@ -184,15 +220,18 @@ def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[s
 
     ``client_floor`` optionally limits every client read to snapshots on or
     after that day (a partition filter); by default all snapshots are read,
-    as the exit history needs them.  The exit accounts are materialised once
-    and measured, then broadcast to both the semi- and the anti-join when
-    small enough.
+    as the exit history needs them.  One account profile is materialised
+    first: it gives the exit accounts (measured, then broadcast to both the
+    semi- and the anti-join when small enough) and the hot ranking groups.
     """
     if client_floor is not None:
         cli = scan_since(cli, client_floor)
-    exits, small = measured_side(exit_accounts(cli, excluded))
-    ranks = exit_ranks(exit_history(cli, exits, small), method=method, max_group_rows=max_group_rows,
-                       sizes_from=exit_event_sizes(cli, exits, small))
+    profile = materialise(account_profile(cli, excluded))
+    exits = exits_of(profile)
+    small = at_most(exits, DEFAULT_BROADCAST_ROWS)
+    hot = hot_exit_groups(profile, max_group_rows) if method == "auto" else None
+    ranks = exit_ranks(exit_history(cli, exits, small), method=method,
+                       max_group_rows=max_group_rows, hot=hot)
     lifecycle = account_lifecycle(ranks, never_left_accounts(
         client_snapshot(cli, execute_date, excluded), exits, small))
     return client_accounts(journey_adjusted(lifecycle, to_outros, to_onboarding), open_end)

@@ -1,4 +1,4 @@
-"""Broadcast behind a measured size, with the shuffle join beyond it."""
+"""Materialise once, measure, then broadcast or shuffle."""
 
 from __future__ import annotations
 
@@ -11,18 +11,25 @@ from ..plans.session import checkpoint_dir
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def measured_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` once in the checkpoint folder and measure it.
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` once into the checkpoint folder and read it from there.
 
-    Returns the materialised DataFrame (read by every later use, so it is
-    computed once and survives a lost executor) and whether it has at most
-    ``max_rows`` rows, i.e. may be broadcast.  The count reads the written
-    rows back; it is one small job.
+    Every later use sees the same rows, computed once, and a lost executor
+    cannot change them.
     """
     checkpoint_dir(df.sparkSession)
-    stored = df.checkpoint(eager=True)
-    small = stored.limit(max_rows + 1).count() <= max_rows
-    return stored, small
+    return df.checkpoint(eager=True)
+
+
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def measured_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``materialise`` then ``at_most``: the stored rows and whether they may be broadcast."""
+    stored = materialise(df)
+    return stored, at_most(stored, max_rows)
 
 
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:

@@ -83,15 +83,19 @@ def split_by_hot_keys(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tup
             df.join(small, cond, "left_semi"))
 
 
+DETECT = "detect"
+
+
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
             method: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-            sizes_from: DataFrame | None = None) -> DataFrame:
+            sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT) -> DataFrame:
     """Add ``name`` = ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as int.
 
     ``order`` must be a total order within each group, as for any
     reproducible ``row_number``.  With ``method="auto"`` the group sizes are
-    checked first (``hot_keys``); without a hot group the plan is the plain
-    window.
+    checked first (``hot_keys``), unless the caller already knows the hot
+    groups (``hot``: a DataFrame of keys named ``_g0, _g1, ...``, or None for
+    none); without a hot group the plan is the plain window.
     """
     keys = list(keys)
     order = list(order)
@@ -101,7 +105,8 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: s
         return _ordinal_sorted(df, keys, order, name)
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    hot = hot_keys(df, keys, max_group_rows, sizes_from)
+    if isinstance(hot, str):
+        hot = hot_keys(df, keys, max_group_rows, sizes_from)
     if hot is None:
         return _ordinal_window(df, keys, order, name)
     cold_rows, hot_rows = split_by_hot_keys(df, keys, hot)

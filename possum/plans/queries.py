@@ -18,7 +18,8 @@ from ..operators import flagship as FL
 from ..operators import pdv as P
 from ..operators import revenue as R
 from ..operators.estab import latest_estab
-from ..operators.joins import measured_side
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, at_most, materialise
+from ..operators.ordering import DEFAULT_MAX_GROUP_ROWS
 from ..params import RunParams
 from ..sources import fixtures
 from ..sources.scans import extract, scan_since, scan_snapshot, scan_upto
@@ -61,6 +62,7 @@ class _Job:
         self.method = method
         self.inp = fixtures.load_inputs(spark, sf_dir)
         self._exits = None
+        self._profile = None
 
     # point of sale
     def history(self, keep=None):
@@ -77,9 +79,15 @@ class _Job:
     def exits(self):
         return C.exit_accounts(self.inp.cli, self.p.excluded_accounts)
 
+    def profile(self):
+        if self._profile is None:
+            self._profile = materialise(C.account_profile(self.inp.cli, self.p.excluded_accounts))
+        return self._profile
+
     def measured_exits(self):
         if self._exits is None:
-            self._exits = measured_side(self.exits())
+            exits = C.exits_of(self.profile())
+            self._exits = (exits, at_most(exits, DEFAULT_BROADCAST_ROWS))
         return self._exits
 
     def snapshot(self):
@@ -89,8 +97,9 @@ class _Job:
         return C.exit_history(self.inp.cli, *self.measured_exits())
 
     def ranks(self):
-        return C.exit_ranks(self.history_exits(), method=self.method,
-                            sizes_from=C.exit_event_sizes(self.inp.cli, *self.measured_exits()))
+        hot = (C.hot_exit_groups(self.profile(), DEFAULT_MAX_GROUP_ROWS)
+               if self.method == "auto" else None)
+        return C.exit_ranks(self.history_exits(), method=self.method, hot=hot)
 
     def never_left(self):
         return C.never_left_accounts(self.snapshot(), *self.measured_exits())

@@ -148,3 +148,17 @@ def test_raw_sizes_bound_the_distinct_groups(cli):
     bounded = C.exit_ranks(C.exit_history(cli, exits), max_group_rows=1,
                            sizes_from=C.exit_event_sizes(cli, exits))
     assert sorted(map(repr, exact.collect())) == sorted(map(repr, bounded.collect()))
+
+
+def test_profile_gives_exits_and_hot_groups(cli):
+    profile = C.account_profile(cli, EXCLUDED)
+    assert sorted(r[0] for r in C.exits_of(profile).collect()) == sorted(
+        r[0] for r in C.exit_accounts(cli, EXCLUDED).collect())
+    assert C.hot_exit_groups(profile, 1000) is None
+    hot = C.hot_exit_groups(profile, 1)
+    assert {(r._g0, r._g1) for r in hot.collect()} == {
+        ("0001_0000001", "entrada"), ("0008_0000008", "resseg out")}
+    exits = C.exit_accounts(cli, EXCLUDED)
+    exact = C.exit_ranks(C.exit_history(cli, exits), method="window")
+    split = C.exit_ranks(C.exit_history(cli, exits), hot=hot)
+    assert sorted(map(repr, exact.collect())) == sorted(map(repr, split.collect()))
