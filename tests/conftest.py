@@ -23,8 +23,6 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
-         .config("spark.local.dir", scratch)
-         .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
