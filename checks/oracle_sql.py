@@ -301,6 +301,8 @@ ORACLE: dict[str, str] = {
 # Other physical strategies of the same relation: same oracle.
 for _alt, _base in (("pdv_normalised_window", "pdv_normalised"),
                     ("pdv_normalised_join", "pdv_normalised"),
+                    ("pdv_normalised_split", "pdv_normalised"),
+                    ("exit_ranks_split", "exit_ranks"),
                     ("pdv_normalised_sorted", "pdv_normalised"),
                     ("revenue_matrix_two_step", "revenue_matrix"),
                     ("exit_ranks_window", "exit_ranks"),

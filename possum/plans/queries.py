@@ -96,8 +96,8 @@ class _Job:
     def history_exits(self):
         return C.exit_history(self.inp.cli, *self.measured_exits())
 
-    def ranks(self):
-        hot = (C.hot_exit_groups(self.profile(), DEFAULT_MAX_GROUP_ROWS)
+    def ranks(self, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS):
+        hot = (C.hot_exit_groups(self.profile(), max_group_rows)
                if self.method == "auto" else None)
         return C.exit_ranks(self.history_exits(), method=self.method, hot=hot)
 
@@ -148,6 +148,8 @@ QUERIES: dict[str, Query] = {
     "pdv_normalised_sorted": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "sorted")),
     "pdv_normalised_window": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "window")),
     "pdv_normalised_join": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "join")),
+    "pdv_normalised_split": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "auto",
+                                                          max_group_rows=9)),
     "latest_pdv": _q(lambda j: j.latest_pdv()),
     # establishment
     "latest_estab": _q(lambda j: j.estab()),
@@ -162,6 +164,9 @@ QUERIES: dict[str, Query] = {
     "exit_ranks": _q(lambda j: j.ranks()),
     "exit_ranks_window": _q(lambda j: j.ranks(), method="window"),
     "exit_ranks_sorted": _q(lambda j: j.ranks(), method="sorted"),
+    # The skew split on the real tables: a tiny threshold makes many groups
+    # "hot", so their rows take the range-sorted path and the rest the window.
+    "exit_ranks_split": _q(lambda j: j.ranks(max_group_rows=3)),
     "never_left_accounts": _q(lambda j: j.never_left()),
     "account_lifecycle": _q(lambda j: j.lifecycle()),
     "journey_adjusted": _q(lambda j: j.adjusted()),
