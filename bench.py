@@ -23,8 +23,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["pdv_normalised", "latest_pdv", "latest_estab", "client_accounts", "pdv_emps",
             "revenue_matrix"]
-EXTRA = ["pdv_normalised_window", "pdv_normalised_join", "exit_ranks", "exit_ranks_window",
-         "revenue_matrix_two_step"]
+EXTRA = ["pdv_normalised_window", "pdv_normalised_join", "latest_pdv_window",
+         "latest_estab_window", "exit_ranks", "exit_ranks_window", "revenue_matrix_two_step"]
 
 
 def main() -> None:

@@ -302,6 +302,8 @@ ORACLE: dict[str, str] = {
 for _alt, _base in (("pdv_normalised_window", "pdv_normalised"),
                     ("pdv_normalised_join", "pdv_normalised"),
                     ("pdv_normalised_split", "pdv_normalised"),
+                    ("latest_pdv_window", "latest_pdv"),
+                    ("latest_estab_window", "latest_estab"),
                     ("exit_ranks_split", "exit_ranks"),
                     ("pdv_normalised_sorted", "pdv_normalised"),
                     ("revenue_matrix_two_step", "revenue_matrix"),

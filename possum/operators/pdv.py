@@ -124,12 +124,20 @@ def _normalised_window(h: DataFrame, order: list[Column]) -> DataFrame:
     return out.select(*NORMALISED_COLUMNS)
 
 
-def latest_pdv(hist: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+def latest_pdv(hist: DataFrame, tie_break: Sequence[str] = (), method: str = "aggregate") -> DataFrame:
     """The ``index_num = 1`` rows of ``pdv_normalised``, computed directly.
 
-    One aggregate per point of sale: the maxima and the most recent row's
-    attributes in the same map-side-combined pass, one exchange.
+    ``method="aggregate"``: one aggregate per point of sale, the maxima and
+    the most recent row's attributes in the same map-side-combined pass, one
+    exchange, safe for a hot point of sale.  ``method="window"``: the
+    normalised windows then ``index_num = 1`` (a hot point of sale is sorted
+    by one task), kept for comparison.
     """
+    if method == "window":
+        return (pdv_normalised(hist, tie_break, "window")
+                .where(F.col("index_num") == 1).select(*LATEST_COLUMNS))
+    if method != "aggregate":
+        raise ValueError(f"unknown method {method!r}")
     h = hist.where(F.col("num_pdv").isNotNull())
     values = [c for c in LATEST_COLUMNS if c not in ("num_pdv", "dat_can_pdv", "dat_rtvc_pdv")]
     order = ["dat_updt", *tie_break]

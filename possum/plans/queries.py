@@ -151,8 +151,10 @@ QUERIES: dict[str, Query] = {
     "pdv_normalised_split": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "auto",
                                                           max_group_rows=9)),
     "latest_pdv": _q(lambda j: j.latest_pdv()),
+    "latest_pdv_window": _q(lambda j: P.latest_pdv(j.history(), j.p.pdv_tie_break, "window")),
     # establishment
     "latest_estab": _q(lambda j: j.estab()),
+    "latest_estab_window": _q(lambda j: latest_estab(j.inp.s_estb, j.p.estab_tie_break, "window")),
     # revenue
     "monthly_revenue": _q(lambda j: R.monthly_revenue(j.inp.tx)),
     "revenue_matrix": _q(lambda j: R.revenue_matrix(j.inp.tx, j.p.as_of, j.p.months)),
