@@ -24,7 +24,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = ["pdv_normalised", "latest_pdv", "latest_estab", "client_accounts", "pdv_emps",
             "revenue_matrix"]
 EXTRA = ["pdv_normalised_window", "pdv_normalised_join", "latest_pdv_window",
-         "latest_estab_window", "exit_ranks", "exit_ranks_window", "revenue_matrix_two_step"]
+         "latest_estab_window", "exit_ranks", "exit_ranks_window", "exit_ranks_split",
+         "pdv_normalised_split", "revenue_matrix_two_step"]
 
 
 def main() -> None:

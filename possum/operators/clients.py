@@ -18,7 +18,7 @@ from ..functions.columns import account_key
 from ..functions.rules import (entry_or_exit, event_date, is_active, journey_label,
                                journey_override, opening_date)
 from ..sources.scans import scan_since, scan_snapshot
-from .joins import DEFAULT_BROADCAST_ROWS, at_most, materialise, maybe_broadcast
+from .joins import DEFAULT_BROADCAST_ROWS, materialise, maybe_broadcast
 from .ordering import DEFAULT_MAX_GROUP_ROWS, DETECT, ordinal
 
 # Above this many listed accounts the exclusion becomes a join against a
@@ -69,7 +69,7 @@ def exit_accounts(cli: DataFrame, excluded: Sequence[str]) -> DataFrame:
 def exit_history(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
     """Distinct events, over all snapshots, of the accounts in ``exits``.
 
-    ``small`` (a measured size, see ``joins.at_most``) broadcasts the exit
+    ``small`` (a measured size, see ``profile_decisions``) broadcasts the exit
     accounts: the semi-join then filters the raw rows map-side and the
     distinct combines before its exchange; otherwise a shuffle semi-join.
     """
@@ -135,18 +135,42 @@ def exits_of(profile: DataFrame) -> DataFrame:
     return profile.where(F.col("has_exit")).select("agencia_conta")
 
 
-def hot_exit_groups(profile: DataFrame, max_group_rows: int) -> DataFrame | None:
-    """Ranking groups (account, side) that may exceed ``max_group_rows``, or None.
+def _hot_sides(max_group_rows: int):
+    return (F.col("entry_rows") > max_group_rows, F.col("exit_rows") > max_group_rows)
+
+
+def profile_counts(profile: DataFrame, max_group_rows: int) -> tuple[int, int]:
+    """(exit accounts, accounts with a hot ranking group), in one small job.
+
+    Only two numbers reach the driver.
+    """
+    entry_hot, exit_hot = _hot_sides(max_group_rows)
+    row = profile.agg(
+        F.sum(F.col("has_exit").cast("long")).alias("exits"),
+        F.sum((F.col("has_exit") & (entry_hot | exit_hot)).cast("long")).alias("hot")).first()
+    return int(row["exits"] or 0), int(row["hot"] or 0)
+
+
+def hot_exit_groups(profile: DataFrame, max_group_rows: int) -> DataFrame:
+    """Ranking groups (account, side) that may exceed ``max_group_rows``.
 
     At most rows / max_group_rows of them; named like ``ordinal``'s hot keys.
     """
-    sides = F.array(
-        F.when(F.col("entry_rows") > max_group_rows, F.lit(K.SIDE_ENTRY)),
-        F.when(F.col("exit_rows") > max_group_rows, F.lit(K.CHANNEL_RESSEG_OUT)))
-    hot = (profile.where(F.col("has_exit"))
-                  .select(F.col("agencia_conta").alias("_g0"), F.explode(sides).alias("_g1"))
-                  .where(F.col("_g1").isNotNull()))
-    return None if hot.isEmpty() else hot
+    entry_hot, exit_hot = _hot_sides(max_group_rows)
+    sides = F.array(F.when(entry_hot, F.lit(K.SIDE_ENTRY)),
+                    F.when(exit_hot, F.lit(K.CHANNEL_RESSEG_OUT)))
+    return (profile.where(F.col("has_exit"))
+                   .select(F.col("agencia_conta").alias("_g0"), F.explode(sides).alias("_g1"))
+                   .where(F.col("_g1").isNotNull()))
+
+
+def profile_decisions(profile: DataFrame, max_group_rows: int,
+                      method: str = "auto") -> tuple[DataFrame, bool, DataFrame | None]:
+    """From a materialised profile: the exit accounts, whether they may be
+    broadcast, and the hot ranking groups (None when there are none)."""
+    n_exits, n_hot = profile_counts(profile, max_group_rows)
+    hot = hot_exit_groups(profile, max_group_rows) if method == "auto" and n_hot else None
+    return exits_of(profile), n_exits <= DEFAULT_BROADCAST_ROWS, hot
 
 
 def never_left_accounts(snapshot: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
@@ -227,9 +251,7 @@ def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[s
     if client_floor is not None:
         cli = scan_since(cli, client_floor)
     profile = materialise(account_profile(cli, excluded))
-    exits = exits_of(profile)
-    small = at_most(exits, DEFAULT_BROADCAST_ROWS)
-    hot = hot_exit_groups(profile, max_group_rows) if method == "auto" else None
+    exits, small, hot = profile_decisions(profile, max_group_rows, method)
     ranks = exit_ranks(exit_history(cli, exits, small), method=method,
                        max_group_rows=max_group_rows, hot=hot)
     lifecycle = account_lifecycle(ranks, never_left_accounts(

@@ -18,7 +18,7 @@ from ..operators import flagship as FL
 from ..operators import pdv as P
 from ..operators import revenue as R
 from ..operators.estab import latest_estab
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, at_most, materialise
+from ..operators.joins import materialise
 from ..operators.ordering import DEFAULT_MAX_GROUP_ROWS
 from ..params import RunParams
 from ..sources import fixtures
@@ -61,8 +61,8 @@ class _Job:
         self.p = p
         self.method = method
         self.inp = fixtures.load_inputs(spark, sf_dir)
-        self._exits = None
         self._profile = None
+        self._decisions = {}
 
     # point of sale
     def history(self, keep=None):
@@ -84,11 +84,15 @@ class _Job:
             self._profile = materialise(C.account_profile(self.inp.cli, self.p.excluded_accounts))
         return self._profile
 
+    def decisions(self, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS):
+        key = (max_group_rows, self.method)
+        if key not in self._decisions:
+            self._decisions[key] = C.profile_decisions(self.profile(), max_group_rows, self.method)
+        return self._decisions[key]
+
     def measured_exits(self):
-        if self._exits is None:
-            exits = C.exits_of(self.profile())
-            self._exits = (exits, at_most(exits, DEFAULT_BROADCAST_ROWS))
-        return self._exits
+        exits, small, _ = self.decisions()
+        return exits, small
 
     def snapshot(self):
         return C.client_snapshot(self.inp.cli, self.p.execute_date, self.p.excluded_accounts)
@@ -97,8 +101,7 @@ class _Job:
         return C.exit_history(self.inp.cli, *self.measured_exits())
 
     def ranks(self, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS):
-        hot = (C.hot_exit_groups(self.profile(), max_group_rows)
-               if self.method == "auto" else None)
+        hot = self.decisions(max_group_rows)[2]
         return C.exit_ranks(self.history_exits(), method=self.method, hot=hot)
 
     def never_left(self):

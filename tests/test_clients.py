@@ -154,7 +154,10 @@ def test_profile_gives_exits_and_hot_groups(cli):
     profile = C.account_profile(cli, EXCLUDED)
     assert sorted(r[0] for r in C.exits_of(profile).collect()) == sorted(
         r[0] for r in C.exit_accounts(cli, EXCLUDED).collect())
-    assert C.hot_exit_groups(profile, 1000) is None
+    assert C.hot_exit_groups(profile, 1000).count() == 0
+    assert C.profile_counts(profile, 1000) == (2, 0)
+    assert C.profile_counts(profile, 1) == (2, 2)
+    assert C.profile_decisions(profile, 1000)[2] is None
     hot = C.hot_exit_groups(profile, 1)
     assert {(r._g0, r._g1) for r in hot.collect()} == {
         ("0001_0000001", "entrada"), ("0008_0000008", "resseg out")}
