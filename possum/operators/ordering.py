@@ -75,12 +75,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_group_rows: int,
 
 
 def split_by_hot_keys(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of other groups, rows of hot groups); ``hot`` comes from ``hot_keys``."""
+    """(rows of other groups, rows of hot groups); ``hot`` comes from ``hot_keys``.
+
+    The key set has at most rows / max_group_rows entries; it is also
+    counted, and broadcast only within the broadcast row limit (a tiny
+    threshold could make it large), else joined by shuffle.
+    """
+    from .joins import DEFAULT_BROADCAST_ROWS, at_most, maybe_broadcast
+
     gnames = [f"_g{i}" for i in range(len(keys))]
     cond = [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, gnames)]
-    small = F.broadcast(hot)   # bounded by construction, see hot_keys
-    return (df.join(small, cond, "left_anti"),
-            df.join(small, cond, "left_semi"))
+    side = maybe_broadcast(hot, at_most(hot, DEFAULT_BROADCAST_ROWS))
+    return (df.join(side, cond, "left_anti"),
+            df.join(side, cond, "left_semi"))
 
 
 DETECT = "detect"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_text_to_int, snapshot_int, tax_id14, tax_id_base
 from ..sources.scans import scan_upto
+from .joins import DEFAULT_BROADCAST_ROWS, at_most, maybe_broadcast
 from .ordering import (DEFAULT_MAX_GROUP_ROWS, hot_keys, latest_per_key, ordinal,
                        split_by_hot_keys)
 
@@ -102,10 +103,12 @@ def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str =
     if hot is None:
         return _normalised_window(h, order)
     cold, hot_rows = split_by_hot_keys(h, ["num_pdv"], hot)
-    # One row per hot point of sale: bounded like the hot-key set itself.
+    # One row per hot point of sale: as many as hot keys, so broadcast on
+    # the same measured condition.
     maxima = hot_rows.groupBy(F.col("num_pdv").alias("_g")).agg(
         F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
-    spread = ordinal(_take_maxima(hot_rows.join(F.broadcast(maxima), F.col("num_pdv") == F.col("_g"))),
+    maxima = maybe_broadcast(maxima, at_most(hot, DEFAULT_BROADCAST_ROWS))
+    spread = ordinal(_take_maxima(hot_rows.join(maxima, F.col("num_pdv") == F.col("_g"))),
                      ["num_pdv"], order, "index_num", "sorted")
     return _normalised_window(cold, order).unionByName(spread.select(*NORMALISED_COLUMNS))
 

@@ -93,3 +93,15 @@ def test_sorted_with_columns_outside_the_sort_key(spark):
             Window.partitionBy("g").orderBy("o"))))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_large_hot_sets_join_by_shuffle(spark, skewed, monkeypatch):
+    import possum.operators.joins as J
+    import possum.operators.pdv as P
+
+    monkeypatch.setattr(J, "DEFAULT_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(P, "DEFAULT_BROADCAST_ROWS", 1)
+    order = [F.col("d").asc_nulls_last(), F.col("id")]
+    got = ordinal(skewed, ["g", "s"], order, "rn", method="auto", max_group_rows=20)
+    # Above the limit the key set is joined without a broadcast hint; same rows.
+    assert _rows(got) == _expected(skewed)
