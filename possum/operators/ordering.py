@@ -9,9 +9,10 @@ lands whole in one task.
 * ``method="window"``: the plain window, one hash exchange on the group key;
   one task sorts a whole group.
 * ``method="sorted"``: a global range sort spreads even a single huge group
-  over many partitions; each row gets its position inside its partition,
-  and a small per-(group, partition) count table turns positions into
-  ordinals.  Two large exchanges instead of one.
+  over many partitions; each row gets its position inside its partition
+  (materialised once with ``checkpoint()``), and a small per-(group,
+  partition) count table turns positions into ordinals.  Two large
+  exchanges and one write instead of one exchange.
 * ``method="auto"`` (default): split by group size.  Groups above
   ``max_group_rows`` are found first with a map-side-combined count; there
   are at most ``rows / max_group_rows`` of them, a proven bound, so that key
