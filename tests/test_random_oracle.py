@@ -124,3 +124,44 @@ def test_revenue_matrix_random(spark, seed):
         "valor_transacao": pa.array([r[2] for r in rows], pa.decimal128(18, 2))}))
     for build in (R.revenue_matrix, R.revenue_matrix_two_step):
         _compare(for_compare(build(tx, FP.as_of)), con, O.with_(O.MONTHLY) + O.MATRIX)
+
+
+def _estb_rows(seed, n=200):
+    rnd = random.Random(seed + 100)
+    rows = []
+    for seq in range(n):
+        d = rnd.choice(["20231230", "20240101", "20240110", "20240115", "20240120"])
+        rows.append((_pick(rnd, [1230000000191, 1240000000191, 1250000000191], 0.05),
+                     _pick(rnd, ["SP", "RJ"], 0.1), _pick(rnd, [" A ", "B", " "], 0.1),
+                     _pick(rnd, ["00001001", "123", "0"], 0.1),
+                     d[:4], str(int(d[4:6])), str(int(d[6:])), seq))
+    return rows
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_flagship_random(spark, seed):
+    from possum.operators import flagship as FL
+    from possum.operators.estab import latest_estab
+    from tests.helpers import ESTB_SCHEMA
+
+    pdv_rows = _pdv_rows(seed)
+    estb_rows = _estb_rows(seed)
+    rnd = random.Random(seed + 7)
+    # Client tax ids drawn from the same small set the points of sale use.
+    taxes = ["01230000000191", "01240000000191", "00000000000005", None]
+    cli_rows = [(rnd.choice(taxes),) + r[1:] for r in _cli_rows(seed)]
+    con = duckdb.connect()
+    con.register("s_pdv", _arrow(pdv_rows, PDV_SCHEMA))
+    con.register("s_estb", _arrow(estb_rows, ESTB_SCHEMA))
+    con.register("cli", _arrow(cli_rows, schemas.CLI))
+    s_pdv = spark.createDataFrame(pdv_rows, PDV_SCHEMA)
+    s_estb = spark.createDataFrame(estb_rows, ESTB_SCHEMA)
+    cli = spark.createDataFrame(cli_rows, schemas.CLI)
+    latest = P.latest_pdv(P.pdv_history(s_pdv, FP.execute_date, keep=("seq",)), ("seq",))
+    accounts = C.client_accounts_from(cli, FP.execute_date, FP.excluded_accounts,
+                                      FP.journey_to_outros, FP.journey_to_onboarding)
+    estab = latest_estab(s_estb, ("seq",))
+    out = for_compare(FL.pdv_emps(latest, accounts, estab, FP.cancel_floor), ("codigo_cep",))
+    sql = O.with_(*O.PDV_CTES, O.ESTAB, *O.CLIENT_CTES, O.PDV_ACCOUNTS) + O.PUBLISHED
+    assert out.count() > 0
+    _compare(out, con, sql)
