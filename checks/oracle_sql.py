@@ -45,7 +45,9 @@ S_PDV = """s_pdv AS (
     FROM orders)"""
 
 S_ESTB = """s_estb AS (
-    SELECT CAST((c.c_custkey - c.c_custkey % 10) * 1000000 + 191 AS BIGINT) AS num_cad_grl_ctri_estb,
+    SELECT CAST((c.c_custkey - c.c_custkey % 10) * 1000000 + 191
+                + CASE WHEN (c.c_custkey - c.c_custkey % 10) % 70 = 0 THEN 1 ELSE 0 END
+                AS BIGINT) AS num_cad_grl_ctri_estb,
            n.n_name AS cod_sgl_uf,
            ' ' || c.c_name || ' ' AS nom_cid_estb,
            lpad(CAST(c.c_nationkey * 1000 + c.c_custkey % 1000 AS VARCHAR), 8, '0') AS cod_cep_estb,
@@ -55,8 +57,7 @@ S_ESTB = """s_estb AS (
            o.o_orderkey AS seq
     FROM orders o
     JOIN customer c ON o.o_custkey = c.c_custkey
-    JOIN nation n ON c.c_nationkey = n.n_nationkey
-    WHERE (c.c_custkey - c.c_custkey % 10) % 70 <> 0)"""
+    JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
 CLI = """cli AS (
     SELECT lpad(CAST(user_id * 10 * 1000000 + 191 AS VARCHAR), 14, '0') AS cnpj,

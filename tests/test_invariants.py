@@ -16,7 +16,7 @@ def test_one_row_per_key(job):
     latest = job.latest_pdv()
     assert latest.count() == latest.select("num_pdv").distinct().count() == 1498
     estab = job.estab()
-    assert estab.count() == estab.select("cnpj14").distinct().count() == 128
+    assert estab.count() == estab.select("cnpj14").distinct().count() == 150
 
 
 def test_no_exit_journey_and_flag_rule(job):
