@@ -11,7 +11,7 @@ land in 2018-2024.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,22 +146,38 @@ def tx(lineitem: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class Inputs:
-    s_pdv: DataFrame
-    s_estb: DataFrame
-    cli: DataFrame
-    tx: DataFrame
+    """The four job inputs over one scale-factor folder, schema-checked.
+
+    Each is built on first use, so a query reads only the tables it needs.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._dir = sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return read(self._spark, self._dir, name)
+
+    @cached_property
+    def s_pdv(self) -> DataFrame:
+        return schemas.require(s_pdv(self._read("orders")), schemas.S_PDV, "s_pdv")
+
+    @cached_property
+    def s_estb(self) -> DataFrame:
+        return schemas.require(
+            s_estb(self._read("orders"), self._read("customer"), self._read("nation")),
+            schemas.S_ESTB, "s_estb")
+
+    @cached_property
+    def cli(self) -> DataFrame:
+        return schemas.require(cli(self._read("events")), schemas.CLI, "cli")
+
+    @cached_property
+    def tx(self) -> DataFrame:
+        return schemas.require(tx(self._read("lineitem")), schemas.TX, "tx")
 
 
 def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """The four job inputs over one scale-factor folder, schema-checked."""
-    orders = read(spark, sf_dir, "orders")
-    return Inputs(
-        s_pdv=schemas.require(s_pdv(orders), schemas.S_PDV, "s_pdv"),
-        s_estb=schemas.require(
-            s_estb(orders, read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")),
-            schemas.S_ESTB, "s_estb"),
-        cli=schemas.require(cli(read(spark, sf_dir, "events")), schemas.CLI, "cli"),
-        tx=schemas.require(tx(read(spark, sf_dir, "lineitem")), schemas.TX, "tx"),
-    )
+    """The four job inputs over one scale-factor folder (built lazily)."""
+    return Inputs(spark, sf_dir)
