@@ -82,3 +82,21 @@ def test_no_python_in_any_registered_plan(spark, key):
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                    "MapInPandas"):
         assert marker not in plan
+
+
+def test_bucketed_history_needs_no_exchange(spark):
+    from possum.operators.pdv import latest_pdv
+
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    name = "possum_bucketed_pdv"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (inp.s_pdv.write.partitionBy("ano", "mes", "dia").bucketBy(8, "num_pdv")
+        .sortBy("num_pdv").saveAsTable(name))
+    try:
+        hist = pdv_history(spark.table(name), 20240115, keep=("seq",))
+        latest = latest_pdv(hist, ("seq",))
+        plan = _plan(latest)
+        assert "Exchange" not in plan
+        assert latest.count() == 150
+    finally:
+        spark.sql(f"DROP TABLE {name}")
