@@ -98,8 +98,12 @@ def exit_ranks(history: DataFrame, method: str = "auto",
     order = [F.col(c).asc_nulls_last() for c in (
         "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "canal",
         "numero_cnpj_completo", "numero_unico_cliente")]
+    # Outside hot groups an account holds at most 2 * max_group_rows rows, so
+    # the window rows are partitioned by account alone: the entry/exit
+    # pairing (keyed by account and ordinal) then reuses that exchange.
     return (ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method,
-                    max_group_rows=max_group_rows, sizes_from=sizes_from, hot=hot)
+                    max_group_rows=max_group_rows, sizes_from=sizes_from, hot=hot,
+                    cluster_by=["agencia_conta"] if method == "auto" else None)
             .drop("_side"))
 
 

@@ -96,14 +96,18 @@ DETECT = "detect"
 
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
             method: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-            sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT) -> DataFrame:
+            sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT,
+            cluster_by: Sequence[str] | None = None) -> DataFrame:
     """Add ``name`` = ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as int.
 
     ``order`` must be a total order within each group, as for any
     reproducible ``row_number``.  With ``method="auto"`` the group sizes are
     checked first (``hot_keys``), unless the caller already knows the hot
     groups (``hot``: a DataFrame of keys named ``_g0, _g1, ...``, or None for
-    none); without a hot group the plan is the plain window.
+    none); without a hot group the plan is the plain window.  ``cluster_by``
+    (a prefix of ``keys``) hash-partitions the window's rows by fewer
+    columns, so a later step keyed by the same columns reuses the exchange;
+    only for "auto", where the window sees no hot group.
     """
     keys = list(keys)
     order = list(order)
@@ -116,13 +120,16 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: s
     if isinstance(hot, str):
         hot = hot_keys(df, keys, max_group_rows, sizes_from)
     if hot is None:
-        return _ordinal_window(df, keys, order, name)
+        return _ordinal_window(df, keys, order, name, cluster_by)
     cold_rows, hot_rows = split_by_hot_keys(df, keys, hot)
-    return (_ordinal_window(cold_rows, keys, order, name)
+    return (_ordinal_window(cold_rows, keys, order, name, cluster_by)
             .unionByName(_ordinal_sorted(hot_rows, keys, order, name)))
 
 
-def _ordinal_window(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+def _ordinal_window(df: DataFrame, keys: list[str], order: list[Column], name: str,
+                    cluster_by: Sequence[str] | None = None) -> DataFrame:
+    if cluster_by:
+        df = df.repartition(*cluster_by)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w))
 
