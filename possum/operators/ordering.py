@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 _POS_BITS = 33   # monotonically_increasing_id = partition index << 33 | row position
 
 # A group up to this size is sorted by one task (a few seconds of work);
-# larger ones are spread over many.
+# larger ones are spread over many.  Same default as RunParams.max_group_rows.
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 

@@ -28,3 +28,5 @@ class RunParams:
     open_end: dt.date = K.OPEN_END
     pdv_tie_break: tuple[str, ...] = field(default_factory=tuple)
     estab_tie_break: tuple[str, ...] = field(default_factory=tuple)
+    # Groups above this many rows are ranked by the skew-safe path.
+    max_group_rows: int = 1_000_000

@@ -41,7 +41,8 @@ def transform(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunPa
     estab = latest_estab(s_estb, params.estab_tie_break)
     accounts = client_accounts_from(
         cli, params.execute_date, params.excluded_accounts, params.journey_to_outros,
-        params.journey_to_onboarding, params.open_end, method=method, client_floor=client_floor)
+        params.journey_to_onboarding, params.open_end, method=method, client_floor=client_floor,
+        max_group_rows=params.max_group_rows)
     return Results(pdv_emps(latest, accounts, estab, params.cancel_floor), accounts, estab)
 
 
