@@ -60,6 +60,16 @@ def main() -> None:
         for key in keys:
             samples[key].append(once(key))
     timings = {k: round(statistics.median(v), 3) for k, v in samples.items()}
+    setup = {
+        "spark_version": spark.version,
+        "master": spark.sparkContext.master,
+        "driver_memory": spark.sparkContext.getConf().get("spark.driver.memory", "default"),
+        "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
+        "aqe": spark.conf.get("spark.sql.adaptive.enabled"),
+        "warm": True,
+        "statistic": f"median of {runs} interleaved runs after one warm-up pass",
+        "action": "write.format('noop')",
+    }
     spark.stop()
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
@@ -70,6 +80,8 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
+        "headline": HEADLINE,
+        "setup": setup,
     }))
 
 
