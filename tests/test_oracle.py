@@ -12,6 +12,10 @@ def con():
     return duck(SF_SMALL)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, key):
     oracles = E.oracle_sql()
@@ -19,6 +23,9 @@ def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
     rel = con.sql(oracles[key])
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK[f.dataType.simpleString()] == duck_types[f.name], f.name
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
 
 
