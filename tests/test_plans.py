@@ -100,3 +100,11 @@ def test_bucketed_history_needs_no_exchange(spark):
         assert latest.count() == 150
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_revenue_aggregation_stays_in_codegen(spark):
+    df = QUERIES["revenue_matrix"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    aggs = [line for line in final.splitlines() if "HashAggregate(" in line]
+    assert len(aggs) == 2 and all("*(" in line for line in aggs)
