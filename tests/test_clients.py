@@ -165,3 +165,17 @@ def test_profile_gives_exits_and_hot_groups(cli):
     exact = C.exit_ranks(C.exit_history(cli, exits), method="window")
     split = C.exit_ranks(C.exit_history(cli, exits), hot=hot)
     assert sorted(map(repr, exact.collect())) == sorted(map(repr, split.collect()))
+
+
+@pytest.mark.parametrize("method", ["window", "sorted"])
+def test_whole_chain_methods_agree_on_test_tables(spark, method):
+    from possum.sources import fixtures
+    from tests.conftest import SF_SMALL
+
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    p = fixtures.FIXTURE_PARAMS
+    args = (inp.cli, p.execute_date, p.excluded_accounts, p.journey_to_outros, p.journey_to_onboarding)
+    auto = C.client_accounts_from(*args)
+    other = C.client_accounts_from(*args, method=method)
+    assert auto.count() == 412
+    assert sorted(map(repr, auto.collect())) == sorted(map(repr, other.collect()))
