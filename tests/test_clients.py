@@ -179,3 +179,8 @@ def test_whole_chain_methods_agree_on_test_tables(spark, method):
     other = C.client_accounts_from(*args, method=method)
     assert auto.count() == 412
     assert sorted(map(repr, auto.collect())) == sorted(map(repr, other.collect()))
+
+
+def test_keyless_rows_dropped_even_without_a_list(cli):
+    keys = [r.agencia_conta for r in C.client_snapshot(cli, D, ()).collect()]
+    assert None not in keys and "0009_0000009" in keys

@@ -65,3 +65,10 @@ def test_run_from_catalog_two_days_and_rerun(spark):
     assert set(days) == {20240114, 20240115} and days[20240115] == 1635
     for n in names.values():
         spark.sql(f"DROP TABLE {n}")
+
+
+def test_load_needs_a_target(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        load(spark.range(1).withColumn("anomesdia", F.lit(1)))
