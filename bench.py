@@ -53,13 +53,21 @@ def main() -> None:
         return time.perf_counter() - t0
 
     keys = HEADLINE + EXTRA
+    errors: dict[str, str] = {}
     for key in keys:
-        once(key)
-    samples: dict[str, list[float]] = {k: [] for k in keys}
+        try:
+            once(key)
+        except Exception as exc:  # report, keep benchmarking the others
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    samples: dict[str, list[float]] = {k: [] for k in keys if k not in errors}
     for _ in range(runs):
-        for key in keys:
-            samples[key].append(once(key))
-    timings = {k: round(statistics.median(v), 3) for k, v in samples.items()}
+        for key in list(samples):
+            try:
+                samples[key].append(once(key))
+            except Exception as exc:
+                errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
+                del samples[key]
+    timings = {k: round(statistics.median(v), 3) for k, v in samples.items() if v}
     setup = {
         "spark_version": spark.version,
         "master": spark.sparkContext.master,
@@ -74,13 +82,15 @@ def main() -> None:
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(timings[k] for k in HEADLINE), 3),
+        "value": round(sum(timings.get(k, 0.0) for k in HEADLINE), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
         "headline": HEADLINE,
+        "complete": not errors,
+        "errors": errors,
         "setup": setup,
     }))
 
