@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import shuffle_partitions, table
 from .exact_dedup import exact_dedup
+from .packing import pack
+from .quality import classify
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), buckets=buckets)
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality_classifier": op9_quality_classifier,
 }
