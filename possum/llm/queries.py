@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import shuffle_partitions, table
 from .exact_dedup import exact_dedup
+from .near_join import near_copies
 from .packing import pack
 from .quality import classify
+from .secrets import find_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +21,15 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), buckets=buckets)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "n_copies")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -29,6 +40,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
 }
