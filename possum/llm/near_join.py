@@ -51,7 +51,7 @@ BLOCK = 512          # classes in a block of a larger bucket
 BLOCK_SHINGLES = 1_000_000
 LEVELS = 12
 CHILDREN = 2         # tokens sampled for a bucket that is split
-PROBES = 8           # tokens that estimate a bucket's average similarity
+PROBES = 32          # tokens that estimate a bucket's average similarity
 DENSE = 0.7          # average similarity from which a bucket is not split
 
 _RNG = np.random.default_rng(20240104)
@@ -148,6 +148,24 @@ def _sampled(n: int, seed: int):
                      for k in range(n)])
 
 
+def similarity(inside: DataFrame) -> DataFrame:
+    """Average similarity of the members of each bucket.
+
+    For one bin it is the sum of squared shares of its values.  Adding up a
+    random sign per value and squaring estimates that sum in one aggregate
+    (tug of war), so members are counted, not paired or multiplied.
+    """
+    tugs = []
+    for b in range(0, BINS, BINS // PROBES):
+        odd = F.xxhash64(F.element_at("mins", b + 1), F.lit(b)).bitwiseAND(F.lit(1))
+        tugs.append(F.sum(F.lit(1) - 2 * odd))
+    squares = sum((F.col(f"tug{k}").cast("double") ** 2 for k in range(len(tugs))), F.lit(0.0))
+    return (inside.groupBy("bucket")
+            .agg(F.count(F.lit(1)).cast("double").alias("n"),
+                 *[t.alias(f"tug{k}") for k, t in enumerate(tugs)])
+            .select("bucket", (squares / (len(tugs) * F.col("n") ** 2)).alias("alike")))
+
+
 def buckets(classes: DataFrame) -> DataFrame:
     """(key, bucket, members, shingles) for every bucket to be compared."""
     sketches = classes.where("n > 0").select("key", "n", "mins")
@@ -172,15 +190,7 @@ def buckets(classes: DataFrame) -> DataFrame:
                 inside = materialise(
                     cur.join(large.select("bucket", "members"), "bucket")
                     .join(sketches.select("key", "mins"), "key"))
-                alike = (inside.select("bucket", "members", F.explode(_sampled(PROBES, 100)).alias("b"),
-                                       "mins")
-                         .groupBy("bucket", "members", "b", F.element_at("mins", F.col("b") + 1).alias("v"))
-                         .count()
-                         .groupBy("bucket", "members", "b")
-                         .agg((F.sum(F.col("count").cast("double") ** 2)
-                               / F.col("members").cast("double") ** 2).alias("alike"))
-                         .groupBy("bucket").agg(F.avg("alike").alias("alike")))
-                alike = materialise(alike)
+                alike = materialise(similarity(inside))
                 dense = alike.where(F.col("alike") >= DENSE).select("bucket")
                 done = small.unionByName(large.join(dense, "bucket", "left_semi"))
                 more = (inside.join(alike.where(F.col("alike") < DENSE).select("bucket"), "bucket",
