@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import shuffle_partitions, table
 from .exact_dedup import exact_dedup
+from .fingerprints import fingerprints
 from .near_join import near_copies
 from .packing import pack
 from .quality import classify
 from .secrets import find_secrets
+from .sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), buckets=buckets)
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -38,10 +44,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op6_secret_scan": op6_secret_scan,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_extendible_sharding": op10_extendible_sharding,
 }
