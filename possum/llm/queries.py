@@ -9,15 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import shuffle_partitions, table
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprints
+from .merge_dropout import encode
 from .near_join import near_copies
 from .packing import pack
 from .quality import classify
 from .secrets import find_secrets
 from .sharding import shard_documents
+from .training_order import training_order
+from .urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(table(spark, sf_dir, "documents"))
+
+
+def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     buckets = max(64, shuffle_partitions(spark))
     return exact_dedup(table(spark, sf_dir, "documents"), buckets=buckets)
@@ -27,6 +38,10 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -49,8 +64,11 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_training_order": op1_training_order,
+    "op2_merge_dropout": op2_merge_dropout,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_best_fit_packing": op8_best_fit_packing,
