@@ -9,8 +9,10 @@ or more are linked.
 2. ``RUNS`` runs deal the classes into buckets by a sampled shared token
    (bin and minimum).  A bucket over ``SMALL`` classes is split again on
    tokens sampled for it, level by level, until it is small or its average
-   similarity is so high that splitting cannot part it.  Each run misses a
-   pair at the threshold with probability 0.2, so six runs find 99.99 %.
+   similarity is so high that splitting cannot part it.  A run misses a pair
+   at the threshold with probability 0.2, and at each split of a bucket that
+   holds it with 0.16; six runs find 99.99 % of such pairs without a split
+   and 98 % after three, and nearly all of those more alike.
    Buckets with the same members are kept once.
 3. Buckets are compared by brute force on exact sets.  A bucket over
    ``BLOCK`` classes (or their shingles) is cut into blocks, and each pair of
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import materialise
@@ -46,12 +48,11 @@ WORDS = 5
 LEAST = 0.8
 BINS = 64
 RUNS = 6
-SMALL = 256          # classes in a bucket that is compared at once
+SMALL = 512          # classes in a bucket that is compared at once
 BLOCK = 512          # classes in a block of a larger bucket
 BLOCK_SHINGLES = 1_000_000
 LEVELS = 12
-CHILDREN = 2         # tokens sampled for a bucket that is split
-PROBES = 32          # tokens that estimate a bucket's average similarity
+PROBES = 32          # bins that estimate a bucket's average similarity
 DENSE = 0.7          # average similarity from which a bucket is not split
 
 _RNG = np.random.default_rng(20240104)
@@ -142,10 +143,15 @@ def _child(bucket, bin_):
     return F.xxhash64(bucket, bin_, F.element_at("mins", bin_ + 1))
 
 
-def _sampled(n: int, seed: int):
-    """Array of ``n`` bins drawn for a bucket."""
-    return F.array(*[F.pmod(F.xxhash64("bucket", F.lit(seed + k)), F.lit(BINS)).cast("int")
-                     for k in range(n)])
+def _children() -> Column:
+    """Buckets that a member of ``bucket`` goes on to: one token is sampled for the
+    bucket, and for one bucket in four a second, 1 / LEAST on average."""
+    def drawn(seed: int):
+        b = F.pmod(F.xxhash64("bucket", F.lit(seed)), F.lit(BINS)).cast("int")
+        return F.struct(b.alias("b"), F.element_at("mins", b + 1).alias("v"))
+
+    second = F.pmod(F.xxhash64("bucket", F.lit(2)), F.lit(4)) == 0
+    return F.when(second, F.array_distinct(F.array(drawn(0), drawn(1)))).otherwise(F.array(drawn(0)))
 
 
 def similarity(inside: DataFrame) -> DataFrame:
@@ -155,15 +161,20 @@ def similarity(inside: DataFrame) -> DataFrame:
     random sign per value and squaring estimates that sum in one aggregate
     (tug of war), so members are counted, not paired or multiplied.
     """
-    tugs = []
-    for b in range(0, BINS, BINS // PROBES):
-        odd = F.xxhash64(F.element_at("mins", b + 1), F.lit(b)).bitwiseAND(F.lit(1))
-        tugs.append(F.sum(F.lit(1) - 2 * odd))
-    squares = sum((F.col(f"tug{k}").cast("double") ** 2 for k in range(len(tugs))), F.lit(0.0))
+    tugs = [F.sum(F.lit(1) - 2 * F.shiftright("signs", k).bitwiseAND(F.lit(1)))
+            for k in range(PROBES)]
+    squares = sum((F.col(f"tug{k}").cast("double") ** 2 for k in range(PROBES)), F.lit(0.0))
     return (inside.groupBy("bucket")
             .agg(F.count(F.lit(1)).cast("double").alias("n"),
                  *[t.alias(f"tug{k}") for k, t in enumerate(tugs)])
-            .select("bucket", (squares / (len(tugs) * F.col("n") ** 2)).alias("alike")))
+            .select("bucket", (squares / (PROBES * F.col("n") ** 2)).alias("alike")))
+
+
+def _signs() -> Column:
+    """A random bit for the value of each probed bin, packed."""
+    bits = [F.shiftleft(F.xxhash64(F.element_at("mins", b + 1), F.lit(b)).bitwiseAND(F.lit(1)), k)
+            for k, b in enumerate(range(0, BINS, BINS // PROBES))]
+    return sum(bits[1:], bits[0])
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -187,17 +198,20 @@ def buckets(classes: DataFrame) -> DataFrame:
             if level + 1 == LEVELS:
                 done = sizes
             else:
-                inside = materialise(
-                    cur.join(large.select("bucket", "members"), "bucket")
-                    .join(sketches.select("key", "mins"), "key"))
+                inside = cur.join(large.select("bucket", "members"), "bucket").join(
+                    sketches.select("key", "mins"), "key")
+                if level == 0:
+                    # From here on only classes in a large bucket matter.
+                    sketches = materialise(inside.select("key", "n", "mins").dropDuplicates(["key"]))
+                inside = materialise(inside.select("key", "n", "bucket", _signs().alias("signs"),
+                                                   _children().alias("children")))
                 alike = materialise(similarity(inside))
                 dense = alike.where(F.col("alike") >= DENSE).select("bucket")
                 done = small.unionByName(large.join(dense, "bucket", "left_semi"))
                 more = (inside.join(alike.where(F.col("alike") < DENSE).select("bucket"), "bucket",
                                     "left_semi")
-                        .select("key", "n", "mins", "bucket", F.explode(
-                            F.array_distinct(_sampled(CHILDREN, 0))).alias("b"))
-                        .select("key", "n", _child(F.col("bucket"), F.col("b")).alias("bucket")))
+                        .select("key", "n", "bucket", F.explode("children").alias("c"))
+                        .select("key", "n", F.xxhash64("bucket", "c.b", "c.v").alias("bucket")))
         leaves = done if leaves is None else leaves.unionByName(done)
         rows = cur.select("key", "bucket")
         members = rows if members is None else members.unionByName(rows)
