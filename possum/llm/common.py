@@ -23,6 +23,10 @@ def ship(spark: SparkSession) -> None:
     ``--py-files``; then this entry is harmless.
     """
     env = spark.sparkContext.environment
+    # Workers give memory back after large batches instead of keeping it.
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    env.setdefault("MALLOC_ARENA_MAX", "1")
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", "1048576")
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in parts:
         env["PYTHONPATH"] = os.pathsep.join([*parts, ROOT])
@@ -46,6 +50,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches cut to few rows, so that few whole texts become Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_rows(df: DataFrame, schema: str, rows: Callable[[list[dict]], Iterator[tuple]],
              chunk: int = 256) -> DataFrame:
     """``mapInArrow`` for functions over small lists of row dicts.
@@ -60,11 +71,10 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[list[dict]], Iterator[t
     out_schema = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, chunk):
-                got = list(rows(batch.slice(at, chunk).to_pylist()))
-                if got:
-                    cols = [pa.array(c, type=f.type) for c, f in zip(zip(*got), out_schema)]
-                    yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
+        for batch in slices(batches, chunk):
+            got = list(rows(batch.to_pylist()))
+            if got:
+                cols = [pa.array(c, type=f.type) for c, f in zip(zip(*got), out_schema)]
+                yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
 
     return df.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, ship, text_of
+from .common import map_rows, ship, slices, text_of
 
 BITS = 18
 FIT_ROWS = 10_000
@@ -223,7 +223,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFram
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = pc.fill_null(batch.column(text_col), "")
             good = [model.score(features().of(t.as_py())) >= KEEP_FROM for t in texts]
             yield batch.filter(pa.array(good, type=pa.bool_()))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import materialise
-from .common import map_rows, ship, text_of
+from .common import map_rows, ship, slices, text_of
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -258,7 +258,7 @@ def redact(docs: DataFrame, rate: float = RATE, text_col: str = "text",
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             cols = list(batch.columns)
             at = names.index(text_col)
             old = cols[at].to_pylist()

@@ -21,7 +21,7 @@ import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
 # Entries per table; a full table is emptied (a cache: results never change).
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 # Bytes that are hashed at once; longer texts are cut at white space.
 SEGMENT = 1 << 20
 # Unicode white space and separators beyond ASCII's plain white space.
