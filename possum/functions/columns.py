@@ -3,7 +3,7 @@ built-in ``Column`` expression, so it stays inside whole-stage codegen."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -56,6 +56,18 @@ def date_text_to_int(c: str | Column) -> Column:
             .otherwise(F.coalesce(digits.try_cast("int"), F.lit(K.NO_DATE))))
 
 
+def malformed_date(c: str | Column) -> Column:
+    """Whether date text is present but not a date that ``date_text_to_int`` can read."""
+    text = _c(c).cast("string")
+    digits = F.replace(F.substring(text, 1, 10), F.lit("-"), F.lit(""))
+    return F.coalesce((F.trim(text) != "") & digits.try_cast("int").isNull(), F.lit(False))
+
+
+def count_malformed_dates(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: malformed texts per column, in one aggregate."""
+    return df.agg(*[F.count_if(malformed_date(c)).alias(c) for c in columns])
+
+
 def account_key(branch: str | Column = "numero_agencia",
                 account: str | Column = "numero_conta") -> Column:
     """``branch_account`` key; NULL when either part is NULL."""

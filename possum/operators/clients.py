@@ -37,15 +37,22 @@ def with_account_key(cli: DataFrame) -> DataFrame:
 
 
 def exclude_accounts(df: DataFrame, excluded: Sequence[str], key: str = "agencia_conta") -> DataFrame:
-    """Drop listed accounts, and rows without a key (as SQL ``NOT IN`` does)."""
+    """Drop listed accounts, and rows without a key (as SQL ``NOT IN`` does).
+
+    A NULL in the list drops every row, as ``NOT IN`` does; the result does
+    not depend on the list's length.
+    """
     keep = F.col(key).isNotNull()
     if not excluded:
         return df.where(keep)
+    if any(a is None for a in excluded):
+        return df.where(F.lit(False))
     if len(excluded) <= _INLINE_LIST_MAX:
         return df.where(keep & ~F.col(key).isin(list(excluded)))
     spark = df.sparkSession
     listed = spark.createDataFrame([(a,) for a in excluded], f"{key} string")
-    return df.where(keep).join(F.broadcast(listed), key, "left_anti")
+    listed = maybe_broadcast(listed, len(excluded) <= DEFAULT_BROADCAST_ROWS)
+    return df.where(keep).join(listed, key, "left_anti")
 
 
 def client_snapshot(cli: DataFrame, execute_date: int, excluded: Sequence[str]) -> DataFrame:

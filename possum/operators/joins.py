@@ -22,8 +22,8 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` (a stored result) has at most ``max_rows`` rows."""
+    return df.count() <= max_rows
 
 
 def measured_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:

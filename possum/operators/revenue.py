@@ -5,11 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions.columns import year_month_text
@@ -25,38 +22,10 @@ def month_keys(as_of: dt.date, months: int = K.REVENUE_MONTHS) -> list[str]:
     return [f"{(base - i) // 12:04d}{(base - i) % 12 + 1:02d}" for i in range(months)]
 
 
-def _money_parts(df: DataFrame, money: str) -> tuple[Column, Callable[[Column], Column]]:
-    """How to sum ``money`` exactly and fast.
-
-    A decimal of precision <= 18 is summed as its unscaled long (exact, and a
-    plain hash aggregate instead of BigDecimal buffers); the total goes back
-    to ``decimal(p + 10, s)``, Spark's own sum type.  Outside ANSI mode the
-    long sum is ``try_sum``, so an overflow gives NULL, as a decimal sum
-    would, instead of wrapping around.  Wider decimals are summed as they are.
-    Returns the per-row value to sum and the function that finishes a sum.
-    """
-    t = df.schema[money].dataType
-    if not isinstance(t, T.DecimalType) or t.precision > 18:
-        return F.col(money), lambda total: total
-    unscaled = (F.col(money) * F.lit(10 ** t.scale)).cast("long")
-    result = T.DecimalType(min(38, t.precision + 10), t.scale)
-    unit = F.lit(Decimal(1).scaleb(-t.scale))
-
-    def finish(total: Column) -> Column:
-        return (total.cast("decimal(38,0)") * unit).cast(result)
-    return unscaled, finish
-
-
-def _sum(df: DataFrame, c: Column) -> Column:
-    ansi = df.sparkSession.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
-    return F.sum(c) if ansi else F.try_sum(c)
-
-
 def monthly_revenue(tx: DataFrame) -> DataFrame:
     """Sum of transaction values per point of sale and ``yyyyMM`` month."""
-    value, finish = _money_parts(tx, "valor_transacao")
     return (tx.groupBy("numero_ponto_venda", year_month_text("anomesdia").alias("anomes"))
-              .agg(finish(_sum(tx, value)).alias("faturamento")))
+              .agg(F.sum("valor_transacao").alias("faturamento")))
 
 
 def revenue_matrix(tx: DataFrame, as_of: dt.date, months: int = K.REVENUE_MONTHS) -> DataFrame:
@@ -74,22 +43,21 @@ def revenue_matrix(tx: DataFrame, as_of: dt.date, months: int = K.REVENUE_MONTHS
     per point of sale and task.  Every point of sale appears, also those
     with no row in the window.
     """
-    value, finish = _money_parts(tx, "valor_transacao")
     # The month as an int, once per row.  The text of an int has no leading
     # zero or blank, so comparing ints is comparing the yyyyMM texts.
     rows = tx.select("numero_ponto_venda",
                      year_month_text("anomesdia").cast("int").alias("_ym"),
-                     value.alias("_v"))
+                     F.col("valor_transacao").alias("_v"))
     aggs = []
     for i, m in enumerate(month_keys(as_of, months)):
         in_month = F.col("_ym") == F.lit(int(m))
-        aggs.append(_sum(tx, F.when(in_month, F.col("_v"))).alias(f"_s{i}"))
+        aggs.append(F.sum(F.when(in_month, F.col("_v"))).alias(f"_s{i}"))
         # NULL month compares as "not this month", like the CASE's ELSE.
         aggs.append(F.max(F.when(in_month, F.lit(False)).otherwise(F.lit(True))).alias(f"_o{i}"))
     per_pdv = rows.groupBy("numero_ponto_venda").agg(*aggs)
     cols = []
     for i in range(months):
-        total = finish(F.col(f"_s{i}"))
+        total = F.col(f"_s{i}")
         cols.append(F.when(F.col(f"_o{i}"), F.greatest(total, _zero())).otherwise(total)
                      .alias(f"mes_{i}"))
     return per_pdv.select("numero_ponto_venda", *cols)

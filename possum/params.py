@@ -21,6 +21,8 @@ class RunParams:
     as_of: dt.date
     cancel_floor: int = K.CANCEL_FLOOR
     client_floor: int = K.CLIENT_FLOOR
+    # Whether the client table is read from client_floor on, or whole.
+    use_client_floor: bool = False
     excluded_accounts: tuple[str, ...] = ()
     journey_to_outros: tuple[str, ...] = ()
     journey_to_onboarding: tuple[str, ...] = ()

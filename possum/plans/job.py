@@ -1,4 +1,8 @@
-"""The daily run: extract → transform → load, as one Spark plan per result."""
+"""The daily run: extract → transform → load.
+
+Building the plans runs small jobs (account profile, measured key sets); the
+results themselves stay lazy until they are loaded.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +22,7 @@ from ..operators.pdv import latest_pdv, pdv_history
 from ..params import RunParams
 from ..sources.scans import extract
 from ..sources.sinks import load
+from .session import skew_split
 
 log = logging.getLogger(__name__)
 
@@ -30,12 +35,13 @@ class Results:
 
 
 def transform(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
-              method: str = "auto", client_floor: int | None = None) -> Results:
-    """Build the result plans; only the exit-account measurement runs a job.
+              method: str = "auto") -> Results:
+    """Build the result plans.
 
-    ``client_floor`` (e.g. ``params.client_floor``) limits the client table
-    to recent snapshots; by default every snapshot is read.
+    With ``params.use_client_floor`` the client table is read from
+    ``params.client_floor`` on; by default every snapshot is read.
     """
+    client_floor = params.client_floor if params.use_client_floor else None
     hist = pdv_history(s_pdv, params.execute_date, keep=params.pdv_tie_break)
     latest = latest_pdv(hist, params.pdv_tie_break)
     estab = latest_estab(s_estb, params.estab_tie_break)
@@ -55,18 +61,19 @@ def run(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
     log.info("building plans for %s", params.execute_date)
     result = transform(s_pdv, s_estb, cli, params).pdv_emps
     if table is not None or path is not None:
-        load(result, table=table, path=path, partition_by="anomesdia")
+        with skew_split(result.sparkSession):
+            load(result, table=table, path=path, day=params.execute_date)
         log.info("loaded day %s", params.execute_date)
     return result
 
 
 def run_from_catalog(spark: SparkSession, params: RunParams, pdv_table: str, estab_table: str,
-                     client_table: str, output_table: str, output_path: str | None = None,
-                     client_floor: int | None = None) -> DataFrame:
-    """The whole daily job over catalog tables.
+                     client_table: str, output_table: str,
+                     output_path: str | None = None) -> DataFrame:
+    """The whole daily job over catalog tables; returns the loaded day.
 
     The point-of-sale history is read up to the run day through a partition
-    predicate (only those day folders are listed and read); the
+    predicate (only those day folders are read); the
     establishment and client tables are read whole, as the job needs every
     snapshot.  Inputs are schema-checked, the flagship is loaded into
     ``output_table`` partitioned by run day.
@@ -76,7 +83,8 @@ def run_from_catalog(spark: SparkSession, params: RunParams, pdv_table: str, est
         schemas.S_PDV, pdv_table)
     s_estb = schemas.require(extract(estab_table, spark=spark), schemas.S_ESTB, estab_table)
     cli = schemas.require(extract(client_table, spark=spark), schemas.CLI, client_table)
-    result = transform(s_pdv, s_estb, cli, params, client_floor=client_floor).pdv_emps
-    load(result, table=output_table, path=output_path, partition_by="anomesdia")
+    result = transform(s_pdv, s_estb, cli, params).pdv_emps
+    with skew_split(spark):
+        load(result, table=output_table, path=output_path, day=params.execute_date)
     log.info("loaded day %s into %s", params.execute_date, output_table)
-    return spark.table(output_table)
+    return spark.table(output_table).where(F.col("anomesdia") == params.execute_date)

@@ -2,23 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of ``path``, wherever it is stored."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def _has_loose_files(spark: SparkSession, path: str) -> bool:
+    """Whether data files lie directly in ``path`` (so it is not partitioned)."""
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder) and any(
+        f.isFile() and f.getPath().getName()[0] not in "._" for f in fs.listStatus(folder))
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    if fs.exists(folder):
+        fs.delete(folder, True)
 
 
 def load(df: DataFrame, table: str | None = None, path: str | None = None,
-         partition_by: str = "anomesdia", fmt: str = "parquet") -> None:
+         partition_by: str = "anomesdia", fmt: str = "parquet", day: int | None = None) -> None:
     """Write ``df`` partitioned by ``partition_by``; a rerun replaces only its days.
 
     With ``table``: the first run creates the catalog table (at ``path`` when
     given), later runs ``insertInto`` it.  With only ``path``: a path-based
     dataset.  Both use dynamic partition overwrite, so a rerun of one day
-    leaves every other day untouched.  Writes go through the committer, so a
-    lost executor's task is simply retried.
+    leaves every other day untouched.  That overwrite keeps partitions that
+    get no rows; with ``day``, an empty result also empties its day.  A target
+    that is not partitioned by ``partition_by`` raises before any write: an
+    overwrite would delete its other days.
     """
     if table is None and path is None:
         raise ValueError("give a table name or a path")
     spark = df.sparkSession
-    if table is not None and spark.catalog.tableExists(table):
+    exists = table is not None and spark.catalog.tableExists(table)
+    if exists:
+        parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        if parts != [partition_by]:
+            raise ValueError(f"{table} is partitioned by {parts}, not by [{partition_by!r}]")
+    elif path is not None and _has_loose_files(spark, path):
+        raise ValueError(f"{path} is not partitioned by {partition_by}")
+    if day is not None and df.where(F.col(partition_by) == day).isEmpty():
+        if exists:
+            place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+            path = place.first()["data_type"]
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {day})")
+        if path is not None:
+            _drop_folder(spark, f"{path}/{partition_by}={day}")
+    if exists:
         target_cols = [f.name for f in spark.table(table).schema.fields]
         (df.select(*target_cols).write
            .option("partitionOverwriteMode", "dynamic")

@@ -72,3 +72,51 @@ def test_load_needs_a_target(spark):
 
     with pytest.raises(ValueError):
         load(spark.range(1).withColumn("anomesdia", F.lit(1)))
+
+
+def _day(spark, d, n):
+    return spark.range(n).select(F.col("id"), F.lit(d).alias("anomesdia"))
+
+
+def _days(df):
+    return {r.anomesdia: r["count"] for r in df.groupBy("anomesdia").count().collect()}
+
+
+def test_empty_rerun_empties_only_its_day(spark, scratch_dir):
+    path = os.path.join(scratch_dir, "out")
+    name = "possum_sink_empty"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for target in ({"path": path}, {"table": name}):
+        load(_day(spark, 20240101, 3), day=20240101, **target)
+        load(_day(spark, 20240102, 2), day=20240102, **target)
+        load(_day(spark, 20240101, 0), day=20240101, **target)
+        back = spark.table(name) if "table" in target else spark.read.parquet(path)
+        assert _days(back) == {20240102: 2}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_unpartitioned_target_raises_and_keeps_rows(spark, scratch_dir):
+    import pytest
+
+    path = os.path.join(scratch_dir, "flat")
+    name = "possum_sink_flat"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _day(spark, 20240101, 3).write.parquet(path)
+    _day(spark, 20240101, 3).write.saveAsTable(name)
+    for target in ({"path": path}, {"table": name}):
+        with pytest.raises(ValueError):
+            load(_day(spark, 20240102, 1), day=20240102, **target)
+    assert _days(spark.read.parquet(path)) == _days(spark.table(name)) == {20240101: 3}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_job_splits_skew_and_restores_the_session(spark):
+    from possum.plans.session import skew_split
+
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    with skew_split(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == "false"
+    spark.conf.set(key, before)
