@@ -42,6 +42,7 @@ VARIANTS = 4
 CACHE_ENTRIES = 800_000
 SPACE = "▁"
 PUNCTUATION = ".,!?;:|*$%&#"
+_MARK = SPACE + "\0" + SPACE
 
 
 class Dropout:
@@ -64,7 +65,7 @@ class Dropout:
                 self.byte_of[i] = int(p[1:-1], 16)
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[p] = i
-        self.score = {p: model.get_score(i) for p, i in self.ids.items()}
+        self.rank = {p: -model.get_score(i) for p, i in self.ids.items()}
         pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         marks = [c for c in PUNCTUATION
                  if not any(b == c and a.isalpha() for a, b in pairs)]
@@ -82,42 +83,47 @@ class Dropout:
         return self.parts.findall(" " + text) if text else []
 
     def encode_part(self, part: str, variant: int) -> list[int]:
-        ids, score = self.ids, self.score
-        # A literal space mark never merges: None is in no piece.
-        sym: list[str | None] = [SPACE if c == " " else None if c == SPACE else c for c in part]
-        left, right = list(range(-1, len(sym) - 1)), list(range(1, len(sym) + 1))
-        agenda: list[tuple[float, int, int, str]] = []
-        size = [1] * len(sym)
-
-        def offer(i: int, j: int) -> None:
-            if i >= 0 and j < len(sym) and sym[i] is not None and sym[j] is not None:
-                piece = sym[i] + sym[j]
-                if piece in score:
-                    heapq.heappush(agenda, (-score[piece], i, size[i] + size[j], piece))
-
-        for i in range(len(sym) - 1):
-            offer(i, i + 1)
-        key, floor = f"{part}\0{variant}\0", int(self.rate * 2**64)
+        ids, rank, push = self.ids, self.rank, heapq.heappush
+        # A literal space mark never merges: no piece holds its stand-in.
+        sym = [SPACE if c == " " else _MARK if c == SPACE else c for c in part]
+        end = len(sym)
+        left, right = list(range(-1, end - 1)), list(range(1, end + 1))
+        agenda: list[tuple[float, int, str]] = []
+        for i in range(end - 1):
+            piece = sym[i] + sym[i + 1]
+            if piece in rank:
+                push(agenda, (rank[piece], i, piece))
+        draw = self.hash(part, self.seed * 1_000_003 + variant)
+        floor = int(self.rate * 2**32)
         while agenda:
-            _, i, n, piece = heapq.heappop(agenda)
+            _, i, piece = heapq.heappop(agenda)
             j = right[i]
-            if size[i] == 0 or j >= len(sym) or size[i] + size[j] != n or sym[i] + sym[j] != piece:
+            if j >= end or not sym[i] or sym[i] + sym[j] != piece:
                 continue
-            if floor and self.hash(f"{key}{i}\0{piece}", self.seed) < floor:
-                continue
-            sym[i], size[i], size[j] = piece, n, 0
-            right[i] = right[j]
-            if right[j] < len(sym):
-                left[right[j]] = i
-            offer(left[i], i)
-            offer(i, right[i])
+            if floor:
+                x = (draw ^ (i * 0x9E3779B97F4A7C15 + ids[piece])) * 0xBF58476D1CE4E5B9 % 2**64
+                if ((x ^ x >> 31) * 0x94D049BB133111EB % 2**64) >> 32 < floor:
+                    continue
+            sym[i], sym[j] = piece, ""
+            nxt = right[i] = right[j]
+            if nxt < end:
+                left[nxt] = i
+                both = piece + sym[nxt]
+                if both in rank:
+                    push(agenda, (rank[both], i, both))
+            before = left[i]
+            if before >= 0:
+                both = sym[before] + piece
+                if both in rank:
+                    push(agenda, (rank[both], before, both))
         out, i = [], 0
         while i < len(sym):
-            found = ids.get(sym[i]) if sym[i] is not None else None
+            found = ids.get(sym[i])
             if found is not None:
                 out.append(found)
             else:
-                out.extend(self.bytes[b] for b in (sym[i] or SPACE).encode())
+                raw = SPACE if sym[i] == _MARK else sym[i]
+                out.extend(self.bytes[b] for b in raw.encode())
             i = right[i]
         return out
 
