@@ -1,10 +1,13 @@
 """Seeded merge-dropout for a SentencePiece BPE vocabulary (operator 2).
 
 Symbols start as characters.  An agenda holds every neighbouring pair that
-is a piece, the best score first, then the leftmost; a popped candidate is
+is a piece, the best score first, then the leftmost; a candidate taken from it is
 skipped if its keyed hash falls below the dropout rate, else it is merged and
-its new neighbours join the agenda.  The hash depends on the seed, the
-variant, the word, the place and the piece, so a run can be repeated exactly.
+its new neighbours join the agenda.  The agenda of a short part is a list with
+one place per pair, of a long one a heap; both take the same candidates.
+The hash depends on the seed, the
+variant, the word, the place (modulo 8,192) and the piece, so a run can be
+repeated exactly.
 What stays outside the vocabulary becomes byte pieces.  Without dropout the
 ids are the vocabulary's own.
 
@@ -27,6 +30,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,6 +44,7 @@ RATE = 0.1
 SEED = 7
 VARIANTS = 4
 CACHE_ENTRIES = 800_000
+SHORT = 64           # symbols up to which the agenda is a list
 SPACE = "▁"
 PUNCTUATION = ".,!?;:|*$%&#"
 _MARK = SPACE + "\0" + SPACE
@@ -66,6 +71,8 @@ class Dropout:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[p] = i
         self.rank = {p: -model.get_score(i) for p, i in self.ids.items()}
+        levels = {r: k for k, r in enumerate(sorted(set(self.rank.values())))}
+        self.order = {p: levels[r] for p, r in self.rank.items()}   # 0 merges first
         pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         marks = [c for c in PUNCTUATION
                  if not any(b == c and a.isalpha() for a, b in pairs)]
@@ -76,16 +83,56 @@ class Dropout:
             # letters end before a mark that no piece has after a letter.
             word = rf" *[^\W\d_]+(?=[{re.escape(''.join(marks))}])|" if marks else ""
             self.parts = re.compile(rf"\n|{word} *[^ \n]+| +")
+        # Two generations: a full one becomes the older, so frequent parts survive.
         self.cache: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(variants)]
 
     def split(self, text: str) -> list[str]:
         """The text with its leading space, in parts no piece crosses."""
         return self.parts.findall(" " + text) if text else []
 
     def encode_part(self, part: str, variant: int) -> list[int]:
-        ids, rank, push = self.ids, self.rank, heapq.heappush
         # A literal space mark never merges: no piece holds its stand-in.
         sym = [SPACE if c == " " else _MARK if c == SPACE else c for c in part]
+        # 30 bits: small integers that Python multiplies fast.
+        draw = self.hash(part, self.seed * 1_000_003 + variant) >> 34
+        sym = self._merge_short(sym, draw) if len(sym) <= SHORT else self._merge_long(sym, draw)
+        ids, out = self.ids, []
+        for s in sym:
+            found = ids.get(s)
+            if found is not None:
+                out.append(found)
+            else:
+                raw = SPACE if s == _MARK else s
+                out.extend(self.bytes[b] for b in raw.encode())
+        return out
+
+    def _merge_short(self, sym: list[str], draw: int) -> list[str]:
+        order, ids, floor = self.order.get, self.ids, int(self.rate * 2**30)
+        none = len(self.order)
+        start = list(range(len(sym)))
+        agenda = [order(a + b, none) for a, b in zip(sym, sym[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            k = agenda.index(best)
+            piece = sym[k] + sym[k + 1]
+            if floor:
+                x = (draw ^ ids[piece] + (start[k] << 17)) * 0x2C1B3C6D & 0x3FFFFFFF
+                if (x ^ x >> 15) * 0x297A2D39 & 0x3FFFFFFF < floor:
+                    agenda[k] = none
+                    continue
+            sym[k] = piece
+            del sym[k + 1], start[k + 1], agenda[k]
+            if k < len(agenda):
+                agenda[k] = order(piece + sym[k + 1], none)
+            if k:
+                agenda[k - 1] = order(sym[k - 1] + piece, none)
+        return sym
+
+    def _merge_long(self, sym: list[str], draw: int) -> list[str]:
+        ids, rank, push = self.ids, self.rank, heapq.heappush
         end = len(sym)
         left, right = list(range(-1, end - 1)), list(range(1, end + 1))
         agenda: list[tuple[float, int, str]] = []
@@ -93,16 +140,15 @@ class Dropout:
             piece = sym[i] + sym[i + 1]
             if piece in rank:
                 push(agenda, (rank[piece], i, piece))
-        draw = self.hash(part, self.seed * 1_000_003 + variant)
-        floor = int(self.rate * 2**32)
+        floor = int(self.rate * 2**30)
         while agenda:
             _, i, piece = heapq.heappop(agenda)
             j = right[i]
             if j >= end or not sym[i] or sym[i] + sym[j] != piece:
                 continue
             if floor:
-                x = (draw ^ (i * 0x9E3779B97F4A7C15 + ids[piece])) * 0xBF58476D1CE4E5B9 % 2**64
-                if ((x ^ x >> 31) * 0x94D049BB133111EB % 2**64) >> 32 < floor:
+                x = (draw ^ ids[piece] + (i << 17)) * 0x2C1B3C6D & 0x3FFFFFFF
+                if (x ^ x >> 15) * 0x297A2D39 & 0x3FFFFFFF < floor:
                     continue
             sym[i], sym[j] = piece, ""
             nxt = right[i] = right[j]
@@ -116,16 +162,7 @@ class Dropout:
                 both = sym[before] + piece
                 if both in rank:
                     push(agenda, (rank[both], before, both))
-        out, i = [], 0
-        while i < len(sym):
-            found = ids.get(sym[i])
-            if found is not None:
-                out.append(found)
-            else:
-                raw = SPACE if sym[i] == _MARK else sym[i]
-                out.extend(self.bytes[b] for b in raw.encode())
-            i = right[i]
-        return out
+        return [s for s in sym if s]
 
     def encode(self, text: str) -> np.ndarray:
         parts = self.split(text)
@@ -136,9 +173,12 @@ class Dropout:
         for part, v in zip(parts, (draw % np.uint64(self.variants)).tolist()):
             got = cache[v].get(part)
             if got is None:
-                if len(cache[v]) * self.variants > self.limit:
-                    cache[v].clear()
-                got = np.array(self.encode_part(part, v), dtype="<i4").tobytes()
+                if 2 * len(cache[v]) * self.variants > self.limit:
+                    self.older[v], cache[v] = cache[v], {}
+                got = self.older[v].get(part)
+                if got is None:
+                    ids = self.encode_part(part, v)
+                    got = pack(f"<{len(ids)}i", *ids)
                 if len(part) < 64:
                     cache[v][part] = got
             out.append(got)
