@@ -253,3 +253,18 @@ def test_pipeline_stages(spark, docs):
     assert {r["doc_id"] for r in df.collect()} == set(last)
     sets = _links(texts(before))
     assert not sets
+
+
+def test_merge_dropout_agendas_agree_and_cache_is_bounded(docs, monkeypatch):
+    path = vocabulary_path(merge_dropout.VOCABULARY)
+    small, large = (merge_dropout.Dropout(path, 0.1, 7, cache_entries=n) for n in (64, 10**6))
+    some = [t for _, t in texts(docs)][:40] + ["", " ", "▁ é\x1c", "ab" * 300]
+    for t in some:
+        ids = small.encode(t)
+        assert ids.tolist() == large.encode(t).tolist()
+        assert small.decode(ids) == t
+    assert max(map(len, small.cache)) <= 64 and max(map(len, small.older)) <= 64
+    parts = {p for t in some for p in large.split(t)}
+    listed = {p: large.encode_part(p, 1) for p in parts}
+    monkeypatch.setattr(merge_dropout, "SHORT", 0)
+    assert listed == {p: large.encode_part(p, 1) for p in parts}
