@@ -10,7 +10,7 @@ lands whole in one task.
   one task sorts a whole group.
 * ``method="sorted"``: a global range sort spreads even a single huge group
   over many partitions; each row gets its position inside its partition
-  (materialised once with ``checkpoint()``), and a small per-(group,
+  (materialised once with ``checkpoint()``), and a per-(group,
   partition) count table turns positions into ordinals.  Two large
   exchanges and one write instead of one exchange.
 * ``method="auto"`` (default): split by group size.  Groups above
@@ -151,17 +151,16 @@ def _ordinal_sorted(df: DataFrame, keys: list[str], order: list[Column], name: s
                     .withColumn("_key", F.struct(*keys))
                     .checkpoint(eager=True))
     counts = (positioned.groupBy(F.col("_key").alias("_gkey"), F.col("_part").alias("_gpart"))
-                        .agg(F.count(F.lit(1)).alias("_n")))
+                        .agg(F.count(F.lit(1)).alias("_n"), F.min("_oid").alias("_first")))
     # Rows of the same group in earlier partitions.  One row per
     # (group, partition): a group spans at most every partition.
     earlier = (Window.partitionBy("_gkey").orderBy("_gpart")
                      .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_gkey", "_gpart",
+    offsets = counts.select("_gkey", "_gpart", "_first",
                             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    # Position inside the partition: the exchange is on (group, partition),
-    # so a hot group still spreads over as many tasks as it has partitions.
-    local = positioned.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_key", "_part").orderBy("_oid")))
-    joined = local.join(offsets, (F.col("_key") == F.col("_gkey"))
+    # Rows of a group lie side by side inside a partition, so the distance to
+    # the group's first row there is the position: no window over the rows.
+    joined = positioned.join(offsets, (F.col("_key") == F.col("_gkey"))
                         & (F.col("_part") == F.col("_gpart")), "inner")
-    return joined.select(*cols, (F.col("_before") + F.col("_local")).cast("int").alias(name))
+    return joined.select(*cols, (F.col("_before") + F.col("_oid") - F.col("_first") + 1)
+                         .cast("int").alias(name))
