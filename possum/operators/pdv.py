@@ -61,7 +61,7 @@ def _latest_order(tie_break: Sequence[str]) -> list[Column]:
     return [F.col("dat_updt").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
 
 
-def pdv_normalised(hist: DataFrame, tie_break: Sequence[str] = (), method: str = "auto",
+def pdv_normalised(hist: DataFrame, tie_break: Sequence[str], method: str = "auto",
                    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Every history row with its point of sale's latest cancellation and
     reactivation days, and ``index_num`` = 1 for the most recent snapshot.
