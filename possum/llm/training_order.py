@@ -147,6 +147,7 @@ def _records(dealt: DataFrame, layout: Layout) -> DataFrame:
     ship(dealt.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_ids.cache_clear()  # the worker's token tables make room for the records
         slot, parts = None, []
 
         def record() -> bytes:
@@ -213,6 +214,7 @@ def read_order(spark: SparkSession, path: str, start: int = 0, stop: int | None
                                            (stop - 1) // layout.per_shard)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_ids.cache_clear()  # the worker's token tables make room for the shards
         for batch in batches:
             for k in range(batch.num_rows):
                 shard_no = batch.column(0)[k].as_py()
