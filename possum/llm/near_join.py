@@ -6,13 +6,13 @@ or more are linked.
 1. One pass over the texts gives each document its set's digest and a sketch
    of 64 minimum hashes (one permutation, empty bins filled from full ones).
    Documents with equal sets form a class; one of them stands for it.
-2. ``RUNS`` runs deal the classes into buckets by a sampled shared token
-   (bin and minimum).  A bucket over ``SMALL`` classes is split again on
-   tokens sampled for it, level by level, until it is small or its average
-   similarity is so high that splitting cannot part it.  A run misses a pair
-   at the threshold with probability 0.2, and at each split of a bucket that
-   holds it with 0.16; six runs find 99.99 % of such pairs without a split
-   and 98 % after three, and nearly all of those more alike.
+2. Runs deal the classes into buckets by a sampled shared token (bin and
+   minimum).  A bucket over ``SMALL`` classes is split again on two tokens
+   sampled for it, level by level, until it is small or its average
+   similarity is so high that splitting cannot part it.  ``runs_needed`` gives
+   the runs that find a pair at the threshold with probability ``RECALL``:
+   seven without a split, nine at the deepest.  Classes in buckets that were
+   split get the further runs that the depth reached asks for.
    Buckets with the same members are kept once.
 3. Buckets are compared by brute force on exact sets.  A bucket over
    ``BLOCK`` classes (or their shingles) is cut into blocks, and each pair of
@@ -33,6 +33,7 @@ ignored by the join and kept by ``keep_one``.
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 from collections.abc import Iterator
 
@@ -47,7 +48,7 @@ from .common import map_rows, ship, shuffle_partitions, text_of
 WORDS = 5
 LEAST = 0.8
 BINS = 64
-RUNS = 6
+RECALL = 0.9999      # of pairs at LEAST, whatever the number of splits
 SMALL = 512          # classes in a bucket that is compared at once
 BLOCK = 512          # classes in a block of a larger bucket
 BLOCK_SHINGLES = 1_000_000
@@ -143,15 +144,32 @@ def _child(bucket, bin_):
     return F.xxhash64(bucket, bin_, F.element_at("mins", bin_ + 1))
 
 
-def _children() -> Column:
-    """Buckets that a member of ``bucket`` goes on to: one token is sampled for the
-    bucket, and for one bucket in four a second, 1 / LEAST on average."""
-    def drawn(seed: int):
-        b = F.pmod(F.xxhash64("bucket", F.lit(seed)), F.lit(BINS)).cast("int")
-        return F.struct(b.alias("b"), F.element_at("mins", b + 1).alias("v"))
+def runs_needed(depth: int, recall: float = RECALL) -> int:
+    """Runs that find a pair of similarity LEAST with probability ``recall`` when
+    its buckets are split ``depth`` times.
+
+    A pair that agrees in a share f of its bins leaves a run at the root with
+    probability 1 - f, and a split if both sampled tokens lose it.  The number
+    of bins that agree is binomial.
+    """
+    shares = [(k / BINS, math.comb(BINS, k) * LEAST**k * (1 - LEAST)**(BINS - k))
+              for k in range(BINS + 1)]
+    lost = []
+    for f, weight in shares:
+        below = 0.0
+        for _ in range(depth):
+            below = (1 - f + f * below) ** 2
+        lost.append((1 - f + f * below, weight))
+    return next((r for r in range(1, BINS) if sum(w * x**r for x, w in lost) <= 1 - recall), BINS)
 
-    second = F.pmod(F.xxhash64("bucket", F.lit(2)), F.lit(4)) == 0
-    return F.when(second, F.array_distinct(F.array(drawn(0), drawn(1)))).otherwise(F.array(drawn(0)))
+
+def _children() -> Column:
+    """Buckets that a member of ``bucket`` goes on to: two bins are sampled for the bucket."""
+    first = F.pmod(F.xxhash64("bucket", F.lit(0)), F.lit(BINS))
+    second = F.pmod(first + 1 + F.pmod(F.xxhash64("bucket", F.lit(1)), F.lit(BINS - 1)), F.lit(BINS))
+    return F.array(*[F.struct(b.cast("int").alias("b"),
+                              F.element_at("mins", b.cast("int") + 1).alias("v"))
+                     for b in (first, second)])
 
 
 def similarity(inside: DataFrame) -> DataFrame:
@@ -177,13 +195,13 @@ def _signs() -> Column:
     return sum(bits[1:], bits[0])
 
 
-def buckets(classes: DataFrame) -> DataFrame:
-    """(key, bucket, members, shingles) for every bucket to be compared."""
-    sketches = classes.where("n > 0").select("key", "n", "mins")
-    roots = [int(b) for b in np.random.default_rng(20240105).permutation(BINS)[:RUNS]]
+def _dealt(sketches: DataFrame, runs: range) -> tuple[DataFrame, DataFrame, DataFrame | None, int]:
+    """Buckets to be compared, all (key, n, bucket) rows, classes whose buckets were
+    split and the number of splits, for some of the runs over ``sketches``."""
+    roots = np.random.default_rng(20240105).permutation(BINS)
     cur = sketches.select("key", "n", F.explode(F.array(*[
-        _child(F.lit(run), F.lit(b)) for run, b in enumerate(roots)])).alias("bucket"))
-    leaves, members = None, None
+        _child(F.lit(run), F.lit(int(roots[run]))) for run in runs])).alias("bucket"))
+    leaves, members, split, depth = None, None, None, 0
     for level in range(LEVELS):
         cur = materialise(cur)
         sizes = materialise(cur.groupBy("bucket").agg(
@@ -207,17 +225,35 @@ def buckets(classes: DataFrame) -> DataFrame:
                                                    _children().alias("children")))
                 alike = materialise(similarity(inside))
                 dense = alike.where(F.col("alike") >= DENSE).select("bucket")
+                sparse = alike.where(F.col("alike") < DENSE).select("bucket")
                 done = small.unionByName(large.join(dense, "bucket", "left_semi"))
-                more = (inside.join(alike.where(F.col("alike") < DENSE).select("bucket"), "bucket",
-                                    "left_semi")
-                        .select("key", "n", "bucket", F.explode("children").alias("c"))
-                        .select("key", "n", F.xxhash64("bucket", "c.b", "c.v").alias("bucket")))
+                if not sparse.isEmpty():
+                    depth = level + 1
+                    parted = inside.join(sparse, "bucket", "left_semi")
+                    if level == 0:
+                        split = materialise(sketches.join(parted.select("key"), "key", "left_semi"))
+                    more = (parted.select("key", "n", "bucket", F.explode("children").alias("c"))
+                            .select("key", "n", F.xxhash64("bucket", "c.b", "c.v").alias("bucket")))
         leaves = done if leaves is None else leaves.unionByName(done)
         rows = cur.select("key", "bucket")
         members = rows if members is None else members.unionByName(rows)
         if more is None:
             break
         cur = more
+    return leaves, members, split, depth
+
+
+def buckets(classes: DataFrame) -> DataFrame:
+    """(key, bucket, members, shingles) for every bucket to be compared."""
+    sketches = classes.where("n > 0").select("key", "n", "mins")
+    runs = range(runs_needed(0))
+    leaves, members, split, deepest = _dealt(sketches, runs)
+    # A pair that lost a split has both its classes in ``split``.
+    while runs.stop < runs_needed(deepest):
+        runs = range(runs.stop, runs_needed(deepest))
+        more, rows, _, depth = _dealt(split, runs)
+        leaves, members = leaves.unionByName(more), members.unionByName(rows)
+        deepest = max(deepest, depth)
     # Of buckets with the same members one is enough; a bucket number that two
     # levels share is one bucket with the members of both.
     kept = (leaves.groupBy("members", "sum", "xor")

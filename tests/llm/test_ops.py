@@ -91,6 +91,24 @@ def test_near_join_matches_brute_force(docs, monkeypatch, small):
     assert kept.count() == len({r["class_key"] for r in got.values()})
 
 
+def test_near_join_finds_pairs_of_a_family_split_many_times(spark, monkeypatch):
+    assert [near_join.runs_needed(d) for d in (0, 1, 11)] == [7, 8, 9]
+    monkeypatch.setattr(near_join, "SMALL", 8)
+    monkeypatch.setattr(near_join, "DENSE", 2.0)
+    rng = np.random.default_rng(5)
+    shared = [f"s{k}" for k in range(120)]
+    rows = []
+    for k in range(240):  # 240 pairs on one template, each pair a little over 0.8 alike
+        own = [f"o{k}x{j}" for j in range(60)]
+        for j in range(2):
+            tail = [f"t{k}y{j}z{x}" for x in range(int(rng.integers(16, 19)))]
+            rows.append((2 * k + j, " ".join(shared + own + tail)))
+    links = _links(rows)
+    assert len(links) == 240
+    found = near_join.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found.where("n_links > 0").count() == 480
+
+
 def test_near_join_odd_rows(odd, none):
     got = near_join.near_copies(odd)
     assert got.count() == odd.count()
