@@ -56,8 +56,11 @@ class DigestIndex:
         doc_id, keep_id, group_size (rows of this batch with the digest, or
         the keeper's batch if that is larger), kept, text_sha256, is_new.
 
-        A batch id already in the index is not appended again, so a job that
-        died after its append can be run again with the same result.
+        Digests already in the index are not appended again, so a job that
+        died after its append can be run again under its batch id with the
+        same result: a digest that the id added earlier stays new, and its
+        keeper is the row with the keeper's doc_id.  Other data under a used
+        id only adds its new digests.
         """
         text = text_of(text_col)
         rows = materialise(batch.select(
@@ -71,20 +74,29 @@ class DigestIndex:
                  .select("digest", F.col("best.doc_id").alias("keep_id"),
                          F.col("best.rid").alias("keep_rid"), "group_size",
                          F.lit(batch_id).alias("batch")))
-        known = self.rows()
-        if known.where(F.col("batch") == batch_id).isEmpty():
-            new = found.join(known.select("digest").hint("merge"), "digest", "left_anti")
-            self._save(new.repartition(self.buckets, "digest").sortWithinPartitions("digest"),
-                       None, "append")
-            self.spark.catalog.refreshTable(self.name)
+        new = found.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+        self._save(new.repartition(self.buckets, "digest").sortWithinPartitions("digest"),
+                   None, "append")
+        self.spark.catalog.refreshTable(self.name)
         # The keepers of this batch's digests, written once: the join below
         # then has an exchange on both sides and AQE can split a hot digest.
-        sizes = found.select("digest", F.col("group_size").alias("here"))
-        keepers = materialise(self.rows().join(sizes, "digest"))
+        # Row numbers of an earlier run mean nothing here, so the keeper's row
+        # is found by its doc_id.
+        here = found.select("digest", F.col("group_size").alias("here"),
+                            F.col("keep_id").alias("best_id"), F.col("keep_rid").alias("rid_here"))
+        keepers = materialise(self.rows().drop("keep_rid").join(here, "digest"))
         is_new = F.col("batch") == batch_id
+        other = keepers.where(is_new & ~F.col("keep_id").eqNullSafe(F.col("best_id")))
+        if not other.isEmpty():  # a used id with other data: its best row is not the keeper
+            first = (rows.join(other.select("digest", "keep_id"), "digest")
+                     .where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
+                     .agg(F.min(F.struct((-F.col("n")).alias("n"), "rid"))["rid"].alias("rid_first")))
+            same = F.col("keep_id").eqNullSafe(F.col("best_id"))
+            keepers = materialise(keepers.join(first, "digest", "left").withColumn(
+                "rid_here", F.when(same, F.col("rid_here")).otherwise(F.col("rid_first"))))
         return rows.join(keepers.hint("merge"), "digest").select(
             "doc_id", "keep_id", F.greatest("here", "group_size").alias("group_size"),
-            (is_new & (F.col("rid") == F.col("keep_rid"))).alias("kept"),
+            (is_new & F.col("rid").eqNullSafe(F.col("rid_here"))).alias("kept"),
             F.col("digest").alias("text_sha256"), is_new.alias("is_new"))
 
 
@@ -94,10 +106,14 @@ def new_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
     return DigestIndex(spark, path.rsplit("/", 1)[1].replace("-", "_"), path, buckets)
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, batch_id: str = "batch-0",
+def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, batch_id: str | None = None,
                 buckets: int = 64) -> DataFrame:
-    """``DigestIndex.add`` against ``index``, or against a new empty one."""
-    index = index or new_index(docs.sparkSession, buckets)
+    """``DigestIndex.add`` against ``index``, which needs a batch id, or against a
+    new empty one."""
+    if index is None:
+        return new_index(docs.sparkSession, buckets).add(docs, batch_id or "batch-0")
+    if batch_id is None:
+        raise ValueError("a batch added to an index needs a batch_id")
     return index.add(docs, batch_id)
 
 

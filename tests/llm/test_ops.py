@@ -63,6 +63,27 @@ def test_exact_dedup_second_batch_and_odd_rows(docs, odd, none):
     assert exact_dedup.exact_dedup(none, buckets=4).count() == 0
 
 
+def test_exact_dedup_used_batch_id_loses_no_rows(spark, docs):
+    def batch(*rows):
+        return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def add(df):
+        return {r["doc_id"]: (r["kept"], r["keep_id"], r["is_new"])
+                for r in exact_dedup.exact_dedup(df, index, "a").collect()}
+
+    index = exact_dedup.new_index(spark, 4)
+    with pytest.raises(ValueError):
+        exact_dedup.exact_dedup(docs, index)
+    first = batch((1, "x y"), (2, "xy"), (3, "z"))
+    once = add(first)
+    assert once == {1: (True, 1, True), 2: (False, 1, True), 3: (True, 3, True)}
+    assert add(first) == once and index.rows().count() == 2
+    grown = add(batch((4, "new"), (5, "x  y"), (3, "z"), (1, "x y")))
+    assert grown == {4: (True, 4, True), 5: (False, 1, True), 3: (True, 3, True), 1: (True, 1, True)}
+    assert index.rows().count() == 3
+    assert add(batch((6, "z"), (7, "w"))) == {6: (False, 3, True), 7: (True, 7, True)}
+
+
 def _links(rows):
     sets, where = [], collections.defaultdict(list)
     for k, (_, t) in enumerate(rows):
