@@ -2,20 +2,21 @@
 
 Symbols start as characters.  An agenda holds every neighbouring pair that
 is a piece, the best score first, then the leftmost; a candidate taken from it is
-skipped if its keyed hash falls below the dropout rate, else it is merged and
-its new neighbours join the agenda.  The agenda of a short part is a list with
-one place per pair, of a long one a heap; both take the same candidates.
-The hash depends on the seed, the
-variant, the word, the place (modulo 8,192) and the piece, so a run can be
-repeated exactly.
+skipped at the dropout rate, else it is merged and its new neighbours join the
+agenda.  The agenda of a short part is a list with one place per pair, of a
+long one a heap; both take the same candidates.  Skips are drawn as gaps, the
+numbers of candidates merged before the next skip (geometric, which is the
+same as a draw for each candidate).  They depend on the seed, the text's
+checksum and the number of the part in it, so each occurrence of a word varies
+by itself and a run can be repeated exactly.
 What stays outside the vocabulary becomes byte pieces.  Without dropout the
 ids are the vocabulary's own.
 
 No piece crosses from another character into a space, into a line break, nor
 from a letter into most punctuation marks (checked when the vocabulary is
-loaded), so texts are cut there and the parts encoded one by one.  Each occurrence of a part draws
-one of ``VARIANTS`` seeded segmentations, by the text's checksum and its
-place; segmentations are remembered per worker in a bounded table.
+loaded), so texts are cut there and the parts encoded one by one.  What a part
+becomes under the gaps drawn so far is remembered per worker in a bounded table,
+with the candidates after the last skip: the next gap tells whether another falls.
 
 A character that the vocabulary uses for the space is encoded as bytes, so
 that decoding restores it.  Defined results: a null or empty text has no ids;
@@ -26,8 +27,9 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 import re
-import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from struct import pack
@@ -42,23 +44,32 @@ from .tokens import vocabulary_path
 VOCABULARY = "piece_bpe_32k.model"
 RATE = 0.1
 SEED = 7
-VARIANTS = 4
 CACHE_ENTRIES = 800_000
 SHORT = 64           # symbols up to which the agenda is a list
 SPACE = "▁"
 PUNCTUATION = ".,!?;:|*$%&#"
 _MARK = SPACE + "\0" + SPACE
+_STEP, _LEVEL = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+_FULL = 2**64 - 1
+NEVER = 2**62        # a gap beyond every part's candidates
+
+
+def _mixed(x, full=_FULL):
+    """Splitmix of 64-bit integers; arrays of them wrap by themselves."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+    return x ^ x >> 31
 
 
 class Dropout:
-    def __init__(self, path: str, rate: float, seed: int, variants: int = VARIANTS,
+    def __init__(self, path: str, rate: float, seed: int,
                  cache_entries: int = CACHE_ENTRIES):
         import sentencepiece
         import xxhash
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.hash = xxhash.xxh64_intdigest
-        self.rate, self.seed, self.variants, self.limit = rate, seed, variants, cache_entries
+        self.rate, self.seed, self.limit = rate, seed, cache_entries
         size = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(size)]
         self.bytes: dict[int, int] = {}      # byte -> id
@@ -83,20 +94,42 @@ class Dropout:
             # letters end before a mark that no piece has after a letter.
             word = rf" *[^\W\d_]+(?=[{re.escape(''.join(marks))}])|" if marks else ""
             self.parts = re.compile(rf"\n|{word} *[^ \n]+| +")
-        # Two generations: a full one becomes the older, so frequent parts survive.
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        # Chances, in 2**53, that a skip comes within 1, 2, ... candidates.
+        most = (0 if rate <= 0 else 1 if rate >= 1
+                else min(math.ceil(-37 / math.log1p(-rate)), 1 << 20))
+        self.within = [round(2**53 * -math.expm1(k * math.log1p(-rate))) if rate < 1 else 2**53
+                       for k in range(1, most + 1)]
+        # Parts without a skip, and with some.  Two generations: a full one
+        # becomes the older, so frequent parts survive.
+        self.cache: list[dict] = [{}, {}]
+        self.older: list[dict] = [{}, {}]
 
     def split(self, text: str) -> list[str]:
         """The text with its leading space, in parts no piece crosses."""
         return self.parts.findall(" " + text) if text else []
 
-    def encode_part(self, part: str, variant: int) -> list[int]:
+    def _gap(self, draw: int, level: int) -> int:
+        """Candidates merged before the next skip, after ``level`` skips."""
+        if not self.within:
+            return NEVER
+        return bisect_right(self.within, _mixed((draw + level * _LEVEL) & _FULL) >> 11)
+
+    def _gaps(self, draw: int) -> Iterator[int]:
+        level = 0
+        while True:
+            yield self._gap(draw, level)
+            level += 1
+
+    def encode_part(self, part: str, draw: int) -> list[int]:
+        """Ids of the occurrence of ``part`` that has this draw."""
+        return self._encoded(part, self._gaps(draw))[1]
+
+    def _encoded(self, part: str, gaps: Iterator[int]) -> tuple[int, list[int]]:
+        """(candidates after the last skip, ids)."""
         # A literal space mark never merges: no piece holds its stand-in.
         sym = [SPACE if c == " " else _MARK if c == SPACE else c for c in part]
-        # 30 bits: small integers that Python multiplies fast.
-        draw = self.hash(part, self.seed * 1_000_003 + variant) >> 34
-        sym = self._merge_short(sym, draw) if len(sym) <= SHORT else self._merge_long(sym, draw)
+        merge = self._merge_short if len(sym) <= SHORT else self._merge_long
+        merged, sym = merge(sym, gaps)
         ids, out = self.ids, []
         for s in sym:
             found = ids.get(s)
@@ -105,34 +138,33 @@ class Dropout:
             else:
                 raw = SPACE if s == _MARK else s
                 out.extend(self.bytes[b] for b in raw.encode())
-        return out
+        return merged, out
 
-    def _merge_short(self, sym: list[str], draw: int) -> list[str]:
-        order, ids, floor = self.order.get, self.ids, int(self.rate * 2**30)
-        none = len(self.order)
-        start = list(range(len(sym)))
+    def _merge_short(self, sym: list[str], gaps: Iterator[int]) -> tuple[int, list[str]]:
+        order, none = self.order.get, len(self.order)
+        gap, merged = next(gaps, NEVER), 0
         agenda = [order(a + b, none) for a, b in zip(sym, sym[1:])]
         while agenda:
             best = min(agenda)
             if best == none:
                 break
             k = agenda.index(best)
-            piece = sym[k] + sym[k + 1]
-            if floor:
-                x = (draw ^ ids[piece] + (start[k] << 17)) * 0x2C1B3C6D & 0x3FFFFFFF
-                if (x ^ x >> 15) * 0x297A2D39 & 0x3FFFFFFF < floor:
-                    agenda[k] = none
-                    continue
-            sym[k] = piece
-            del sym[k + 1], start[k + 1], agenda[k]
+            if merged == gap:
+                agenda[k] = none
+                gap, merged = next(gaps, NEVER), 0
+                continue
+            merged += 1
+            sym[k] = piece = sym[k] + sym[k + 1]
+            del sym[k + 1], agenda[k]
             if k < len(agenda):
                 agenda[k] = order(piece + sym[k + 1], none)
             if k:
                 agenda[k - 1] = order(sym[k - 1] + piece, none)
-        return sym
+        return merged, sym
 
-    def _merge_long(self, sym: list[str], draw: int) -> list[str]:
-        ids, rank, push = self.ids, self.rank, heapq.heappush
+    def _merge_long(self, sym: list[str], gaps: Iterator[int]) -> tuple[int, list[str]]:
+        rank, push = self.rank, heapq.heappush
+        gap, merged = next(gaps, NEVER), 0
         end = len(sym)
         left, right = list(range(-1, end - 1)), list(range(1, end + 1))
         agenda: list[tuple[float, int, str]] = []
@@ -140,16 +172,15 @@ class Dropout:
             piece = sym[i] + sym[i + 1]
             if piece in rank:
                 push(agenda, (rank[piece], i, piece))
-        floor = int(self.rate * 2**30)
         while agenda:
             _, i, piece = heapq.heappop(agenda)
             j = right[i]
             if j >= end or not sym[i] or sym[i] + sym[j] != piece:
                 continue
-            if floor:
-                x = (draw ^ ids[piece] + (i << 17)) * 0x2C1B3C6D & 0x3FFFFFFF
-                if (x ^ x >> 15) * 0x297A2D39 & 0x3FFFFFFF < floor:
-                    continue
+            if merged == gap:
+                gap, merged = next(gaps, NEVER), 0
+                continue
+            merged += 1
             sym[i], sym[j] = piece, ""
             nxt = right[i] = right[j]
             if nxt < end:
@@ -162,26 +193,54 @@ class Dropout:
                 both = sym[before] + piece
                 if both in rank:
                     push(agenda, (rank[both], before, both))
-        return [s for s in sym if s]
+        return merged, [s for s in sym if s]
+
+    def _known(self, table: int, part: str, key, gaps: tuple[int, ...]) -> tuple[int, bytes]:
+        """(candidates after the last skip, packed ids) of ``part`` under these gaps."""
+        got = self.older[table].get(key)
+        if got is None:
+            merged, ids = self._encoded(part, iter(gaps))
+            got = merged, pack(f"<{len(ids)}i", *ids)
+        if 4 * len(self.cache[table]) >= self.limit:
+            self.older[table], self.cache[table] = self.cache[table], {}
+        self.cache[table][key] = got
+        return got
+
+    def _skipped(self, part: str, gap: int, draw: int) -> bytes:
+        """Packed ids of an occurrence whose first skip comes after ``gap`` candidates."""
+        key, level = (part, gap), 0
+        while True:
+            merged, ids = self.cache[1].get(key) or self._known(1, part, key, key[1:])
+            level += 1
+            gap = self._gap(draw, level)
+            if gap >= merged:
+                return ids
+            key += (gap,)
+
+    def draws(self, text: str, parts: int) -> np.ndarray:
+        """A 64-bit draw for each part of a text."""
+        first = self.hash(text.encode(), self.seed & _FULL)
+        at = np.arange(parts, dtype=np.uint64) * np.uint64(_STEP) + np.uint64(first)
+        return _mixed(at, np.uint64(_FULL))
 
     def encode(self, text: str) -> np.ndarray:
         parts = self.split(text)
-        draw = np.arange(len(parts), dtype=np.uint64) + np.uint64(zlib.crc32(text.encode()))
-        draw = (draw * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(self.seed)
-        draw = ((draw ^ (draw >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
-        cache, out = self.cache, []
-        for part, v in zip(parts, (draw % np.uint64(self.variants)).tolist()):
-            got = cache[v].get(part)
+        draws = self.draws(text, len(parts))
+        if self.within:
+            first = np.searchsorted(np.array(self.within, dtype=np.uint64),
+                                    _mixed(draws, np.uint64(_FULL)) >> np.uint64(11), "right")
+        else:
+            first = np.full(len(parts), NEVER)
+        out = []
+        for part, gap, draw in zip(parts, first.tolist(), draws.tolist()):
+            got = self.cache[0].get(part)
             if got is None:
-                if 2 * len(cache[v]) * self.variants > self.limit:
-                    self.older[v], cache[v] = cache[v], {}
-                got = self.older[v].get(part)
-                if got is None:
-                    ids = self.encode_part(part, v)
-                    got = pack(f"<{len(ids)}i", *ids)
-                if len(part) < 64:
-                    cache[v][part] = got
-            out.append(got)
+                if len(part) >= 64:
+                    ids = self.encode_part(part, draw)
+                    out.append(pack(f"<{len(ids)}i", *ids))
+                    continue
+                got = self._known(0, part, part, ())
+            out.append(got[1] if gap >= got[0] else self._skipped(part, gap, draw))
         return np.frombuffer(b"".join(out), dtype="<i4")
 
     def decode(self, ids: np.ndarray) -> str:
@@ -197,18 +256,18 @@ class Dropout:
 
 
 @lru_cache(maxsize=4)
-def dropout(path: str, rate: float, seed: int, variants: int) -> Dropout:
+def dropout(path: str, rate: float, seed: int) -> Dropout:
     """One per Python worker and setting, kept between its tasks."""
-    return Dropout(path, rate, seed, variants)
+    return Dropout(path, rate, seed)
 
 
-def encode(docs: DataFrame, path: str | None = None, rate: float = RATE, seed: int = SEED,
-           variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, rate: float = RATE,
+           seed: int = SEED) -> DataFrame:
     """doc_id, ids of every whole text."""
     path = path or vocabulary_path(VOCABULARY)
 
     def rows(batch: list[dict]) -> Iterator[tuple]:
-        coder = dropout(path, rate, seed, variants)
+        coder = dropout(path, rate, seed)
         for d in batch:
             yield d["doc_id"], coder.encode(d["text"])
 
@@ -221,7 +280,7 @@ def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary_path(VOCABULARY)
 
     def rows(batch: list[dict]) -> Iterator[tuple]:
-        coder = dropout(path, 0.0, 0, 1)
+        coder = dropout(path, 0.0, 0)
         for d in batch:
             yield d["doc_id"], coder.decode(np.array(d["ids"] or [], dtype="<i4"))
 

@@ -307,3 +307,22 @@ def test_merge_dropout_agendas_agree_and_cache_is_bounded(docs, monkeypatch):
     listed = {p: large.encode_part(p, 1) for p in parts}
     monkeypatch.setattr(merge_dropout, "SHORT", 0)
     assert listed == {p: large.encode_part(p, 1) for p in parts}
+
+
+def test_merge_dropout_varies_by_occurrence():
+    path = vocabulary_path(merge_dropout.VOCABULARY)
+    coder = merge_dropout.Dropout(path, 0.1, 7)
+    for word in ("of", "the", "nation", "international"):
+        part = " " + word
+        merges, ids = coder._encoded(part, iter(()))
+        text = " ".join([word] * 20000)
+        got = coder.encode(text)
+        parts = [tuple(coder.encode_part(part, d)) for d in coder.draws(text, 20000).tolist()]
+        assert got.tolist() == [i for p in parts for i in p]
+        first = np.array([coder._gap(d, 0) for d in coder.draws(text, 20000).tolist()])
+        assert abs((first >= merges).mean() - 0.9 ** merges) < 0.02
+        rng = np.random.default_rng(3)
+        want = [coder._encoded(part, iter((rng.geometric(0.1, 40) - 1).tolist()))[1] for _ in range(20000)]
+        assert abs(parts.count(tuple(ids)) - want.count(ids)) < 500
+        assert len(set(parts)) > (4 if merges > 3 else 1)
+    assert coder.encode("the same text").tolist() == coder.encode("the same text").tolist()
