@@ -213,6 +213,26 @@ def test_secrets(docs, odd, none):
     assert secrets.find_secrets(none).count() == 0 and secrets.redact(odd).columns == odd.columns
 
 
+def test_secrets_null_holds_whole_texts_in_each_encoding(spark):
+    rng = np.random.default_rng(2)
+    letters = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz ABCDEF0123456789+/-_\u00e9"), 3000))
+    nulls = collections.Counter()
+    for cls, b, n in secrets.ordinary([secrets.outside(t, []) for t in (letters, "short", "")]):
+        nulls[cls, b] += n
+    want = collections.Counter()
+    for name, chars in secrets.ALPHABETS.items():
+        plain = "".join(c for c in letters if c in chars)
+        for n in secrets.CLASSES:
+            for at in range(0, len(plain) - n + 1, n):
+                want[secrets.class_of(n, name), secrets.bin_of(secrets.battery(plain[at:at + n], name))] += 1
+    assert sum(nulls.values()) == sum(want.values()) and sum(((nulls - want) + (want - nulls)).values()) <= 4
+    # A table far into a text counts: all its strings are in the null.
+    docs = spark.createDataFrame([(1, "the words of it " * 2000 + letters)], "doc_id bigint, text string")
+    counted = secrets.count_bins(secrets.scored_texts(docs))
+    whole = sum(c.isascii() and c.isalnum() for c in "the words of it " * 2000 + letters)
+    assert sum(n for cls, plain, _, n in counted if plain and cls == secrets.class_of(16, "alnum")) == whole // 16
+
+
 def test_sharding(docs, odd, none):
     limit = 20_000
     got = sharding.shard_documents(docs, limit).toPandas()
