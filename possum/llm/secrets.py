@@ -1,8 +1,9 @@
 """Secret scans with a randomness test battery (operator 6).
 
 Three fixed patterns find base spans.  The battery adds spans: every run of
-16 or more key characters that is not plain letters or digits gets an
-encoding (hex, base32, alphanumeric, base64) and three tests of its symbols
+16 or more key characters, and every piece of 16 or more between the '/', '_'
+and '-' in it, gets an encoding (the smallest alphabet that holds it, from
+digits to all key characters) and three tests of its symbols
 against that alphabet: chi-squared uniformity, runs about the middle of the
 alphabet, and correlation of neighbours.  Fisher's method combines the three
 into one probability.
@@ -18,7 +19,7 @@ counted over all texts, as bins: at most classes x bins numbers reach the
 driver.
 
 Defined results: a null or empty text has no spans; spans count code points,
-end exclusive; a candidate inside a base span is not added; equal texts get
+end exclusive; a candidate inside a base span or an added run is not added; equal texts get
 equal spans; an empty table gives no rows.  Extra columns are ignored by the
 scan and kept by ``redact``.
 """
@@ -48,15 +49,19 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 KINDS = ("assign", "access", "hex", "random")
 
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+PIECE = re.compile(r"[A-Za-z0-9+]{16,}")
 CLASSES = (16, 24, 32, 48, 64)      # least length of each length class
 BINS = 200                          # bins of the log probability
 RATE = 0.01                         # false discoveries among added spans
 NOT_RANDOM = 0.001                  # battery probabilities below this are not random
 
 _UPPER, _LOWER, _DIGIT = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789")
-ALPHABETS = {"hex": _DIGIT + "abcdef", "HEX": _DIGIT + "ABCDEF", "base32": _UPPER + "234567",
-             "alnum": _UPPER + _LOWER + _DIGIT, "base64": _UPPER + _LOWER + _DIGIT + "+/",
-             "base64url": _UPPER + _LOWER + _DIGIT + "-_"}
+# Smaller ones first.
+ALPHABETS = {"digits": _DIGIT, "hex": _DIGIT + "abcdef", "HEX": _DIGIT + "ABCDEF",
+             "lower": _LOWER, "upper": _UPPER, "base32": _UPPER + "234567",
+             "letters": _UPPER + _LOWER, "alnum": _UPPER + _LOWER + _DIGIT,
+             "base64": _UPPER + _LOWER + _DIGIT + "+/", "base64url": _UPPER + _LOWER + _DIGIT + "-_",
+             "any": _UPPER + _LOWER + _DIGIT + "+/-_"}
 _SETS = {name: frozenset(chars) for name, chars in ALPHABETS.items()}
 _NUMBER = {name: k for k, name in enumerate(ALPHABETS)}
 _VALUES = {name: {c: i for i, c in enumerate(chars)} for name, chars in ALPHABETS.items()}
@@ -67,12 +72,10 @@ _TABLES = {name: np.array([found.get(chr(c), _OTHER) for c in range(256)], dtype
            for name, found in _VALUES.items()}
 
 
-def encoding_of(run: str) -> str | None:
-    """The smallest alphabet that holds the run; None for words and numbers."""
+def encoding_of(run: str) -> str:
+    """The smallest alphabet that holds the run."""
     chars = set(run)
-    if run.isalpha() or run.isdigit():
-        return None
-    return next((name for name in ALPHABETS if chars <= _SETS[name]), None)
+    return next(name for name in ALPHABETS if chars <= _SETS[name])
 
 
 def _upper_normal(z: float) -> float:
@@ -193,12 +196,14 @@ def base_spans(text: str, runs: list[re.Match]) -> list[tuple[int, int, int]]:
 
 
 def candidates(runs: list[re.Match], base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(start, end, class, bin) of the runs that the battery tests."""
+    """(start, end, class, bin) of the runs, and pieces of runs, that the battery tests."""
     for m in runs:
-        start, end = m.span()
-        encoding = encoding_of(m[0])
-        if encoding and not any(a <= start and end <= b for a, _, b in base):
-            yield start, end, class_of(end - start, encoding), bin_of(battery(m[0], encoding))
+        spans = [m.span(), *(p.span() for p in PIECE.finditer(m.string, *m.span()))]
+        for start, end in dict.fromkeys(spans):
+            if not any(a <= start and end <= b for a, _, b in base):
+                found = m.string[start:end]
+                encoding = encoding_of(found)
+                yield start, end, class_of(end - start, encoding), bin_of(battery(found, encoding))
 
 
 def outside(text: str, base: list[tuple[int, int, int]]) -> np.ndarray:
@@ -300,7 +305,11 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     def rows(batch: list[dict]) -> Iterator[tuple]:
         for d in batch:
             base = [(s["start"], s["kind"], s["stop"]) for s in d["base"]]
-            more = [(c["start"], 3, c["stop"]) for c in d["found"] if c["bin"] >= least[c["cls"]]]
+            more, at = [], 0
+            for c in d["found"]:  # a run comes before its pieces
+                if c["bin"] >= least[c["cls"]] and c["start"] >= at:
+                    more.append((c["start"], 3, c["stop"]))
+                    at = c["stop"]
             kinds = Counter(kind for _, kind, _ in base)
             yield (d["doc_id"], kinds[0], kinds[1], kinds[2],
                    hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + more),

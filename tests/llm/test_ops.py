@@ -233,6 +233,27 @@ def test_secrets_null_holds_whole_texts_in_each_encoding(spark):
     assert sum(n for cls, plain, _, n in counted if plain and cls == secrets.class_of(16, "alnum")) == whole // 16
 
 
+def test_secrets_finds_plain_and_prefixed_keys(spark):
+    rng = np.random.default_rng(4)
+
+    def key(chars, n):
+        return "".join(rng.choice(list(chars), n))
+
+    text = "see api/v1/" + (inner := key(secrets.ALPHABETS["alnum"], 32)) + " end"
+    spans = {text[a:b] for a, b, _, _ in secrets.scan(text)[1]}
+    assert spans == {inner, "api/v1/" + inner}
+    for odd in (key(secrets._UPPER, 20), key(secrets._DIGIT, 20), key("ab+/-_", 30)):
+        assert odd in {odd[a:b] for a, b, _, _ in secrets.scan(odd)[1]}
+    words = ["the", "reader", "of", "this", "plain", "note", "is", "going", "on", "and", "more"]
+    rows = [(k, " ".join(rng.choice(words, 400))) for k in range(40)]
+    keys = [key(secrets.ALPHABETS["letters"], 40) for _ in range(40)]
+    rows += [(100 + k, f"{rows[k][1]} live_{s} {rows[k][1]}") for k, s in enumerate(keys)]
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(
+        rows, "doc_id bigint, text string")).collect()}
+    assert sum(s not in got[100 + k] for k, s in enumerate(keys)) >= 38
+    assert all(got[k] == t for k, t in rows[:40])
+
+
 def test_sharding(docs, odd, none):
     limit = 20_000
     got = sharding.shard_documents(docs, limit).toPandas()
