@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import collocations
 from .common import shuffle_partitions, table
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprints
@@ -63,6 +64,10 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_training_order": op1_training_order,
     "op2_merge_dropout": op2_merge_dropout,
@@ -74,4 +79,5 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_extendible_sharding": op10_extendible_sharding,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
