@@ -18,6 +18,7 @@ from .secrets import find_secrets
 from .sharding import shard_documents
 from .training_order import training_order
 from .urls import judge
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +65,10 @@ def op10_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -79,5 +84,6 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_extendible_sharding": op10_extendible_sharding,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
