@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .collocations import collocations
 from .common import shuffle_partitions, table
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprints
+from .licences import scan_licences
 from .merge_dropout import encode
 from .near_join import near_copies
 from .packing import pack
@@ -69,6 +71,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents")).withColumn(
+        "expressions", F.array_join("expressions", "; "))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -85,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_extendible_sharding": op10_extendible_sharding,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_licence_scan": op12_licence_scan,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
