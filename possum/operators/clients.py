@@ -19,7 +19,8 @@ from ..functions.rules import (entry_or_exit, event_date, is_active, journey_lab
                                journey_override, opening_date)
 from ..sources.scans import scan_since, scan_snapshot
 from .joins import DEFAULT_BROADCAST_ROWS, materialise, maybe_broadcast
-from .ordering import DEFAULT_MAX_GROUP_ROWS, DETECT, ordinal
+from .ordering import DEFAULT_MAX_GROUP_ROWS, DETECT, hot_keys, ordinal, split_by_hot_keys
+from .watch import Watch
 
 # Above this many listed accounts the exclusion becomes a join against a
 # DataFrame built from the list (its size is the list's, known on the driver).
@@ -92,26 +93,42 @@ def exit_history(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataF
 
 def exit_ranks(history: DataFrame, method: str = "auto",
                max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-               sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT) -> DataFrame:
+               sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT,
+               watch: Watch | None = None) -> DataFrame:
     """Ordinal of each event within (account, entry-or-exit side), oldest first.
 
     NULL dates sort last.  The history is distinct over all its columns, so
     ordering by all of them is total and the ordinals are reproducible.
     ``sizes_from`` (see ``exit_event_sizes``) lets the hot-group check count
     raw rows instead of recomputing the distinct history; ``hot`` (see
-    ``hot_exit_groups``) skips the check.
+    ``hot_exit_groups``) skips the check.  ``watch`` counts accounts with
+    several dates for one event in the same pass.
     """
-    side = history.withColumn("_side", entry_or_exit())
     order = [F.col(c).asc_nulls_last() for c in (
         "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "canal",
         "numero_cnpj_completo", "numero_unico_cliente")]
     # Outside hot groups an account holds at most 2 * max_group_rows rows, so
     # the window rows are partitioned by account alone: the entry/exit
     # pairing (keyed by account and ordinal) then reuses that exchange.
-    return (ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method,
-                    max_group_rows=max_group_rows, sizes_from=sizes_from, hot=hot,
-                    cluster_by=["agencia_conta"] if method == "auto" else None)
-            .drop("_side"))
+    def ranked(rows: DataFrame, method: str = method, hot: DataFrame | None | str = hot,
+               clustered: bool = False) -> DataFrame:
+        side = rows.withColumn("_side", entry_or_exit())
+        cluster = ["agencia_conta"] if method == "auto" and not clustered else None
+        return ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method,
+                       max_group_rows=max_group_rows, sizes_from=sizes_from, hot=hot,
+                       cluster_by=cluster).drop("_side")
+
+    if watch is None or method != "auto":
+        return ranked(history)
+    if isinstance(hot, str):
+        hot = hot_keys((history if sizes_from is None else sizes_from).withColumn("_side", entry_or_exit()),
+                       ["agencia_conta", "_side"], max_group_rows)
+    if hot is None:
+        return ranked(watch.account_events(history.repartition("agencia_conta")), hot=None, clustered=True)
+    cold_rows, hot_rows = split_by_hot_keys(history, ["agencia_conta"], hot.select("_g0").distinct())
+    watch.hot_account_events(hot_rows)
+    return (ranked(watch.account_events(cold_rows.repartition("agencia_conta")), hot=None, clustered=True)
+            .unionByName(ranked(hot_rows)))
 
 
 def exit_event_sizes(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataFrame:
@@ -250,7 +267,8 @@ def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[s
                          to_outros: Sequence[str] = (), to_onboarding: Sequence[str] = (),
                          open_end: dt.date = K.OPEN_END, method: str = "auto",
                          client_floor: int | None = None,
-                         max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                         max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                         watch: Watch | None = None) -> DataFrame:
     """The whole chain from the raw client table.
 
     ``client_floor`` optionally limits every client read to snapshots on or
@@ -264,7 +282,7 @@ def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[s
     profile = materialise(account_profile(cli, excluded))
     exits, small, hot = profile_decisions(profile, max_group_rows, method)
     ranks = exit_ranks(exit_history(cli, exits, small), method=method,
-                       max_group_rows=max_group_rows, hot=hot)
+                       max_group_rows=max_group_rows, hot=hot, watch=watch)
     lifecycle = account_lifecycle(ranks, never_left_accounts(
         client_snapshot(cli, execute_date, excluded), exits, small))
     return client_accounts(journey_adjusted(lifecycle, to_outros, to_onboarding), open_end)

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import snapshot_int
-
 from ..operators.clients import client_accounts_from
 from ..operators.estab import latest_estab
 from ..operators.flagship import pdv_emps
 from ..operators.pdv import latest_pdv, pdv_history
+from ..operators.watch import DailyReport, Watch
 from ..params import RunParams
-from ..sources.scans import extract
+from ..sources.scans import extract, scan_upto
 from ..sources.sinks import load
 from .session import skew_split
 
@@ -34,43 +34,57 @@ class Results:
     latest_estab: DataFrame
 
 
+@dataclass(frozen=True)
+class Run:
+    """A loaded day: its flagship rows, and what its report counted."""
+
+    day: DataFrame
+    report: DailyReport
+
+
 def transform(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
-              method: str = "auto") -> Results:
-    """Build the result plans.
+              method: str = "auto", watch: Watch | None = None) -> Results:
+    """Build the result plans; ``watch`` counts doubtful rows as the flagship reads them.
 
     With ``params.use_client_floor`` the client table is read from
     ``params.client_floor`` on; by default every snapshot is read.
     """
     client_floor = params.client_floor if params.use_client_floor else None
+    if watch is not None:
+        s_pdv = watch.point_of_sale_rows(scan_upto(s_pdv, params.execute_date))
     hist = pdv_history(s_pdv, params.execute_date, keep=params.pdv_tie_break)
     latest = latest_pdv(hist, params.pdv_tie_break)
     estab = latest_estab(s_estb, params.estab_tie_break)
     accounts = client_accounts_from(
         cli, params.execute_date, params.excluded_accounts, params.journey_to_outros,
         params.journey_to_onboarding, params.open_end, method=method, client_floor=client_floor,
-        max_group_rows=params.max_group_rows)
+        max_group_rows=params.max_group_rows, watch=watch)
     return Results(pdv_emps(latest, accounts, estab, params.cancel_floor), accounts, estab)
 
 
 def run(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
-        table: str | None = None, path: str | None = None) -> DataFrame:
+        table: str | None = None, path: str | None = None) -> Run:
     """Run one day and load the flagship result (partitioned by run day).
 
-    Failures raise; a rerun of the same day overwrites only that day.
+    Failures raise; a rerun of the same day replaces only that day.  The report
+    is counted by the load itself.
     """
     log.info("building plans for %s", params.execute_date)
-    result = transform(s_pdv, s_estb, cli, params).pdv_emps
-    if table is not None or path is not None:
-        with skew_split(result.sparkSession):
-            load(result, table=table, path=path, day=params.execute_date)
-        log.info("loaded day %s", params.execute_date)
-    return result
+    watch = Watch()
+    result = transform(s_pdv, s_estb, cli, params, watch=watch).pdv_emps
+    spark = result.sparkSession
+    with skew_split(spark):
+        load(result, table=table, path=path, day=params.execute_date)
+    report = watch.report()
+    log.info("loaded day %s: %s", params.execute_date, report)
+    loaded = spark.table(table) if table is not None else spark.read.schema(result.schema).parquet(path)
+    return Run(loaded.where(F.col("anomesdia") == params.execute_date), report)
 
 
 def run_from_catalog(spark: SparkSession, params: RunParams, pdv_table: str, estab_table: str,
                      client_table: str, output_table: str,
-                     output_path: str | None = None) -> DataFrame:
-    """The whole daily job over catalog tables; returns the loaded day.
+                     output_path: str | None = None) -> Run:
+    """The whole daily job over catalog tables; returns the loaded day and its report.
 
     The point-of-sale history is read up to the run day through a partition
     predicate (only those day folders are read); the
@@ -83,8 +97,4 @@ def run_from_catalog(spark: SparkSession, params: RunParams, pdv_table: str, est
         schemas.S_PDV, pdv_table)
     s_estb = schemas.require(extract(estab_table, spark=spark), schemas.S_ESTB, estab_table)
     cli = schemas.require(extract(client_table, spark=spark), schemas.CLI, client_table)
-    result = transform(s_pdv, s_estb, cli, params).pdv_emps
-    with skew_split(spark):
-        load(result, table=output_table, path=output_path, day=params.execute_date)
-    log.info("loaded day %s into %s", params.execute_date, output_table)
-    return spark.table(output_table).where(F.col("anomesdia") == params.execute_date)
+    return run(s_pdv, s_estb, cli, params, table=output_table, path=output_path)

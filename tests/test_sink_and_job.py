@@ -120,3 +120,122 @@ def test_job_splits_skew_and_restores_the_session(spark):
         assert spark.conf.get(key) == "true"
     assert spark.conf.get(key) == "false"
     spark.conf.set(key, before)
+
+
+def _dir(path):
+    return [n for n in sorted(os.listdir(path)) if n[0] not in "._" or n == "_staging"]
+
+
+def _jobs(spark, action):
+    """How many Spark jobs an action starts."""
+    sc = spark.sparkContext
+    group = f"count-{id(action)}"
+    sc.setJobGroup(group, group)
+    try:
+        out = action()
+    finally:
+        sc._jsc.sc().clearJobGroup()
+    return len(sc.statusTracker().getJobIdsForGroup(group)), out
+
+
+def test_load_evaluates_its_plan_once(spark, scratch_dir):
+    import pyspark
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    for name, n in (("rows", 1000), ("none", 0)):
+        seen = spark.sparkContext.accumulator(0)
+        assert isinstance(seen, pyspark.Accumulator)
+        plan = spark.range(1000).withColumn("anomesdia", F.lit(20240101)).mapInArrow(
+            count, "id bigint, anomesdia int").where(F.col("id") < n)
+        load(plan, path=os.path.join(scratch_dir, name), day=20240101)
+        assert seen.value == 1000
+
+
+class Crash(Exception):
+    pass
+
+
+def _crash_in(monkeypatch, name, at=1):
+    """Let the ``at``-th call of a sink step fail, once."""
+    from possum.sources import sinks
+
+    real, calls = getattr(sinks, name), [0]
+
+    def step(*args):
+        calls[0] += 1
+        if calls[0] == at:
+            raise Crash
+        return real(*args)
+
+    monkeypatch.setattr(sinks, name, step)
+
+
+def test_crash_before_the_marker_keeps_the_old_day(spark, scratch_dir, monkeypatch):
+    import pytest
+
+    path = os.path.join(scratch_dir, "out")
+    load(_day(spark, 20240101, 3), path=path, day=20240101)
+    with monkeypatch.context() as m, pytest.raises(Crash):
+        _crash_in(m, "_write_text")
+        load(_day(spark, 20240101, 7), path=path, day=20240101)
+    assert _days(spark.read.parquet(path)) == {20240101: 3}
+    load(_day(spark, 20240102, 2), path=path, day=20240102)
+    assert _days(spark.read.parquet(path)) == {20240101: 3, 20240102: 2}
+    assert os.listdir(os.path.join(path, "_staging")) == []
+
+
+def test_failing_plan_keeps_the_old_day(spark, scratch_dir):
+    import pytest
+
+    path = os.path.join(scratch_dir, "out")
+    load(_day(spark, 20240101, 3), path=path, day=20240101)
+    bad = _day(spark, 20240101, 5).withColumn("id", F.expr("CASE WHEN id = 4 THEN raise_error('x') ELSE id END"))
+    with pytest.raises(Exception, match="x"):
+        load(bad, path=path, day=20240101)
+    assert _days(spark.read.parquet(path)) == {20240101: 3}
+
+
+def test_crash_during_the_swap_is_finished_by_the_next_load(spark, scratch_dir, monkeypatch):
+    import pytest
+
+    two = _day(spark, 20240101, 5).unionByName(_day(spark, 20240102, 6))
+    for at in (2, 3, 4, 5):  # each move of the swap in turn; the first is the marker's
+        path = os.path.join(scratch_dir, f"out{at}")
+        load(_day(spark, 20240101, 3).unionByName(_day(spark, 20240102, 4)), path=path)
+        with monkeypatch.context() as m, pytest.raises(Crash):
+            _crash_in(m, "_move", at)
+            load(two, path=path)
+        load(_day(spark, 20240103, 1), path=path, day=20240103)
+        assert _days(spark.read.parquet(path)) == {20240101: 5, 20240102: 6, 20240103: 1}
+
+
+def test_crash_before_emptying_a_day_of_a_table(spark, monkeypatch):
+    import pytest
+
+    from possum.sources import sinks
+
+    name = "possum_sink_crash"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    load(_day(spark, 20240101, 3).unionByName(_day(spark, 20240102, 4)), table=name)
+    with monkeypatch.context() as m, pytest.raises(Crash):
+        _crash_in(m, "_swap")
+        load(_day(spark, 20240101, 0), table=name, day=20240101)
+    assert _days(spark.table(name)) == {20240101: 3, 20240102: 4}
+    place = sinks._describe(spark, name)["Location"]
+    assert sinks.finish_loads(spark, place, name) == 1
+    assert _days(spark.table(name)) == {20240102: 4}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_load_keeps_the_types_of_the_table(spark):
+    name = "possum_sink_types"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    load(_day(spark, 20240101, 3), table=name)
+    load(_day(spark, 20240102, 2).select(F.col("anomesdia"), F.col("id").cast("int").alias("id")), table=name)
+    assert spark.table(name).schema["id"].dataType.simpleString() == "bigint"
+    assert spark.table(name).agg(F.sum("id")).first()[0] == 4
+    spark.sql(f"DROP TABLE {name}")
