@@ -1,10 +1,9 @@
 """Token ids of texts by the public word-level BPE vocabulary.
 
 The vocabulary lower-cases, drops white space and never merges across it, so
-a text's ids are those of its white-space chunks in order.  ``WordIds`` hashes
-all chunks of a batch at once (64-bit, with a random table), looks the
-distinct ones up in a bounded table per worker, and asks the tokenizer only
-for new ones.  A chunk of plain letters with trailing punctuation is asked
+a text's ids are those of its white-space chunks in order.  ``WordIds`` looks
+the chunks themselves (no hashes of them) up in a bounded table per worker and
+asks the tokenizer only for new ones.  A chunk of plain letters with trailing punctuation is asked
 for as its lower-cased letters and its punctuation, which the tokenizer
 separates as well.  A text holding a character on which this split and the
 tokenizer could disagree about white space goes to the tokenizer whole.
@@ -12,6 +11,7 @@ tokenizer could disagree about white space goes to the tokenizer whole.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -22,11 +22,10 @@ import numpy as np
 VOCABULARY = "word_bpe_49k.json"
 # Entries per table; a full table is emptied (a cache: results never change).
 CACHE_ENTRIES = 300_000
-# Bytes that are hashed at once; longer texts are cut at white space.
+# Bytes that are looked up at once; longer texts are cut at white space.
 SEGMENT = 1 << 20
 # Unicode white space and separators beyond ASCII's plain white space.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
-SPACES = b" \t\n\x0b\x0c\r"
 TRAIL = ".,!?;:|*$%&#()[]\"-"
 
 
@@ -49,6 +48,18 @@ def _cut(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
+class Chunks(dict[bytes, int]):
+    """Numbers of chunks; ``new`` lists those that were numbered by a look-up."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class WordIds:
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,12 +75,6 @@ class WordIds:
         vocab = self.whole.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        rng = np.random.default_rng(20240101)
-        self.byte_value = rng.integers(0, 2**64, 256, dtype=np.uint64)
-        self.base = int(rng.integers(0, 2**63, dtype=np.uint64)) * 2 + 1
-        self.power = self.inverse = np.ones(1, dtype=np.uint64)
-        self.is_space = np.zeros(256, dtype=bool)
-        self.is_space[list(SPACES)] = True
         self.limit = cache_entries
         self._empty()
 
@@ -83,18 +88,10 @@ class WordIds:
         self._forget_chunks()
 
     def _forget_chunks(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = Chunks()
         self.first = np.zeros(1 << 16, dtype=np.int32)
         self.second = np.zeros(1 << 16, dtype=np.int32)
 
-    def _powers(self, n: int) -> None:
-        if len(self.power) < n:
-            n = max(n, 2 * SEGMENT)
-            for name, by in (("power", self.base), ("inverse", pow(self.base, -1, 2**64))):
-                steps = np.full(n, by, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         got = self.whole.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in got]
@@ -111,7 +108,8 @@ class WordIds:
         self.length[at] = sizes
         self.used += len(ids)
 
-    def _learn(self, keys: list[int], chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
+        """Cores of the newest chunks."""
         cores, plain, other, first, second = self.cores, [], [], [], []
 
         def number(core: str, into: list[str]) -> int:
@@ -140,54 +138,35 @@ class WordIds:
             got = self._whole(other)
             self._store(np.array([cores[c] for c in other]), np.concatenate(got),
                         np.array([len(ids) for ids in got]))
-        at = len(self.known)
-        while at + len(keys) > len(self.first):
+        while len(self.known) > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.second = np.concatenate([self.second, np.zeros_like(self.second)])
-        self.first[at:at + len(keys)] = first
-        self.second[at:at + len(keys)] = second
-        self.known.update(zip(keys, range(at, at + len(keys))))
+        at = len(self.known) - len(chunks)
+        self.first[at:len(self.known)] = first
+        self.second[at:len(self.known)] = second
 
     def _segment(self, parts: list[bytes]) -> list[np.ndarray]:
         """Ids of each part; all parts together are about one segment."""
-        data = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
-        self._powers(len(data) + 1)
-        space = self.is_space[data]
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        if not space[0]:
-            edge = np.concatenate([[0], edge])
-        begin, end = edge[0::2], edge[1::2]
-        begin = begin[:len(end)]
-        if not len(begin):
-            return [np.zeros(0, dtype=np.uint32)] * len(parts)
-        total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self.byte_value[data] * self.power[:len(data)], out=total[1:])
-        key = (total[end] - total[begin]) * self.inverse[begin]
-        distinct, which = np.unique(key, return_inverse=True)
-        names = distinct.tolist()
         if len(self.cores) > self.limit:
             self._empty()
-        elif len(self.known) + len(names) > self.limit:
+        elif len(self.known) > self.limit:
             self._forget_chunks()
-        place = np.array([self.known.get(k, -1) for k in names], dtype=np.int64)
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            sample = np.zeros(len(distinct), dtype=np.int64)
-            sample[which] = np.arange(len(which))
-            raw = data.tobytes()
-            chunks = [raw[begin[i]:end[i]].decode() for i in sample[new]]
-            at = len(self.known)
-            self._learn([names[i] for i in new], chunks)
-            place[new] = np.arange(at, at + len(new))
-        word = place[which]
+        chunks = [part.split() for part in parts]  # at ASCII white space
+        sizes = [len(c) for c in chunks]
+        word = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(chunks)),
+                           np.int64, sum(sizes))
+        if not len(word):
+            return [np.zeros(0, dtype=np.uint32)] * len(parts)
+        if self.known.new:
+            self._learn([c.decode() for c in self.known.new])
+            self.known.new.clear()
         core = np.empty(2 * len(word), dtype=np.int64)
         core[0::2], core[1::2] = self.first[word], self.second[word]
         size = self.length[core]
         stop = np.cumsum(size)
         pick = np.repeat(self.start[core] - (stop - size), size) + np.arange(stop[-1])
         ids = self.pool[pick]
-        lengths = np.array([len(p) + 1 for p in parts])
-        last = np.searchsorted(begin, np.cumsum(lengths)[:-1])
+        last = np.cumsum(sizes)[:-1]
         bounds = np.concatenate([[0], stop[1::2]])[last]
         return np.split(ids, bounds)
 

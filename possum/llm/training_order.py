@@ -94,7 +94,10 @@ def _staged(docs: DataFrame, path: str, vocabulary: str) -> DataFrame:
         task = TaskContext.get()
         if place["task"] != task.taskAttemptId():
             place.update(task=task.taskAttemptId(), at=0)
-        coded = word_ids(vocabulary).encode_batch([d["text"] for d in batch])
+        coder = word_ids(vocabulary)
+        if len(coder.ends) > 1 << 16:
+            raise ValueError("records hold 16-bit ids; the vocabulary has more")
+        coded = coder.encode_batch([d["text"] for d in batch])
         for d, ids in zip(batch, coded):
             ids = np.append(ids, END_ID).astype("<u2")
             yield d["doc_id"], task.partitionId(), place["at"], len(ids), ids.tobytes()
