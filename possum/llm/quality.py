@@ -60,12 +60,15 @@ class Features:
         space = np.concatenate([[True], self.space[data], [True]])
         edge = np.flatnonzero(space[1:] != space[:-1])
         begin, end = edge[0::2], edge[1::2]
-        total = np.concatenate([[0], np.cumsum(self.byte_value[data], dtype=np.uint64)])
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(self.byte_value[data], out=total[1:])
         size = end - begin
         same = np.zeros(len(begin), dtype=np.uint32)
         if len(begin) > 1:
-            value = total[end] - total[begin]  # equal words have equal sums
-            same[1:] = (value[1:] == value[:-1]) & (size[1:] == size[:-1])
+            value = total[end] - total[begin]  # equal words have equal sums, but so have anagrams
+            alike = np.flatnonzero((value[1:] == value[:-1]) & (size[1:] == size[:-1])) + 1
+            raw = data.tobytes()
+            same[alike] = [raw[begin[i]:end[i]] == raw[begin[i - 1]:end[i - 1]] for i in alike.tolist()]
         second = self.upper[data[np.minimum(begin + 1, end - 1)]]
         return (same | self.upper[data[begin]] << 1 | second << 2
                 | self.last[data[end - 1]] << 3)
