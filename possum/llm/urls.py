@@ -37,8 +37,6 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-LONGEST_WORD = 20
-LEAST_COUNT = 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,13 +57,13 @@ def by_rules(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return F.coalesce(*fits)
 
 
-def word_counts(pages: DataFrame, html_col: str = "html", least: int = LEAST_COUNT) -> DataFrame:
+def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """(word, n): lower-case letter words of the visible text of all pages."""
     visible = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")),
                                r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
     words = F.explode(F.split(F.lower(visible), "[^a-z]+")).alias("word")
-    return (pages.select(words).where(F.length("word").between(1, LONGEST_WORD))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least))
+    return (pages.select(words).where(F.length("word") > 0)
+            .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
 def viterbi(name: str, pieces: list[tuple[int, int, float]], unknown: float) -> list[str]:
@@ -97,14 +95,19 @@ def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
     total = counts.agg(F.sum("n")).first()[0] or 1
     unknown = -math.log(total) - math.log(10.0)
     size = F.length("name")
+    # Only substrings as long as some word; n characters of words have fewer
+    # than sqrt(2 n) different lengths.
+    lengths = [r["size"] for r in counts.select(F.length("word").alias("size")).distinct()
+               .orderBy("size").collect()]
+    fits = F.filter(F.array(*[F.lit(k) for k in lengths]).cast("array<int>"),
+                    lambda k: k <= size - F.col("start"))
     pieces = (names.select("name", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-              .select("name", "start", F.explode(F.sequence(
-                  F.lit(1), F.least(F.lit(LONGEST_WORD), size - F.col("start")))).alias("length"))
+              .select("name", "start", F.explode(fits).alias("length"))
               .withColumn("word", F.expr("substring(name, start + 1, length)")))
     pieces = materialise(pieces.join(counts.hint("merge"), "word").select(
         "name", F.struct("start", "length", F.log(F.col("n") / F.lit(float(total))).alias("logp"))
         .alias("piece")))
-    # At most LONGEST_WORD pieces per character of a name.
+    # At most one piece per character of a name and word length.
     grouped = names.join(pieces.groupBy("name").agg(F.collect_list("piece").alias("pieces")),
                          "name", "left")
 
@@ -125,14 +128,14 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     base = materialise(base.withColumn("fit", by_rules(F.col("host"), F.col("path"), rules)))
 
     def names_of(col: str, side: str) -> Column:
-        found = F.filter(F.split(F.lower(col), "[^a-z0-9]+"), lambda x: x != "")
+        # Numbers stand apart from letters, and for their length.
+        apart = F.regexp_replace(F.lower(col), "[0-9]+", " # ")
+        found = F.filter(F.split(apart, "[^a-z#]+"), lambda x: x != "")
         return F.transform(found, lambda x: F.struct(F.lit(side).alias("side"), x.alias("name")))
 
     names = base.select("row", "host", F.col("fit.verdict").alias("known"), F.explode(
         F.concat(names_of("host", "h:"), names_of("path", "p:"))).alias("t")).select(
         "row", "known", "t.side", "t.name")
-    # Numbers stand for their length; letters are cut into words.
-    names = names.withColumn("name", F.regexp_replace("name", "[0-9]+", "#"))
     letters = materialise(names.select("name").where(F.col("name").rlike("^[a-z]+$")).distinct())
     cut = segmented(letters, word_counts(pages, html_col))
     words = materialise(
