@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import materialise
-from .common import shared_path, text_of
+from .common import remove, shared_path, text_of
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -38,7 +38,7 @@ class DigestIndex:
     COLUMNS = "digest string, keep_id bigint, keep_rid bigint, group_size bigint, batch string"
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None, buckets: int = 64):
-        self.spark, self.name, self.buckets = spark, name, buckets
+        self.spark, self.name, self.path, self.buckets = spark, name, path, buckets
         if not spark.catalog.tableExists(name):
             self._save(spark.createDataFrame([], self.COLUMNS), path, "errorifexists")
 
@@ -50,6 +50,11 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if self.path:
+            remove(self.spark, self.path)
+
     def add(self, batch: DataFrame, batch_id: str, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
         """Append the new digests of ``batch``; return one row per batch row:
@@ -109,9 +114,12 @@ def new_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, batch_id: str | None = None,
                 buckets: int = 64) -> DataFrame:
     """``DigestIndex.add`` against ``index``, which needs a batch id, or against a
-    new empty one."""
+    new empty one, which goes again: the result reads written rows, not the index."""
     if index is None:
-        return new_index(docs.sparkSession, buckets).add(docs, batch_id or "batch-0")
+        index = new_index(docs.sparkSession, buckets)
+        result = index.add(docs, batch_id or "batch-0")
+        index.drop()
+        return result
     if batch_id is None:
         raise ValueError("a batch added to an index needs a batch_id")
     return index.add(docs, batch_id)
