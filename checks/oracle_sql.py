@@ -309,5 +309,16 @@ for _alt, _base in (("pdv_normalised_window", "pdv_normalised"),
                     ("pdv_normalised_sorted", "pdv_normalised"),
                     ("revenue_matrix_two_step", "revenue_matrix"),
                     ("exit_ranks_window", "exit_ranks"),
-                    ("exit_ranks_sorted", "exit_ranks")):
+                    ("exit_ranks_sorted", "exit_ranks"),
+                    ("pdv_normalised_cut", "pdv_normalised"),
+                    ("exit_ranks_cut", "exit_ranks"),
+                    ("latest_pdv_state", "latest_pdv"),
+                    ("pdv_status_state", "pdv_status"),
+                    ("exit_history_store", "exit_history"),
+                    ("client_accounts_store", "client_accounts"),
+                    ("revenue_matrix_months", "revenue_matrix"),
+                    ("revenue_matrix_table", "revenue_matrix"),
+                    ("pdv_clients_shares", "pdv_clients"),
+                    ("pdv_emps_reduced", "pdv_emps"),
+                    ("pdv_emps_colocated", "pdv_emps")):
     ORACLE[_alt] = ORACLE[_base]

@@ -94,7 +94,7 @@ def exit_history(cli: DataFrame, exits: DataFrame, small: bool = False) -> DataF
 def exit_ranks(history: DataFrame, method: str = "auto",
                max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
                sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT,
-               watch: Watch | None = None) -> DataFrame:
+               watch: Watch | None = None, clustered: bool = False) -> DataFrame:
     """Ordinal of each event within (account, entry-or-exit side), oldest first.
 
     NULL dates sort last.  The history is distinct over all its columns, so
@@ -102,32 +102,36 @@ def exit_ranks(history: DataFrame, method: str = "auto",
     ``sizes_from`` (see ``exit_event_sizes``) lets the hot-group check count
     raw rows instead of recomputing the distinct history; ``hot`` (see
     ``hot_exit_groups``) skips the check.  ``watch`` counts accounts with
-    several dates for one event in the same pass.
+    several dates for one event in the same pass.  ``clustered`` says that the
+    history is partitioned by account already.
     """
-    order = [F.col(c).asc_nulls_last() for c in (
-        "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "canal",
-        "numero_cnpj_completo", "numero_unico_cliente")]
+    by = ["data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario", "canal",
+          "numero_cnpj_completo", "numero_unico_cliente"]
+    order = [F.col(c).asc_nulls_last() for c in by]
     # Outside hot groups an account holds at most 2 * max_group_rows rows, so
     # the window rows are partitioned by account alone: the entry/exit
     # pairing (keyed by account and ordinal) then reuses that exchange.
     def ranked(rows: DataFrame, method: str = method, hot: DataFrame | None | str = hot,
-               clustered: bool = False) -> DataFrame:
+               clustered: bool = clustered) -> DataFrame:
         side = rows.withColumn("_side", entry_or_exit())
         cluster = ["agencia_conta"] if method == "auto" and not clustered else None
         return ordinal(side, ["agencia_conta", "_side"], order, "rank_cli", method=method,
                        max_group_rows=max_group_rows, sizes_from=sizes_from, hot=hot,
-                       cluster_by=cluster).drop("_side")
+                       cluster_by=cluster, by=by).drop("_side")
 
     if watch is None or method != "auto":
-        return ranked(history)
+        return ranked(history, clustered=clustered)
     if isinstance(hot, str):
         hot = hot_keys((history if sizes_from is None else sizes_from).withColumn("_side", entry_or_exit()),
                        ["agencia_conta", "_side"], max_group_rows)
     if hot is None:
-        return ranked(watch.account_events(history.repartition("agencia_conta")), hot=None, clustered=True)
+        rows = history if clustered else history.repartition("agencia_conta")
+        return ranked(watch.account_events(rows), hot=None, clustered=True)
     cold_rows, hot_rows = split_by_hot_keys(history, ["agencia_conta"], hot.select("_g0").distinct())
     watch.hot_account_events(hot_rows)
-    return (ranked(watch.account_events(cold_rows.repartition("agencia_conta")), hot=None, clustered=True)
+    if not clustered:
+        cold_rows = cold_rows.repartition("agencia_conta")
+    return (ranked(watch.account_events(cold_rows), hot=None, clustered=True)
             .unionByName(ranked(hot_rows)))
 
 

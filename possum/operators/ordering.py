@@ -13,11 +13,16 @@ lands whole in one task.
   (materialised once with ``checkpoint()``), and a per-(group,
   partition) count table turns positions into ordinals.  Two large
   exchanges and one write instead of one exchange.
-* ``method="auto"`` (default): split by group size.  Groups above
+* ``method="cut"``: the data's own order values cut the groups.  One
+  map-side-combined count per (key, leading order value) gives, by prefix
+  sums, how many rows of the group come before each piece; rows meet that
+  number by a join on the piece and are numbered inside it, in the join's
+  own partitioning.  If a piece is still too large, the next order column
+  cuts as well.  One exchange of the rows; no range sampling, no stored rows.
+* ``method="auto"`` (default): decided by group size.  Groups above
   ``max_group_rows`` are found first with a map-side-combined count; there
-  are at most ``rows / max_group_rows`` of them, a proven bound, so that key
-  set is broadcast.  Their rows take the sorted path, all other rows the
-  window; with no hot group the plan is just the window.
+  are at most ``rows / max_group_rows`` of them.  With such a group the
+  data-cut ordinal numbers all rows; without one the plan is just the window.
 """
 
 from __future__ import annotations
@@ -97,7 +102,7 @@ DETECT = "detect"
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str,
             method: str = "auto", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
             sizes_from: DataFrame | None = None, hot: DataFrame | None | str = DETECT,
-            cluster_by: Sequence[str] | None = None) -> DataFrame:
+            cluster_by: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Add ``name`` = ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as int.
 
     ``order`` must be a total order within each group, as for any
@@ -107,7 +112,9 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: s
     none); without a hot group the plan is the plain window.  ``cluster_by``
     (a prefix of ``keys``) hash-partitions the window's rows by fewer
     columns, so a later step keyed by the same columns reuses the exchange;
-    only for "auto", where the window sees no hot group.
+    only for "auto", where the window sees no hot group.  ``by`` names the
+    columns that ``order`` sorts, for the data-cut ordinal; without it hot
+    groups are split off and range-sorted.
     """
     keys = list(keys)
     order = list(order)
@@ -115,12 +122,16 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: s
         return _ordinal_window(df, keys, order, name)
     if method == "sorted":
         return _ordinal_sorted(df, keys, order, name)
+    if method == "cut":
+        return ordinal_cut(df, keys, by, order, name, max_group_rows)
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
     if isinstance(hot, str):
         hot = hot_keys(df, keys, max_group_rows, sizes_from)
     if hot is None:
         return _ordinal_window(df, keys, order, name, cluster_by)
+    if by:
+        return ordinal_cut(df, keys, by, order, name, max_group_rows)
     cold_rows, hot_rows = split_by_hot_keys(df, keys, hot)
     return (_ordinal_window(cold_rows, keys, order, name, cluster_by)
             .unionByName(_ordinal_sorted(hot_rows, keys, order, name)))
@@ -164,3 +175,45 @@ def _ordinal_sorted(df: DataFrame, keys: list[str], order: list[Column], name: s
                         & (F.col("_part") == F.col("_gpart")), "inner")
     return joined.select(*cols, (F.col("_before") + F.col("_oid") - F.col("_first") + 1)
                          .cast("int").alias(name))
+
+
+def ordinal_cut(df: DataFrame, keys: Sequence[str], by: Sequence[str], order: Sequence[Column],
+                name: str, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                maxima: dict[str, str] | None = None) -> DataFrame:
+    """``ordinal`` with groups cut by their own order values; see the module.
+
+    ``maxima`` (new column: column) adds maxima over the whole group: they
+    are taken per piece in the same count and travel with the offsets.  Keys
+    and order values may be NULL: pieces are compared as structs.
+    """
+    from .joins import materialise
+
+    keys, by, order = list(keys), list(by), list(order)
+    maxima = maxima or {}
+    if not by or len(by) != len(order):
+        raise ValueError("name the column of each order expression")
+    for lead in range(1, len(by) + 1):
+        cut = by[:lead]
+        pieces = materialise(df.groupBy(*keys, *cut).agg(
+            F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(new) for new, c in maxima.items()]))
+        if lead == len(by) or (pieces.agg(F.max("_n")).first()[0] or 0) <= max_group_rows:
+            break
+    # Rows before the piece: per order column, those alike in the columns
+    # before it and smaller in this one.  One row per piece is sorted here.
+    table, before = pieces, F.lit(0)
+    for k, column in enumerate(cut):
+        same = [*keys, *cut[:k]]
+        earlier = Window.partitionBy(*same).orderBy(order[k]).rowsBetween(Window.unboundedPreceding, -1)
+        level = (pieces.groupBy(*same, column).agg(F.sum("_n").alias("_s"))
+                 .select(F.struct(*same, column).alias("_level"),
+                         F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias(f"_b{k}")))
+        table = (table.withColumn("_level", F.struct(*same, column))
+                 .join(level, "_level").drop("_level"))
+        before = before + F.col(f"_b{k}")
+    whole = Window.partitionBy(*keys)
+    offsets = table.select(F.struct(*keys, *cut).alias("_piece"), before.alias("_before"),
+                           *[F.max(new).over(whole).alias(new) for new in maxima])
+    joined = df.withColumn("_piece", F.struct(*keys, *cut)).join(offsets, "_piece")
+    inside = Window.partitionBy("_piece").orderBy(*order)
+    return joined.select(*df.columns, *maxima, (F.col("_before") + F.row_number().over(inside))
+                         .cast("int").alias(name))

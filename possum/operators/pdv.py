@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_text_to_int, snapshot_int, tax_id14, tax_id_base
 from ..sources.scans import scan_upto
-from .joins import DEFAULT_BROADCAST_ROWS, at_most, maybe_broadcast
-from .ordering import (DEFAULT_MAX_GROUP_ROWS, hot_keys, latest_per_key, ordinal,
-                       split_by_hot_keys)
+from .joins import DEFAULT_BROADCAST_ROWS, at_most, materialise
+from .ordering import DEFAULT_MAX_GROUP_ROWS, hot_keys, latest_per_key, ordinal, ordinal_cut
 
 HISTORY_COLUMNS = [
     "num_pdv", "cnpj14", "cnpjbas", "cod_cnae", "num_cad_grl_ctri_estb", "cod_mot_can",
@@ -97,20 +96,13 @@ def pdv_normalised(hist: DataFrame, tie_break: Sequence[str], method: str = "aut
             F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
         joined = _take_maxima(h.join(status, F.col("num_pdv") == F.col("_g")))
         return ordinal(joined, ["num_pdv"], order, "index_num", "sorted").select(*NORMALISED_COLUMNS)
-    if method != "auto":
+    if method not in ("auto", "cut"):
         raise ValueError(f"unknown method {method!r}")
-    hot = hot_keys(h, ["num_pdv"], max_group_rows)
-    if hot is None:
+    if method == "auto" and hot_keys(h, ["num_pdv"], max_group_rows) is None:
         return _normalised_window(h, order)
-    cold, hot_rows = split_by_hot_keys(h, ["num_pdv"], hot)
-    # One row per hot point of sale: as many as hot keys, so broadcast on
-    # the same measured condition.
-    maxima = hot_rows.groupBy(F.col("num_pdv").alias("_g")).agg(
-        F.max("dat_can_pdv").alias("_can"), F.max("dat_rtvc_pdv").alias("_rtvc"))
-    maxima = maybe_broadcast(maxima, at_most(hot, DEFAULT_BROADCAST_ROWS))
-    spread = ordinal(_take_maxima(hot_rows.join(maxima, F.col("num_pdv") == F.col("_g"))),
-                     ["num_pdv"], order, "index_num", "sorted")
-    return _normalised_window(cold, order).unionByName(spread.select(*NORMALISED_COLUMNS))
+    cut = ordinal_cut(h, ["num_pdv"], ["dat_updt", *tie_break], order, "index_num", max_group_rows,
+                      maxima={"_can": "dat_can_pdv", "_rtvc": "dat_rtvc_pdv"})
+    return _take_maxima(cut).select(*NORMALISED_COLUMNS)
 
 
 def _take_maxima(joined: DataFrame) -> DataFrame:
@@ -149,3 +141,25 @@ def latest_pdv(hist: DataFrame, tie_break: Sequence[str] = (), method: str = "ag
         extra_aggs=[F.max("dat_can_pdv").alias("dat_can_pdv"),
                     F.max("dat_rtvc_pdv").alias("dat_rtvc_pdv")],
     ).select(*LATEST_COLUMNS)
+
+
+def reduced_history(hist: DataFrame, tax_ids: DataFrame,
+                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The full history of the points of sale that ever carried one of ``tax_ids``.
+
+    A point of sale's latest row can only join an active account if one of
+    its rows carries the account's tax id, but its latest row and its maxima
+    need all its rows.  So a first pass over two columns finds the points of
+    sale, and the rows of all others are dropped before the history is
+    shuffled.  ``tax_ids`` (one column ``cnpj14``) must be a stored result;
+    both key sets are counted, and beyond ``max_rows`` the history stays
+    whole: a shuffle of the keys would cost what the reduction saves.
+    """
+    if not at_most(tax_ids, max_rows):
+        return hist
+    ever = materialise(hist.select("num_pdv", "cnpj14")
+                       .join(F.broadcast(tax_ids.select("cnpj14").distinct()), "cnpj14", "left_semi")
+                       .select("num_pdv").distinct())
+    if not at_most(ever, max_rows):
+        return hist
+    return hist.join(F.broadcast(ever), "num_pdv", "left_semi").select(*hist.columns)

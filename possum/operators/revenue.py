@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .. import schemas
 from ..functions.columns import year_month_text
+from ..sources.scans import extract
+from ..sources.sinks import finish_loads, load
+
+MONEY = "decimal(28,2)"  # sums of decimal(18,2)
 
 
 def _zero():
@@ -45,13 +52,17 @@ def revenue_matrix(tx: DataFrame, as_of: dt.date, months: int = K.REVENUE_MONTHS
     """
     # The month as an int, once per row.  The text of an int has no leading
     # zero or blank, so comparing ints is comparing the yyyyMM texts.
-    rows = tx.select("numero_ponto_venda",
-                     year_month_text("anomesdia").cast("int").alias("_ym"),
-                     F.col("valor_transacao").alias("_v"))
+    return _matrix(tx.select("numero_ponto_venda",
+                             year_month_text("anomesdia").cast("int").alias("_ym"),
+                             F.col("valor_transacao").alias("_v")), as_of, months)
+
+
+def _matrix(rows: DataFrame, as_of: dt.date, months: int) -> DataFrame:
+    """The matrix from (point of sale, ``_ym``, ``_v``) rows, single or summed."""
     aggs = []
     for i, m in enumerate(month_keys(as_of, months)):
         in_month = F.col("_ym") == F.lit(int(m))
-        aggs.append(F.sum(F.when(in_month, F.col("_v"))).alias(f"_s{i}"))
+        aggs.append(F.sum(F.when(in_month, F.col("_v"))).cast(MONEY).alias(f"_s{i}"))
         # NULL month compares as "not this month", like the CASE's ELSE.
         aggs.append(F.max(F.when(in_month, F.lit(False)).otherwise(F.lit(True))).alias(f"_o{i}"))
     per_pdv = rows.groupBy("numero_ponto_venda").agg(*aggs)
@@ -63,6 +74,57 @@ def revenue_matrix(tx: DataFrame, as_of: dt.date, months: int = K.REVENUE_MONTHS
     return per_pdv.select("numero_ponto_venda", *cols)
 
 
+def revenue_matrix_of(table: str, as_of: dt.date, months: int = K.REVENUE_MONTHS,
+                      spark: SparkSession | None = None) -> DataFrame:
+    """The matrix of a transaction table (``database.table``); its schema is checked."""
+    return revenue_matrix(schemas.require(extract(table, spark=spark), schemas.TX, table), as_of, months)
+
+
+class RevenueMonths:
+    """Month sums per point of sale, stored in ``path`` and replaced month by month.
+
+    A day's matrix then reads one row per point of sale and month instead of
+    every transaction, and of months outside the window only who was there.
+    Months are replaced by the staged commit of ``sources.sinks``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def replace(self, tx: DataFrame, months: Iterable[str | int]) -> None:
+        """Sum the transactions of ``months`` (``yyyyMM``) anew; only these are read
+        (a range of ``anomesdia`` per month, so a partitioned table is pruned).
+        A month without transactions any more is emptied."""
+        wanted = sorted({int(m) for m in months})
+        if not wanted:
+            return
+        day = F.col("anomesdia")
+        inside = reduce(Column.__or__, [day.between(m * 100, m * 100 + 99) for m in wanted])
+        sums = monthly_revenue(tx.where(inside)).select(
+            "numero_ponto_venda", F.col("faturamento").cast(MONEY).alias("faturamento"),
+            F.col("anomes").cast("int").alias("mes"))
+        # A row without a point of sale marks the month as present.
+        marks = (self.spark.createDataFrame([(m, True) for m in wanted], "mes int, marca boolean")
+                 .select(F.lit(None).cast("long").alias("numero_ponto_venda"),
+                         F.lit(None).cast(MONEY).alias("faturamento"), "mes", "marca"))
+        load(sums.withColumn("marca", F.lit(False)).unionByName(marks), path=self.path, partition_by="mes")
+
+    def sums(self) -> DataFrame:
+        """numero_ponto_venda, anomes, faturamento: as ``monthly_revenue``."""
+        return self._rows().select("numero_ponto_venda", F.col("mes").cast("string").alias("anomes"),
+                                   "faturamento")
+
+    def _rows(self) -> DataFrame:
+        finish_loads(self.spark, self.path)
+        schema = f"numero_ponto_venda bigint, faturamento {MONEY}, marca boolean, mes int"
+        return self.spark.read.schema(schema).parquet(self.path).where(~F.col("marca"))
+
+    def matrix(self, as_of: dt.date, months: int = K.REVENUE_MONTHS) -> DataFrame:
+        """As ``revenue_matrix`` over all months stored."""
+        return _matrix(self._rows().select("numero_ponto_venda", F.col("mes").alias("_ym"),
+                                           F.col("faturamento").alias("_v")), as_of, months)
+
+
 def revenue_matrix_two_step(tx: DataFrame, as_of: dt.date,
                             months: int = K.REVENUE_MONTHS) -> DataFrame:
     """The same matrix as the reference states it: decimal month sums, then a

@@ -7,6 +7,7 @@ plans themselves keep their types.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,15 @@ from ..operators import flagship as FL
 from ..operators import pdv as P
 from ..operators import revenue as R
 from ..operators.estab import latest_estab
+from ..operators.exit_store import EventStore
 from ..operators.joins import materialise
 from ..operators.ordering import DEFAULT_MAX_GROUP_ROWS
+from ..operators.state import HistoryState, days_of
 from ..params import RunParams
 from ..sources import fixtures
+from ..sources.colocate import Colocated
 from ..sources.scans import extract, scan_since, scan_snapshot, scan_upto
+from .session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +58,11 @@ def for_compare(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*cols)
 
 
+def _scratch(spark: SparkSession, label: str) -> str:
+    """A new folder name in the session's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{label}_{uuid.uuid4().hex}"
+
+
 class _Job:
     """The relations of one run over one scale-factor folder, built lazily."""
 
@@ -61,7 +71,8 @@ class _Job:
         self.p = p
         self.method = method
         self.inp = fixtures.load_inputs(spark, sf_dir)
-        self._profile = None
+        self.spark = spark
+        self._profile = self._state = None
         self._decisions = {}
 
     # point of sale
@@ -117,6 +128,62 @@ class _Job:
     def accounts(self):
         return C.client_accounts(self.adjusted(), self.p.open_end)
 
+    # stored state: read in parts, out of order, and some days twice
+    def state(self):
+        if self._state is None:
+            days = days_of(self.inp.s_pdv, self.p.execute_date)
+            self._state = HistoryState(self.spark, _scratch(self.spark, "pdv_state"), self.p.pdv_tie_break)
+            late = days[::7]
+            self._state.advance(self.inp.s_pdv, sorted(set(days) - set(late)))
+            self._state.fold(days[len(days) // 2] // 100)
+            self._state.advance(self.inp.s_pdv, [*late, *days[-3:]])
+        return self._state
+
+    def event_store(self):
+        path = _scratch(self.spark, "exit_events")
+        store = EventStore(self.spark, path.rsplit("/", 1)[1], path, buckets=8)
+        days = sorted(r["anomesdia"] for r in self.inp.cli.select("anomesdia").distinct().collect())
+        for part in (days[1::3], days[::3], [*days[2::3], *days[:2]]):
+            store.advance(self.inp.cli, part)
+        return store
+
+    def from_store(self, build):
+        store = self.event_store()
+        stored = materialise(build(store))
+        store.drop()
+        return stored
+
+    def revenue_months(self):
+        stored = R.RevenueMonths(self.spark, _scratch(self.spark, "revenue_months"))
+        month = F.floor(F.col("anomesdia") / 100).cast("int").alias("m")
+        months = sorted(r["m"] for r in self.inp.tx.select(month).distinct().collect())
+        for part in (months[::2], months[1::2], months[-2:]):
+            stored.replace(self.inp.tx, part)
+        return stored
+
+    def revenue_of_table(self):
+        name = f"possum_tx_{uuid.uuid4().hex}"
+        self.inp.tx.createOrReplaceTempView(name)
+        return R.revenue_matrix_of(name, self.p.as_of, self.p.months, self.spark)
+
+    def pdv_emps_reduced(self):
+        """The history reduced to points of sale that ever carried an active tax id."""
+        accounts = materialise(self.accounts())
+        ids = materialise(FL.active_accounts(accounts).select("cnpj14").distinct())
+        latest = P.latest_pdv(P.reduced_history(self.history(), ids), self.p.pdv_tie_break)
+        return FL.pdv_emps(latest, accounts, self.estab(), self.p.cancel_floor)
+
+    def pdv_emps_colocated(self):
+        """Latest rows, accounts and establishments stored alike; both joins in place."""
+        path = _scratch(self.spark, "flagship")
+        kept = Colocated(self.spark, path.rsplit("/", 1)[1], "cnpj14", path, buckets=8)
+        out = materialise(FL.pdv_emps_stored(
+            kept.store("latest", self.latest_pdv()),
+            kept.store("active", FL.active_accounts(self.accounts())),
+            kept.store("estab", self.estab()), self.p.cancel_floor))
+        kept.drop()
+        return out
+
     def pdv_clients(self):
         return FL.pdv_clients(self.latest_pdv(), self.accounts(), self.estab())
 
@@ -153,8 +220,11 @@ QUERIES: dict[str, Query] = {
     "pdv_normalised_join": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "join")),
     "pdv_normalised_split": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "auto",
                                                           max_group_rows=9)),
+    "pdv_normalised_cut": _q(lambda j: P.pdv_normalised(j.history(), j.p.pdv_tie_break, "cut")),
     "latest_pdv": _q(lambda j: j.latest_pdv()),
     "latest_pdv_window": _q(lambda j: P.latest_pdv(j.history(), j.p.pdv_tie_break, "window")),
+    "pdv_status_state": _q(lambda j: j.state().status(j.inp.s_pdv, j.p.execute_date)),
+    "latest_pdv_state": _q(lambda j: j.state().latest(j.inp.s_pdv, j.p.execute_date)),
     # establishment
     "latest_estab": _q(lambda j: j.estab()),
     "latest_estab_window": _q(lambda j: latest_estab(j.inp.s_estb, j.p.estab_tie_break, "window")),
@@ -162,6 +232,8 @@ QUERIES: dict[str, Query] = {
     "monthly_revenue": _q(lambda j: R.monthly_revenue(j.inp.tx)),
     "revenue_matrix": _q(lambda j: R.revenue_matrix(j.inp.tx, j.p.as_of, j.p.months)),
     "revenue_matrix_two_step": _q(lambda j: R.revenue_matrix_two_step(j.inp.tx, j.p.as_of, j.p.months)),
+    "revenue_matrix_months": _q(lambda j: j.revenue_months().matrix(j.p.as_of, j.p.months)),
+    "revenue_matrix_table": _q(lambda j: j.revenue_of_table()),
     # client accounts
     "client_snapshot": _q(lambda j: j.snapshot()),
     "exit_accounts": _q(lambda j: j.exits()),
@@ -169,14 +241,24 @@ QUERIES: dict[str, Query] = {
     "exit_ranks": _q(lambda j: j.ranks()),
     "exit_ranks_window": _q(lambda j: j.ranks(), method="window"),
     "exit_ranks_sorted": _q(lambda j: j.ranks(), method="sorted"),
-    # The skew split on the real tables: a tiny threshold makes many groups
-    # "hot", so their rows take the range-sorted path and the rest the window.
+    "exit_ranks_cut": _q(lambda j: j.ranks(), method="cut"),
+    # The skew path on the real tables: a tiny threshold makes many groups
+    # "hot", so the data-cut ordinal numbers the rows.
     "exit_ranks_split": _q(lambda j: j.ranks(max_group_rows=3)),
     "never_left_accounts": _q(lambda j: j.never_left()),
     "account_lifecycle": _q(lambda j: j.lifecycle()),
     "journey_adjusted": _q(lambda j: j.adjusted()),
     "client_accounts": _q(lambda j: j.accounts()),
+    "exit_history_store": _q(lambda j: j.from_store(lambda s: s.exit_history(j.p.excluded_accounts))),
+    "client_accounts_store": _q(lambda j: j.from_store(lambda s: s.client_accounts(
+        j.inp.cli, j.p.execute_date, j.p.excluded_accounts, j.p.journey_to_outros,
+        j.p.journey_to_onboarding, j.p.open_end))),
     # flagship
     "pdv_clients": _q(lambda j: j.pdv_clients(), as_double=("cod_cep",)),
+    "pdv_emps_reduced": _q(lambda j: j.pdv_emps_reduced(), as_double=("codigo_cep",)),
+    "pdv_emps_colocated": _q(lambda j: j.pdv_emps_colocated(), as_double=("codigo_cep",)),
+    # Hot tax ids cut into shares: a tiny threshold makes most of them hot.
+    "pdv_clients_shares": _q(lambda j: FL.pdv_clients(j.latest_pdv(), j.accounts(), j.estab(),
+                                                      max_group_rows=3), as_double=("cod_cep",)),
     "pdv_emps": _q(lambda j: j.pdv_emps(), as_double=("codigo_cep",)),
 }

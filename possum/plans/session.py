@@ -49,11 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def skew_split(spark: SparkSession):
-    """Split hot join keys while the body's jobs run, whatever the caller's session says."""
-    wanted = {k: RECOMMENDED_CONF[k] for k in (
-        "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin")}
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings for the body's jobs; the caller's come back after it."""
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
@@ -64,6 +61,13 @@ def skew_split(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def skew_split(spark: SparkSession):
+    """Split hot join keys while the body's jobs run, whatever the caller's session says."""
+    return settings(spark, {k: RECOMMENDED_CONF[k] for k in (
+        "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin")})
+
+
 def apply_recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)

@@ -105,3 +105,55 @@ def test_large_hot_sets_join_by_shuffle(spark, skewed, monkeypatch):
     got = ordinal(skewed, ["g", "s"], order, "rn", method="auto", max_group_rows=20)
     # Above the limit the key set is joined without a broadcast hint; same rows.
     assert _rows(got) == _expected(skewed)
+
+
+CUT = {"cut-small": 20, "cut-large": 10**6, "auto-cut": 1}
+
+
+@pytest.mark.parametrize("name", CUT)
+def test_data_cut_matches_window(spark, skewed, name):
+    order = [F.col("d").asc_nulls_last(), F.col("id").desc_nulls_last()]
+    rows = skewed.withColumn("d", F.when(F.col("id") % 5 != 0, F.col("d")))      # NULL order values
+    w = Window.partitionBy("g", "s").orderBy(*order)
+    want = rows.withColumn("rn", F.row_number().over(w))
+    got = ordinal(rows, ["g", "s"], order, "rn", method=name.split("-")[0], max_group_rows=CUT[name],
+                  by=["d", "id"])
+    assert _rows(got) == _rows(want)
+
+
+def test_data_cut_spreads_a_hot_group_and_sorts_no_range(spark, skewed):
+    order = [F.col("d").asc_nulls_last(), F.col("id")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = ordinal(skewed, ["g", "s"], order, "rn", method="cut", by=["d", "id"], max_group_rows=50)
+        parts = (ranked.where((F.col("g") == "hot") & (F.col("s") == "a"))
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert parts > 2 and "rangepartitioning" not in plan
+
+
+def test_data_cut_reads_its_rows_once_besides_the_count(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(900).selectExpr("id % 3 AS g", "id % 30 AS d", "id").mapInArrow(
+        count, "g bigint, d bigint, id bigint")
+    got = ordinal(rows, ["g"], [F.col("d"), F.col("id")], "rn", method="cut", by=["d", "id"])
+    assert got.agg(F.max("rn")).first()[0] == 300
+    assert seen.value <= 2 * 900
+
+
+def test_data_cut_needs_the_names_of_its_order(spark, skewed):
+    with pytest.raises(ValueError):
+        ordinal(skewed, ["g"], [F.col("d"), F.col("id")], "rn", method="cut", by=["d"])
+
+
+def test_data_cut_of_no_rows(spark, skewed):
+    got = ordinal(skewed.limit(0), ["g", "s"], [F.col("d")], "rn", method="cut", by=["d"])
+    assert got.collect() == []
