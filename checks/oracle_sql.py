@@ -1,9 +1,9 @@
 """Independent DuckDB SQL for every registered query.
 
 Written from the job's stated meaning, not from any engine's plan, and
-deliberately by other means than the Spark code where that is natural:
-ordinals and latest rows are counted by brute force ("how many rows of my
-group come before me"), the per-key maxima come from a grouped subquery.
+deliberately by other means than the Spark code where that is natural: the
+per-key maxima come from a grouped subquery, entries meet exits by a self-join.
+Ordinals are ``row_number`` here as in the window form.
 The adapters repeat FIXTURES.md §2 in DuckDB's dialect.  Output casts match
 the Spark side: dates as ISO text, money as double, ordinals as INTEGER.
 """
@@ -320,5 +320,6 @@ for _alt, _base in (("pdv_normalised_window", "pdv_normalised"),
                     ("revenue_matrix_table", "revenue_matrix"),
                     ("pdv_clients_shares", "pdv_clients"),
                     ("pdv_emps_reduced", "pdv_emps"),
-                    ("pdv_emps_colocated", "pdv_emps")):
+                    ("pdv_emps_colocated", "pdv_emps"),
+                    ("pdv_emps_incremental", "pdv_emps")):
     ORACLE[_alt] = ORACLE[_base]

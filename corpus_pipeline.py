@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from possum.llm import exact_dedup, near_join, packing, quality, secrets
-from possum.llm.common import shared_path, table
+from possum.llm.common import remove, shared_path, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -50,18 +50,23 @@ STAGES: list[tuple[str, Stage]] = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-# Classifier, similarity join and packing are beyond SQL; tests/llm checks run()
-# against a brute-force version.
+# Classifier, similarity join and packing are beyond SQL; tests/llm/test_pipeline.py
+# compares run() with plain Python on whole, odd and empty tables.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            path = shared_path(spark, f"pipeline-{name}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    """All stages over ``documents``; each result is written and read again.
+
+    Once a stage's result is written, its predecessor's goes: at most two
+    copies of the corpus are there at a time, and one in the end.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = shared_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)

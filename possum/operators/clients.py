@@ -162,6 +162,11 @@ def account_profile(cli: DataFrame, excluded: Sequence[str]) -> DataFrame:
         F.sum((~is_exit).cast("long")).alias("entry_rows"))
 
 
+def leavers(profile: DataFrame) -> DataFrame:
+    """The part of a profile that later steps use, and so the part to store."""
+    return profile.where(F.col("has_exit"))
+
+
 def exits_of(profile: DataFrame) -> DataFrame:
     """The exit accounts, from a profile (same rows as ``exit_accounts``)."""
     return profile.where(F.col("has_exit")).select("agencia_conta")
@@ -242,10 +247,21 @@ def account_lifecycle(ranks: DataFrame, never_left: DataFrame) -> DataFrame:
 
 def journey_adjusted(lifecycle: DataFrame, to_outros: Sequence[str],
                      to_onboarding: Sequence[str]) -> DataFrame:
-    """Journey = channel, except for accounts listed for a fixed journey."""
+    """Journey = channel, except for accounts listed for a fixed journey.
+
+    Long lists become a join against a DataFrame built from them.
+    """
+    journey = journey_override("agencia_conta", "canal", to_outros, to_onboarding)
+    if len(to_outros) + len(to_onboarding) > _INLINE_LIST_MAX:
+        fixed = {a: K.CHANNEL_ONBOARDING for a in to_onboarding}
+        fixed |= {a: K.CHANNEL_OUTROS for a in to_outros}  # the first list wins
+        listed = lifecycle.sparkSession.createDataFrame(
+            [(a, j) for a, j in fixed.items() if a is not None], "agencia_conta string, _fixed string")
+        lifecycle = lifecycle.join(maybe_broadcast(listed, len(fixed) <= DEFAULT_BROADCAST_ROWS),
+                                   "agencia_conta", "left")
+        journey = F.coalesce("_fixed", "canal")
     return lifecycle.select(
-        "numero_cnpj_completo", "numero_unico_cliente", "agencia_conta",
-        journey_override("agencia_conta", "canal", to_outros, to_onboarding).alias("jornada"),
+        "numero_cnpj_completo", "numero_unico_cliente", "agencia_conta", journey.alias("jornada"),
         "data_aceite_ressegmentacao", "data_inicio_relacionamento_bancario",
         "data_encerramento_conta",
     )
@@ -283,7 +299,7 @@ def client_accounts_from(cli: DataFrame, execute_date: int, excluded: Sequence[s
     """
     if client_floor is not None:
         cli = scan_since(cli, client_floor)
-    profile = materialise(account_profile(cli, excluded))
+    profile = materialise(leavers(account_profile(cli, excluded)))
     exits, small, hot = profile_decisions(profile, max_group_rows, method)
     ranks = exit_ranks(exit_history(cli, exits, small), method=method,
                        max_group_rows=max_group_rows, hot=hot, watch=watch)

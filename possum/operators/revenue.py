@@ -107,7 +107,8 @@ class RevenueMonths:
         marks = (self.spark.createDataFrame([(m, True) for m in wanted], "mes int, marca boolean")
                  .select(F.lit(None).cast("long").alias("numero_ponto_venda"),
                          F.lit(None).cast(MONEY).alias("faturamento"), "mes", "marca"))
-        load(sums.withColumn("marca", F.lit(False)).unionByName(marks), path=self.path, partition_by="mes")
+        load(sums.withColumn("marca", F.lit(False)).unionByName(marks).hint("rebalance", "mes"),
+             path=self.path, partition_by="mes")
 
     def sums(self) -> DataFrame:
         """numero_ponto_venda, anomes, faturamento: as ``monthly_revenue``."""

@@ -93,7 +93,8 @@ class HistoryState:
             ("days", "array<int>"), ("stamp", "string"), ("covers", "map<int,string>"))]
         noted = self.spark.createDataFrame(
             notes, "period int, days array<int>, stamp string, covers map<int,string>")
-        load(rows.select("*", *empty).unionByName(noted, allowMissingColumns=True),
+        # Rebalanced: few files a month, and large months in several tasks.
+        load(rows.select("*", *empty).unionByName(noted, allowMissingColumns=True).hint("rebalance", "period"),
              path=self.path, partition_by="period")
 
     # --- the state's life ---

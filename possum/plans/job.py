@@ -16,8 +16,10 @@ from .. import schemas
 from ..functions.columns import snapshot_int
 from ..operators.clients import client_accounts_from
 from ..operators.estab import latest_estab
+from ..operators.exit_store import EventStore
 from ..operators.flagship import pdv_emps
 from ..operators.pdv import latest_pdv, pdv_history
+from ..operators.state import HistoryState, days_of
 from ..operators.watch import DailyReport, Watch
 from ..params import RunParams
 from ..sources.scans import extract, scan_upto
@@ -59,7 +61,8 @@ def transform(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunPa
         cli, params.execute_date, params.excluded_accounts, params.journey_to_outros,
         params.journey_to_onboarding, params.open_end, method=method, client_floor=client_floor,
         max_group_rows=params.max_group_rows, watch=watch)
-    return Results(pdv_emps(latest, accounts, estab, params.cancel_floor), accounts, estab)
+    return Results(pdv_emps(latest, accounts, estab, params.cancel_floor, params.max_group_rows),
+                   accounts, estab)
 
 
 def run(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
@@ -71,7 +74,10 @@ def run(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
     """
     log.info("building plans for %s", params.execute_date)
     watch = Watch()
-    result = transform(s_pdv, s_estb, cli, params, watch=watch).pdv_emps
+    return _load(transform(s_pdv, s_estb, cli, params, watch=watch).pdv_emps, params, watch, table, path)
+
+
+def _load(result: DataFrame, params: RunParams, watch: Watch, table: str | None, path: str | None) -> Run:
     spark = result.sparkSession
     with skew_split(spark):
         load(result, table=table, path=path, day=params.execute_date)
@@ -81,6 +87,38 @@ def run(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
     return Run(loaded.where(F.col("anomesdia") == params.execute_date), report)
 
 
+def snapshot_days(cli: DataFrame) -> list[int]:
+    """The snapshots present (one number per day)."""
+    return sorted(r["anomesdia"] for r in cli.select("anomesdia").distinct().collect())
+
+
+def run_incremental(s_pdv: DataFrame, s_estb: DataFrame, cli: DataFrame, params: RunParams,
+                    state: HistoryState, events: EventStore, table: str | None = None,
+                    path: str | None = None) -> Run:
+    """``run`` from the stored history state and event store.
+
+    Both are brought up to date first, reading only the days that they have
+    not read; the day's client snapshot is read for the accounts that never
+    left.  The report counts malformed dates of the new days only.
+    ``params.use_client_floor`` limits the snapshots that are added.
+    """
+    watch = Watch()
+    read = set(state.days())
+    new = [d for d in days_of(s_pdv, params.execute_date) if d not in read]
+    if new:
+        state.advance(watch.point_of_sale_rows(s_pdv.where(snapshot_int().isin(new))), new)
+    known = set(events.days())
+    floor = params.client_floor if params.use_client_floor else 0
+    events.advance(cli, [d for d in snapshot_days(cli) if d >= floor and d not in known])
+    accounts = events.client_accounts(
+        cli, params.execute_date, params.excluded_accounts, params.journey_to_outros,
+        params.journey_to_onboarding, params.open_end, max_group_rows=params.max_group_rows, watch=watch)
+    result = pdv_emps(state.latest(s_pdv, params.execute_date), accounts,
+                      latest_estab(s_estb, params.estab_tie_break), params.cancel_floor,
+                      params.max_group_rows)
+    return _load(result, params, watch, table, path)
+
+
 def run_from_catalog(spark: SparkSession, params: RunParams, pdv_table: str, estab_table: str,
                      client_table: str, output_table: str,
                      output_path: str | None = None) -> Run:

@@ -27,6 +27,7 @@ from ..params import RunParams
 from ..sources import fixtures
 from ..sources.colocate import Colocated
 from ..sources.scans import extract, scan_since, scan_snapshot, scan_upto
+from . import job
 from .session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,7 +93,8 @@ class _Job:
 
     def profile(self):
         if self._profile is None:
-            self._profile = materialise(C.account_profile(self.inp.cli, self.p.excluded_accounts))
+            self._profile = materialise(C.leavers(
+                C.account_profile(self.inp.cli, self.p.excluded_accounts)))
         return self._profile
 
     def decisions(self, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS):
@@ -153,6 +155,21 @@ class _Job:
         store.drop()
         return stored
 
+    def pdv_emps_incremental(self):
+        """The daily run over the stored state and events, brought up to the day in two steps."""
+        path = _scratch(self.spark, "daily")
+        state = HistoryState(self.spark, f"{path}/state", self.p.pdv_tie_break)
+        events = EventStore(self.spark, path.rsplit("/", 1)[1], f"{path}/events", buckets=8)
+        cli = self.inp.cli
+        days = days_of(self.inp.s_pdv, self.p.execute_date)
+        state.advance(self.inp.s_pdv, days[:-20])
+        events.advance(cli, job.snapshot_days(cli)[::3])
+        run = job.run_incremental(self.inp.s_pdv, self.inp.s_estb, cli, self.p, state, events,
+                                  path=f"{path}/out")
+        out = materialise(run.day)
+        events.drop()
+        return out
+
     def revenue_months(self):
         stored = R.RevenueMonths(self.spark, _scratch(self.spark, "revenue_months"))
         month = F.floor(F.col("anomesdia") / 100).cast("int").alias("m")
@@ -257,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "pdv_clients": _q(lambda j: j.pdv_clients(), as_double=("cod_cep",)),
     "pdv_emps_reduced": _q(lambda j: j.pdv_emps_reduced(), as_double=("codigo_cep",)),
     "pdv_emps_colocated": _q(lambda j: j.pdv_emps_colocated(), as_double=("codigo_cep",)),
+    "pdv_emps_incremental": _q(lambda j: j.pdv_emps_incremental(), as_double=("codigo_cep",)),
     # Hot tax ids cut into shares: a tiny threshold makes most of them hot.
     "pdv_clients_shares": _q(lambda j: FL.pdv_clients(j.latest_pdv(), j.accounts(), j.estab(),
                                                       max_group_rows=3), as_double=("cod_cep",)),
