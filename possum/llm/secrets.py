@@ -30,12 +30,14 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.joins import materialise
 from .common import map_rows, ship, slices, text_of
@@ -48,12 +50,14 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 KINDS = ("assign", "access", "hex", "random")
 
-RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+LEAST_RUN = 16                      # of key characters
 PIECE = re.compile(r"[A-Za-z0-9+]{16,}")
 CLASSES = (16, 24, 32, 48, 64)      # least length of each length class
 BINS = 200                          # bins of the log probability
 RATE = 0.01                         # false discoveries among added spans
-NOT_RANDOM = 0.001                  # battery probabilities below this are not random
+PART = 1 << 17                      # symbols of ordinary text scored at once
+LEAST_BIN = BINS - 1 - 30           # battery probabilities below 0.001 are not random
+MOST_HALF = 11.5                    # -log of a product of p-values that Fisher puts below 0.001
 
 _UPPER, _LOWER, _DIGIT = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 # Smaller ones first.
@@ -67,9 +71,9 @@ _NUMBER = {name: k for k, name in enumerate(ALPHABETS)}
 _VALUES = {name: {c: i for i, c in enumerate(chars)} for name, chars in ALPHABETS.items()}
 
 
-_OTHER = 255
-_TABLES = {name: np.array([found.get(chr(c), _OTHER) for c in range(256)], dtype=np.uint8)
-           for name, found in _VALUES.items()}
+# Bytes to the values of an encoding, and the bytes outside it.
+_TABLES = {name: bytes(found.get(chr(c), 0) for c in range(256)) for name, found in _VALUES.items()}
+_OUTSIDE = {name: bytes(c for c in range(256) if chr(c) not in found) for name, found in _VALUES.items()}
 
 
 def encoding_of(run: str) -> str:
@@ -131,39 +135,140 @@ def _upper_normals(z: np.ndarray) -> np.ndarray:
     return np.where(z >= 0, half, 1 - half)
 
 
-def batteries(v: np.ndarray, size: int) -> np.ndarray:
-    """``battery`` of many strings of one length: ``v`` has a symbol's value per row
-    and a string per column."""
-    n, m = v.shape
-    groups = max(2, min(size, n // 5))
-    share = Counter(x * groups // size for x in range(size))
-    group = (np.arange(256) * groups // size).astype(np.uint8)[v]
-    chi2 = np.zeros(m)
-    for g, k in share.items():
-        chi2 += ((group == g).sum(0, dtype=np.uint8) - n * k / size) ** 2 / (n * k / size)
+def _groups(size: int, n: int) -> int:
+    """Groups of symbols that chi-squared compares in strings of ``n``."""
+    return max(2, min(size, n // 5))
+
+
+# Running sums of group sizes share words: (length, first group, groups, bits a
+# group) from the lowest bits up.  A field holds its length's largest size, and
+# the shorter lengths lie above, so a longer string overflows only into fields
+# that it does not read.  The last group's size is the rest.
+_WORDS = (((32, 0, 5, 6), (24, 0, 3, 5), (16, 0, 2, 5)), ((64, 9, 2, 7), (48, 0, 8, 6)), ((64, 0, 9, 7),))
+
+
+@lru_cache(maxsize=None)
+def _layout(size: int) -> tuple[np.ndarray, dict[int, list[tuple[int, int, int, int]]]]:
+    """Per word what each symbol adds, and per length its groups as (group, word, shift, mask)."""
+    adds = np.zeros((len(_WORDS), 256), dtype=np.uint64)
+    fields: dict[int, list[tuple[int, int, int, int]]] = {n: [] for n in CLASSES}
+    for w, parts in enumerate(_WORDS):
+        shift = 0
+        for n, first, many, bits in parts:
+            groups = _groups(size, n)
+            of = np.arange(256) * groups // size
+            for g in range(first, min(first + many, groups - 1)):
+                adds[w, of == g] += np.uint64(1 << shift)
+                fields[n].append((g, w, shift, (1 << bits) - 1))
+                shift += bits
+    return adds, fields
+
+
+@lru_cache(maxsize=None)
+def _tables(size: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For strings of ``n`` symbols of an alphabet: a weight per group, and logarithms of
+    two probabilities.
+
+    Squared group sizes by weights add up to a whole number that gives
+    chi-squared, so its probability is looked up; that of the runs is looked
+    up by the symbols above the middle and the number of runs.
+    """
+    groups = _groups(size, n)
+    share = np.bincount(np.arange(size) * groups // size, minlength=groups)
+    weight = math.lcm(*share.tolist()) // share
+    chi2 = np.arange(n * n * int(weight.max()) + 1) * (size / (n * float(weight[0] * share[0]))) - n
     a = 2 / (9 * (groups - 1))
-    p_even = _upper_normals(((chi2 / (groups - 1)) ** (1 / 3) - (1 - a)) / math.sqrt(a))
-    high = v >= (size + 1) // 2
-    n1 = high.sum(0, dtype=np.uint8).astype(float)
-    n0 = n - n1
-    runs = 1.0 + (high[1:] != high[:-1]).sum(0, dtype=np.uint8)
-    mean = 2 * n1 * n0 / n + 1
+    even = _upper_normals(((np.maximum(chi2, 0) / (groups - 1)) ** (1 / 3) - (1 - a)) / math.sqrt(a))
+    n1, runs = np.arange(n + 1.0)[:, None], np.arange(n + 1.0)[None, :]
+    mean = 2 * n1 * (n - n1) / n + 1
     var = np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9)
-    p_runs = np.where((n1 > 0) & (n0 > 0),
-                      2 * _upper_normals(np.abs(runs - mean) / np.sqrt(var)), 2.0 ** (1 - n))
-    # Sums of small integers are exact in 32 bits.
-    w = v.astype(np.int32)
-    total = w.sum(0).astype(float)
-    squares, products = (w * w).sum(0).astype(float), (w[1:] * w[:-1]).sum(0).astype(float)
-    middle = total / n
-    spread = squares - n * middle * middle
-    # The sum of (a - middle) * (b - middle) over neighbours.
-    both = products - middle * (2 * total - w[0] - w[-1]) + (n - 1) * middle * middle
-    r = both / np.maximum(spread, 1e-9)
-    p_serial = np.where(squares * n > total * total,
-                        2 * _upper_normals(np.abs(r + 1 / n) * math.sqrt(n)), 0.0)
-    half = -sum(np.log(np.clip(p, 1e-30, 1.0)) for p in (p_even, p_runs, p_serial))
-    return np.exp(-half) * (1 + half + half * half / 2)
+    p_runs = np.where((n1 > 0) & (n1 < n), 2 * _upper_normals(np.abs(runs - mean) / np.sqrt(var)),
+                      2.0 ** (1 - n))
+    return weight.astype(np.int64), _logs(even), _logs(p_runs).reshape(-1)
+
+
+def _logs(p: np.ndarray) -> np.ndarray:
+    return np.log(np.clip(p, 1e-30, 1.0))
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Running sums, from 0; differences are right modulo 2**64."""
+    out = np.zeros(len(x) + 1, dtype=np.uint64)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
+@lru_cache(maxsize=None)
+def _packed(size: int) -> np.ndarray:
+    """Per symbol its value, its square and whether it is high, in 16, 32 and 16 bits."""
+    v = np.arange(256, dtype=np.uint64)
+    high = (v >= (size + 1) // 2).astype(np.uint64)
+    return v | v * v << np.uint64(16) | high << np.uint64(48)
+
+
+class Running:
+    """Running sums of strings' symbols, read at the ends of strings of any length.
+
+    Sums are packed side by side into 64 bits; a string's own sums fit their fields.
+    """
+
+    def __init__(self, v: np.ndarray, size: int):
+        self.v, self.size = v, size
+        at = v.astype(np.int64)
+        alone, w = _packed(size).take(at), at.view(np.uint64)
+        self.alone = _sums(alone)
+        self.groups = [_sums(add.take(at)) for add in _layout(size)[0]]
+        # Products of neighbours, and in bit 32 whether just one of them is high.
+        beside = (alone[1:] ^ alone[:-1]) >> np.uint64(48) << np.uint64(32)
+        beside |= w[1:] * w[:-1]
+        self.beside = _sums(beside)
+
+    def bins(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """``bin_of(battery(...))`` of the strings of ``n`` symbols at ``starts``."""
+        weight, log_even, log_runs = _tables(self.size, n)
+        ends = starts + n
+        alone = self.alone.take(ends) - self.alone.take(starts)
+        beside = self.beside.take(ends - 1) - self.beside.take(starts)
+        logs = log_runs.take(((alone >> np.uint64(48)) * np.uint64(n + 1) + np.uint64(1)
+                              + (beside >> np.uint64(32))).view(np.int64))
+        # Not random by the first tests alone: the third cannot change that.
+        open_ = np.flatnonzero(logs >= -MOST_HALF)
+        starts, ends, logs = starts[open_], ends[open_], logs[open_]
+        words: dict[int, np.ndarray] = {}
+        rest = np.full(len(starts), n, dtype=np.int64)
+        q = np.zeros(len(starts), dtype=np.int64)
+        for g, w, shift, mask in _layout(self.size)[1][n]:
+            if w not in words:
+                words[w] = self.groups[w].take(ends) - self.groups[w].take(starts)
+            c = (words[w] >> np.uint64(shift) & np.uint64(mask)).view(np.int64)
+            rest -= c
+            q += weight[g] * c * c
+        logs += log_even.take(q + weight[-1] * rest * rest)
+        still = np.flatnonzero(logs >= -MOST_HALF)
+        out = np.zeros(len(alone), dtype=np.int64)
+        open_ = open_[still]
+        out[open_] = self._serial(alone[open_], beside[open_], starts[still], n, logs[still])
+        return out
+
+    def _serial(self, alone: np.ndarray, beside: np.ndarray, starts: np.ndarray, n: int,
+                logs: np.ndarray) -> np.ndarray:
+        """Bins, from the packed sums and the logarithms of the other tests."""
+        low, field = np.uint64(0xFFFF), np.uint64(0xFFFFFFFF)
+        total = (alone & low).view(np.int64)
+        squares = (alone >> np.uint64(16) & field).view(np.int64)
+        products = (beside & field).view(np.int64)
+        middle = total / n
+        spread = squares - total * middle
+        # The sum of (a - middle) * (b - middle) over neighbours.
+        edge = self.v[starts].astype(np.int64) + self.v[starts + n - 1]
+        both = products - middle * (2 * total - edge) + (n - 1) * middle * middle
+        r = both / np.maximum(spread, 1e-9)
+        p_serial = np.where(squares * n > total * total,
+                            2 * _upper_normals(np.abs(r + 1 / n) * math.sqrt(n)), 0.0)
+        half = -logs - _logs(p_serial)
+        log_p = np.log1p(half + half * half / 2) - half
+        bins = BINS - 1 + np.floor(log_p * (10 / math.log(10))).astype(np.int64)
+        return np.where(bins < LEAST_BIN, 0, bins)
 
 
 def class_of(n: int, encoding: str) -> int:
@@ -171,37 +276,51 @@ def class_of(n: int, encoding: str) -> int:
     return _NUMBER[encoding] * len(CLASSES) + sum(n >= least for least in CLASSES) - 1
 
 
-def bins_of(p: np.ndarray) -> np.ndarray:
-    """``bin_of`` of an array."""
-    return np.maximum(0, BINS - 1 + np.floor(10 * np.log10(np.maximum(p, 1e-30)))).astype(int)
+def bin_of(p: float) -> int:
+    """0: not random; else up to BINS - 1, ten bins to a power of ten."""
+    found = BINS - 1 + math.floor(10 * math.log10(max(p, 1e-30)))
+    return found if found >= LEAST_BIN else 0
 
 
-def bin_of(p: float) -> int:
-    """0 (not random) .. BINS - 1 (random): ten bins to a power of ten."""
-    return max(0, BINS - 1 + math.floor(10 * math.log10(max(p, 1e-30))))
+_KEYS = bytes(120 if chr(c) in ALPHABETS["any"] else 32 for c in range(256))
+_WORDS_OF_ASSIGN = (b"password", b"passwd", b"secret", b"token", b"api")
 
 
-LEAST_BIN = bin_of(NOT_RANDOM)
+def key_runs(raw: bytes) -> list[tuple[int, int]]:
+    """(start, end) of the maximal runs of key characters that are long enough."""
+    marks = raw.translate(_KEYS)
+    out, least = [], b"x" * LEAST_RUN
+    at = marks.find(least)
+    while at >= 0:
+        end = marks.find(b" ", at)
+        end = len(marks) if end < 0 else end
+        out.append((at, end))
+        at = marks.find(least, end)
+    return out
 
 
-def base_spans(text: str, runs: list[re.Match]) -> list[tuple[int, int, int]]:
+def base_spans(text: str, raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed patterns; hex runs lie inside ``runs``."""
-    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text)
-             if len(m[2]) >= LEAST_ASSIGN]
+    found = []
+    low = raw.lower()
+    if any(word in low for word in _WORDS_OF_ASSIGN):
+        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text)
+                  if len(m[2]) >= LEAST_ASSIGN]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)
               if len(m[0]) >= LEAST_ACCESS]
-    found += [(m.start(), 2, m.end()) for r in runs if r.end() - r.start() >= LEAST_HEX
-              for m in HEX.finditer(text, r.start(), r.end()) if len(m[0]) >= LEAST_HEX]
+    found += [(m.start(), 2, m.end()) for start, end in runs if end - start >= LEAST_HEX
+              for m in HEX.finditer(text, start, end) if len(m[0]) >= LEAST_HEX]
     return sorted(found)
 
 
-def candidates(runs: list[re.Match], base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+def candidates(text: str, runs: list[tuple[int, int]],
+               base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
     """(start, end, class, bin) of the runs, and pieces of runs, that the battery tests."""
-    for m in runs:
-        spans = [m.span(), *(p.span() for p in PIECE.finditer(m.string, *m.span()))]
+    for run in runs:
+        spans = [run, *(p.span() for p in PIECE.finditer(text, *run))]
         for start, end in dict.fromkeys(spans):
             if not any(a <= start and end <= b for a, _, b in base):
-                found = m.string[start:end]
+                found = text[start:end]
                 encoding = encoding_of(found)
                 yield start, end, class_of(end - start, encoding), bin_of(battery(found, encoding))
 
@@ -219,26 +338,45 @@ def outside(text: str, base: list[tuple[int, int, int]]) -> np.ndarray:
 def ordinary(texts: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
     """(class, bin, strings) of the consecutive strings of each encoding and length
     that the whole texts hold; no string crosses from a text into another."""
+    raw = [t.tobytes() for t in texts]
     for name, values in _TABLES.items():
-        plain = [v[v != _OTHER] for v in (values[t] for t in texts)]
-        for n in CLASSES:
-            long = [v[:len(v) // n * n] for v in plain if len(v) >= n]
-            # Some at a time, so that a long text needs no large arrays.
-            joined = np.concatenate(long) if long else np.zeros(0, dtype=np.uint8)
-            counted = np.zeros(BINS + 1, dtype=np.int64)
-            for at in range(0, len(joined), n << 14):
-                v = np.ascontiguousarray(joined[at:at + (n << 14)].reshape(-1, n).T)
-                counted += np.bincount(bins_of(batteries(v, len(ALPHABETS[name]))),
-                                       minlength=BINS + 1)
-            for b in np.flatnonzero(counted).tolist():
-                yield class_of(n, name), b, int(counted[b])
+        counted = np.zeros((len(CLASSES), BINS + 1), dtype=np.int64)
+        plain = (np.frombuffer(t.translate(values, _OUTSIDE[name]), dtype=np.uint8) for t in raw)
+        for parts in _parts(plain):
+            sums = Running(np.concatenate(parts), len(ALPHABETS[name]))
+            size = np.array([len(v) for v in parts])
+            first = np.cumsum(size) - size
+            for k, n in enumerate(CLASSES):
+                many = size // n
+                place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                if len(place):
+                    counted[k] += np.bincount(sums.bins(np.repeat(first, many) + place * n, n),
+                                              minlength=BINS + 1)
+        for k, b in zip(*np.nonzero(counted)):
+            yield class_of(CLASSES[k], name), int(b), int(counted[k, b])
+
+
+def _parts(plain: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The texts some at a time; a long one is cut where strings of every length end."""
+    whole = PART // math.lcm(*CLASSES) * math.lcm(*CLASSES)
+    held, size = [], 0
+    for v in plain:
+        for at in range(0, len(v), whole):
+            held.append(v[at:at + whole])
+            size += len(held[-1])
+            if size >= PART:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def scan(text: str):
     """(base spans, candidates) of a whole text."""
-    runs = list(RUN.finditer(text))
-    base = base_spans(text, runs)
-    return base, list(candidates(runs, base))
+    raw = text.encode("ascii", "replace")  # a byte a code point
+    runs = key_runs(raw)
+    base = base_spans(text, raw, runs)
+    return base, list(candidates(text, runs, base))
 
 
 def thresholds(counted: list[tuple[int, bool, int, int]], rate: float = RATE) -> list[int]:
@@ -346,6 +484,7 @@ def redact(docs: DataFrame, rate: float = RATE, text_col: str = "text",
     least = thresholds(count_bins(scored_texts(docs)), rate)
     ship(docs.sparkSession)
     names = docs.columns
+    counts_chars = n_col in names and isinstance(docs.schema[n_col].dataType, T.IntegralType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -354,7 +493,7 @@ def redact(docs: DataFrame, rate: float = RATE, text_col: str = "text",
             old = cols[at].to_pylist()
             new = [t if t is None else masked(t, least) for t in old]
             cols[at] = pa.array(new, type=cols[at].type)
-            if n_col in names:
+            if counts_chars:
                 k = names.index(n_col)
                 counts = [n if a == b else len(b)
                           for n, a, b in zip(cols[k].to_pylist(), old, new)]
