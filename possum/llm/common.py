@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,20 +58,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The batches cut to few rows, so that few whole texts become Python objects at once."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256,
+           most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The batches cut to few rows and about ``most`` bytes of texts, so that few whole
+    texts become Python objects at once.  A longer text is a slice of its own."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        held = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                held += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(held)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            end = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + most, "right"))))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def map_rows(df: DataFrame, schema: str, rows: Callable[[list[dict]], Iterator[tuple]],
              chunk: int = 256) -> DataFrame:
     """``mapInArrow`` for functions over small lists of row dicts.
 
-    ``rows`` gets at most ``chunk`` input rows at a time and yields output
-    tuples in the order of ``schema``, so one task holds few whole texts as
-    Python objects whatever the size of Arrow's batches.
+    ``rows`` gets at most ``chunk`` input rows at a time, and a few MB of text,
+    and yields output tuples in the order of ``schema``.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
