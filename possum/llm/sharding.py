@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import materialise
@@ -31,6 +31,7 @@ BITS = 62            # bits of the hash that a directory can use
 EXTRA = 4            # bits below the expected depth that one aggregate looks at
 # Directory entries up to this number are broadcast (two numbers each).
 BROADCAST_ENTRIES = 500_000
+TASK_SHARDS = 3      # limits a writing task may hold
 
 
 def hashed(docs: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
@@ -39,9 +40,11 @@ def hashed(docs: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     out = (docs.withColumn("__h", F.shiftrightunsigned(F.xxhash64("doc_id", text), 64 - BITS))
            .withColumn("__bytes", F.octet_length(text).cast("long")))
     if heavy is not None:
-        # At most total bytes / limit hashes.
+        # At most total bytes / limit hashes, a stored result.
+        few = heavy.count() <= BROADCAST_ENTRIES
+        heavy = heavy.withColumn("__heavy", F.lit(True))
         out = out.withColumn("__rid", F.monotonically_increasing_id())
-        out = out.join(F.broadcast(heavy.withColumn("__heavy", F.lit(True))), "__h", "left")
+        out = out.join(F.broadcast(heavy) if few else heavy, "__h", "left")
         mixed = F.shiftrightunsigned(F.xxhash64("__h", "__rid"), 64 - BITS)
         out = out.withColumn("__h", F.when(F.col("__heavy"), mixed).otherwise(F.col("__h")))
         out = out.drop("__rid", "__heavy")
@@ -105,24 +108,45 @@ def assign(docs: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
     else:
         sizes = materialise(hashed(docs, heavy).select("__h", "__bytes"))
     maps, shards = directory(sizes, limit)
-    names = [c for c in docs.columns if c != "shard"]
-    out, found = hashed(docs.select(*names), heavy), []
+    name = shard_column(docs)
+    out, found = hashed(docs, heavy), []
     for k, (depth, entries) in enumerate(maps):
         small = entries.count() <= BROADCAST_ENTRIES
         entries = entries.toDF(f"__prefix{k}", f"__shard{k}")
         on = F.shiftrightunsigned("__h", BITS - depth) == F.col(f"__prefix{k}")
         out = out.join(F.broadcast(entries) if small else entries, on, "left")
         found.append(F.col(f"__shard{k}"))
-    return out.select(*names, F.col("__bytes"), F.coalesce(*found).alias("shard")), shards
+    return out.select(*docs.columns, F.col("__bytes"), F.coalesce(*found).alias(name)), shards
+
+
+def shard_column(docs: DataFrame) -> str:
+    """Name of the added column: ``shard``, longer if the table has such a column."""
+    name = "shard"
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """Write one folder per shard below ``path``; return the shards.
 
-    Shards are at most ``limit`` bytes, so each is written by one task.
+    Shards are at most ``limit`` bytes (or one document).  In the order of
+    their names they are dealt to tasks of at most ``TASK_SHARDS`` limits, so
+    a task's work does not grow with the corpus and no shard is cut.
     """
     placed, shards = assign(docs, limit)
-    placed.drop("__bytes").repartition("shard").write.partitionBy("shard").parquet(path)
+    name = shard_column(docs)
+    # One row per shard is sorted here.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = materialise(shards.select(F.col("shard").alias(name), F.floor(
+        F.coalesce(F.sum("shard_bytes").over(before), F.lit(0)) / ((TASK_SHARDS - 1) * limit))
+        .alias("start")).select(name, (F.dense_rank().over(Window.orderBy("start")) - 1).alias("__task")))
+    many = tasks.agg(F.max("__task")).first()[0]
+    if many is not None:
+        small = tasks.count() <= BROADCAST_ENTRIES
+        dealt = placed.drop("__bytes").join(F.broadcast(tasks) if small else tasks, name)
+        (dealt.repartitionById(many + 1, F.col("__task")).drop("__task")
+         .write.partitionBy(name).parquet(path))
     return shards
 
 
@@ -135,9 +159,10 @@ def shard_documents(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     if shards.isEmpty():
         return spark.createDataFrame([], "doc_id bigint, bytes bigint, shard string, depth int, "
                                          "shard_bytes bigint")
-    schema = docs.select("doc_id", "text").schema.add("shard", "string")
+    name = shard_column(docs)
+    schema = docs.select("doc_id", "text").schema.add(name, "string")
     written = spark.read.schema(schema).parquet(path).select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.octet_length(text_of()).cast("long").alias("bytes"), "shard")
+        F.octet_length(text_of()).cast("long").alias("bytes"), F.col(name).alias("shard"))
     return written.join(shards.select("shard", "depth", "shard_bytes"), "shard").select(
         "doc_id", "bytes", "shard", "depth", "shard_bytes")
