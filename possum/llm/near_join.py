@@ -14,10 +14,12 @@ or more are linked.
    seven without a split, nine at the deepest.  Classes in buckets that were
    split get the further runs that the depth reached asks for.
    Buckets with the same members are kept once.
-3. Buckets are compared by brute force on exact sets.  A bucket over
-   ``BLOCK`` classes (or their shingles) is cut into blocks, and each pair of
-   blocks is a task of its own, so no bucket is one task's work and none is
-   dropped.  A pair that shares several buckets counts in the first only.
+3. Buckets are compared by brute force on exact sets (of 64-bit hashes).  A
+   bucket over ``BLOCK`` classes (or their shingles) is cut into blocks, and
+   each pair of blocks is a task of its own, so no bucket is one task's work
+   and none is dropped.  The links of a family of m different, mutually alike
+   texts are counted exactly, so its cost grows with m squared: a text
+   travels m / ``BLOCK`` times.  A pair that shares several buckets counts in the first only.
    Tasks return one row per class (its links, the first member of its linked
    group), not pairs: a group of n near copies never becomes n*n rows.
 4. Connected components of these rows give the groups.
@@ -49,33 +51,35 @@ WORDS = 5
 LEAST = 0.8
 BINS = 64
 RECALL = 0.9999      # of pairs at LEAST, whatever the number of splits
-SMALL = 512          # classes in a bucket that is compared at once
-BLOCK = 512          # classes in a block of a larger bucket
+SMALL = 4096         # classes in a bucket that is compared at once
+BLOCK = 4096         # classes in a block of a larger bucket
 BLOCK_SHINGLES = 1_000_000
 LEVELS = 12
+FILTER = 1 << 21     # numbers by which texts in no bucket are left out
+KEPT_WORDS = 500_000  # hashes a worker keeps
 PROBES = 32          # bins that estimate a bucket's average similarity
 DENSE = 0.7          # average similarity from which a bucket is not split
 
 _RNG = np.random.default_rng(20240104)
-_BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _PLACE = _RNG.integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = int(_RNG.integers(0, 2**63, dtype=np.uint64)) * 2 + 1
 # For each bin, the order in which full bins are looked for if it is empty.
 _ORDER = np.stack([_RNG.permutation(BINS) for _ in range(BINS)])
 _EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(58)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        n = max(n, 1 << 16)
-        for name, by in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
-            steps = np.full(n, by, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
+class _WordHashes(dict[bytes, int]):
+    """64-bit hashes of words, kept for the words met lately."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        got = self[word] = xxhash.xxh3_64_intdigest(word, seed=20240104)
+        return got
+
+
+_WORD_HASHES = _WordHashes()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -86,16 +90,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word n-grams."""
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
-    space = np.concatenate([[True], _SPACE[data], [True]])
-    edge = np.flatnonzero(space[1:] != space[:-1])
-    begin, end = edge[0::2], edge[1::2]
-    if not len(begin):
+    words = text.encode().split()  # at ASCII white space
+    if not words:
         return np.zeros(0, dtype=np.uint64)
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[:len(data)], out=total[1:])
-    word = _mix((total[end] - total[begin]) * down[begin])
+    word = np.fromiter(map(_WORD_HASHES.__getitem__, words), np.uint64, len(words))
     width = min(WORDS, len(word))
     count = len(word) - width + 1
     out = np.full(count, width, dtype=np.uint64)
@@ -263,6 +261,49 @@ def buckets(classes: DataFrame) -> DataFrame:
     return materialise(members.join(materialise(kept), "bucket").dropDuplicates(["bucket", "key"]))
 
 
+def _shared(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], low: int, high: int,
+            m: int) -> np.ndarray:
+    """Shared tokens of sets ``low`` to ``high`` of ``a`` with all ``m`` sets of ``b``.
+
+    Both sides are (token, owner) sorted by token, tokens numbered alike.  A
+    token that many pairs share is a column of a matrix product; the pairs of
+    the others are listed and counted.
+    """
+    inside = (a[1] >= low) & (a[1] < high)
+    token, owner = a[0][inside], a[1][inside] - low
+    many = int(max(token[-1] if len(token) else -1, b[0][-1] if len(b[0]) else -1)) + 1
+    times = np.bincount(b[0], minlength=many)
+    frequent = np.bincount(token, minlength=many) * times > (high - low) * m // 64
+    out = np.zeros((high - low, m), dtype=np.float32)
+    column = np.cumsum(frequent) - 1
+    columns = int(frequent.sum())
+    width = max(256, (1 << 23) // m)
+    for at in range(0, columns, width):
+        sides = []
+        for t, o, n in ((token, owner, high - low), (b[0], b[1], m)):
+            here = frequent[t] & (column[t] >= at) & (column[t] < at + width)
+            side = np.zeros((n, min(width, columns - at)), dtype=np.float32)
+            side[o[here], column[t[here]] - at] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    rare = ~frequent[token] & (times[token] > 0)
+    token, owner = token[rare], owner[rare]
+    first = np.searchsorted(b[0], token)
+    pairs = np.cumsum(times[token])
+    at = 0
+    while at < len(token):
+        end = max(at + 1, int(np.searchsorted(pairs, (pairs[at - 1] if at else 0) + (1 << 22), "right")))
+        n = times[token[at:end]]
+        behind = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        cell = np.repeat(owner[at:end] * m, n) + b[1][np.repeat(first[at:end], n) + behind]
+        np.add.at(out.reshape(-1), cell, np.float32(1))
+        at = end
+    return out
+
+
+STRIP = 512  # sets whose pairs with the others are counted at once
+
+
 def compare(rows: list[dict], cross: bool) -> Iterator[tuple]:
     """Links inside one bucket, or between its blocks 0 and 1 if ``cross``.
 
@@ -270,52 +311,74 @@ def compare(rows: list[dict], cross: bool) -> Iterator[tuple]:
     member with a link.
     """
     rows = list({r["key"]: r for r in rows}.values())
-    rows.sort(key=lambda r: r["key"])
+    low = min((r["block"] for r in rows), default=0) if cross else 0
+    rows.sort(key=lambda r: (cross and r["block"] != low, r["key"]))
     m = len(rows)
-    if m < 2:
+    cut = sum(r["block"] == low for r in rows) if cross else m
+    if m < 2 or (cross and cut == m):
         return
     sets = [shingles(r["text"]) for r in rows]
-    size = np.array([len(s) for s in sets])
+    size = np.array([len(s) for s in sets], dtype=np.int64)
     owner = np.repeat(np.arange(m), size)
     _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     common = times[token] > 1
-    number = np.cumsum(times > 1) - 1
-    token, owner = number[token[common]], owner[common]
+    token, owner = (np.cumsum(times > 1) - 1)[token[common]], owner[common]
     order = np.argsort(token, kind="stable")
     token, owner = token[order], owner[order]
-    shared = np.zeros((m, m), dtype=np.float32)
-    width = max(1024, (1 << 24) // m)
-    for low in range(0, int(token[-1]) + 1 if len(token) else 0, width):
-        a, b = np.searchsorted(token, [low, low + width])
-        part = np.zeros((m, width if low + width <= token[-1] else int(token[-1]) - low + 1),
-                        dtype=np.float32)
-        part[owner[a:b], token[a:b] - low] = 1
-        shared += part @ part.T
-    shared = shared.astype(np.int64)
-    linked = shared >= LEAST * (size[:, None] + size[None, :] - shared) - 1e-9
-    np.fill_diagonal(linked, False)
-    if cross:
-        block = np.array([r["block"] for r in rows])
-        linked &= block[:, None] != block[None, :]
-    first = np.arange(m)
-    while True:
-        lower = np.where(linked, first[None, :], m).min(1)
-        lower = np.minimum(lower, first)
-        lower = lower[lower]
-        if (lower == first).all():
-            break
-        first = lower
+    # Columns of the link matrix: the other block, or all members.
+    begin = cut if cross else 0
+    right = owner >= begin
+    other = token[right], owner[right] - begin
     mine = rows[0]["bucket"]
-    before = [(i, b) for i, r in enumerate(rows) for b in r["in_buckets"] if b < mine]
-    counted = linked
+    names = {b: k for k, b in enumerate({b for r in rows for b in r["in_buckets"] if b < mine})}
+    before = [(i, names[b]) for i, r in enumerate(rows) for b in r["in_buckets"] if b < mine]
+    where = np.zeros((m, len(names)), dtype=np.float32)
     if before:
-        names = {b: k for k, b in enumerate({b for _, b in before})}
-        where = np.zeros((m, len(names)), dtype=np.float32)
-        where[[i for i, _ in before], [names[b] for _, b in before]] = 1
-        counted = linked & (where @ where.T == 0)
-    links = counted @ np.array([r["copies"] for r in rows], dtype=np.int64)
-    for i in np.flatnonzero(linked.any(1)):
-        yield rows[i]["key"], int(links[i]), rows[first[i]]["key"]
+        where[tuple(zip(*before))] = 1
+    copies = np.array([r["copies"] for r in rows], dtype=np.int64)
+    linked = np.zeros((cut, m - begin), dtype=bool)
+    links = np.zeros(m, dtype=np.int64)
+    for at in range(0, cut, STRIP):
+        end = min(at + STRIP, cut)
+        shared = _shared((token, owner), other, at, end, m - begin)
+        union = size[at:end, None] + size[None, begin:] - shared
+        part = shared >= LEAST * union - 1e-9
+        if not cross:
+            part[np.arange(end - at), np.arange(at, end)] = False
+        linked[at:end] = part
+        if names:  # a pair in an earlier bucket is counted there
+            part = part & (where[at:end] @ where[begin:].T == 0)
+        links[at:end] += part @ copies[begin:]
+        if cross:
+            links[begin:] += copies[at:end] @ part
+    first = _groups(linked, cross)
+    keys = [r["key"] for r in rows]
+    lowest: dict[int, bytes] = {}
+    for i, g in enumerate(first.tolist()):
+        lowest[g] = min(lowest.get(g, keys[i]), keys[i])
+    some = linked.any(1) if not cross else np.concatenate([linked.any(1), linked.any(0)])
+    for i in np.flatnonzero(some):
+        yield keys[i], int(links[i]), lowest[int(first[i])]
+
+
+def _groups(linked: np.ndarray, cross: bool) -> np.ndarray:
+    """A number per member, equal for members that links connect: a search that
+    takes each member's row of the matrix once."""
+    cut, m = linked.shape[0], linked.shape[0] + linked.shape[1] if cross else linked.shape[0]
+    group = np.full(m, -1)
+    for start in range(m):
+        if group[start] >= 0:
+            continue
+        group[start] = start
+        new = np.array([start])
+        while len(new):
+            if cross:
+                met = np.concatenate([linked[:, new[new >= cut] - cut].any(1), linked[new[new < cut]].any(0)])
+            else:
+                met = linked[new].any(0)
+            new = np.flatnonzero(met & (group < 0))
+            group[new] = start
+    return group
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -326,7 +389,12 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
         F.collect_list("bucket").alias("in_buckets"),
         F.collect_list(F.struct("bucket", "members", "shingles")).alias("places"))
     active = materialise(active.join(classes.select("key", "doc_id", "text_hash", "copies"), "key"))
-    texts = _with_hash(docs).alias("t")
+    # Most texts are in no bucket: a broadcast set of at most 2**21 numbers
+    # spares them the shuffle (all of them, while the set is sparse).
+    number = F.pmod("text_hash", F.lit(FILTER))
+    met = active.select(number.alias("number")).distinct()
+    texts = (_with_hash(docs).withColumn("number", number)
+             .join(F.broadcast(met), "number", "left_semi").drop("number").alias("t"))
     if not classes.where("repeated").isEmpty():
         texts = texts.dropDuplicates(["doc_id", "text_hash"])
     same = (F.col("t.doc_id").eqNullSafe(F.col("a.doc_id"))
@@ -334,8 +402,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     found = (active.alias("a").join(texts, same)
              .select("key", "copies", "in_buckets", "text", F.explode("places").alias("p")))
     blocks = F.greatest(
-        F.when(F.col("p.members") > SMALL, F.ceil(F.col("p.members") / BLOCK)).otherwise(F.lit(1)),
-        F.ceil(F.col("p.shingles") / BLOCK_SHINGLES)).cast("int")
+        F.ceil(F.col("p.members") / BLOCK), F.ceil(F.col("p.shingles") / BLOCK_SHINGLES)).cast("int")
     block = F.pmod(F.xxhash64("key", F.lit(2)), F.col("blocks")).cast("int")
     dealt = (found.withColumn("blocks", blocks).withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
