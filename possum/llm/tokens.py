@@ -20,7 +20,7 @@ from functools import lru_cache
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-# Entries per table; a full table is emptied (a cache: results never change).
+# Entries per table; a full table forgets what was met once (a cache: results never change).
 CACHE_ENTRIES = 300_000
 # Bytes that are looked up at once; longer texts are cut at white space.
 SEGMENT = 1 << 20
@@ -85,12 +85,40 @@ class WordIds:
         self.length = np.zeros(1 << 16, dtype=np.int64)
         self.pool = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
-        self._forget_chunks()
-
-    def _forget_chunks(self) -> None:
         self.known = Chunks()
         self.first = np.zeros(1 << 16, dtype=np.int32)
         self.second = np.zeros(1 << 16, dtype=np.int32)
+        self.uses = np.zeros(1 << 16, dtype=np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keep the chunks that were met again, the most used ones, at most half a table."""
+        uses = self.uses[:len(self.known)]
+        keep = np.flatnonzero(uses > 1)
+        if len(keep) > self.limit // 2:
+            keep = np.sort(keep[np.argsort(-uses[keep], kind="stable")[:self.limit // 2]])
+        chunks, cores = list(self.known), list(self.cores)
+        first, second, uses = self.first[keep], self.second[keep], uses[keep] // 2
+        held = np.zeros(len(cores), dtype=bool)
+        held[0] = held[first] = held[second] = True
+        place = (np.cumsum(held) - 1).astype(np.int32)
+        held = np.flatnonzero(held)
+        start, length, pool = self.start[held], self.length[held], self.pool
+        self._empty()
+        self.cores = {cores[k]: i for i, k in enumerate(held.tolist())}
+        stop = np.cumsum(length)
+        ids = pool[np.repeat(start - (stop - length), length) + np.arange(stop[-1])]
+        self._store(np.arange(len(held)), ids, length)
+        for k in keep.tolist():
+            self.known[chunks[k]]
+        self.known.new.clear()
+        self._room()
+        self.first[:len(keep)], self.second[:len(keep)] = place[first], place[second]
+        self.uses[:len(keep)] = uses
+
+    def _room(self) -> None:
+        while len(self.known) > len(self.first):
+            self.first, self.second, self.uses = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.second, self.uses))
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         got = self.whole.encode_batch_fast(texts, add_special_tokens=False)
@@ -111,22 +139,19 @@ class WordIds:
     def _learn(self, chunks: list[str]) -> None:
         """Cores of the newest chunks."""
         cores, plain, other, first, second = self.cores, [], [], [], []
-
-        def number(core: str, into: list[str]) -> int:
-            at = cores.get(core)
-            if at is None:
-                at = cores[core] = len(cores)
-                into.append(core)
-            return at
-
+        get = cores.get
         for chunk in chunks:
             core = chunk.rstrip(TRAIL)
             if core.isalpha() and (core.isascii() or max(core) < "Ā"):
-                first.append(number(core.lower(), plain))
-                second.append(number(chunk[len(core):], plain))
+                names, into = (core.lower(), chunk[len(core):]), plain
             else:
-                first.append(number(chunk, other))
-                second.append(0)
+                names, into = (chunk, ""), other
+            for name, places in zip(names, (first, second)):
+                at = get(name)
+                if at is None:
+                    at = cores[name] = len(cores)
+                    into.append(name)
+                places.append(at)
         if plain:
             ids = np.array(self.words.encode_batch_fast(
                 [" ".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
@@ -138,19 +163,15 @@ class WordIds:
             got = self._whole(other)
             self._store(np.array([cores[c] for c in other]), np.concatenate(got),
                         np.array([len(ids) for ids in got]))
-        while len(self.known) > len(self.first):
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            self.second = np.concatenate([self.second, np.zeros_like(self.second)])
+        self._room()
         at = len(self.known) - len(chunks)
         self.first[at:len(self.known)] = first
         self.second[at:len(self.known)] = second
 
     def _segment(self, parts: list[bytes]) -> list[np.ndarray]:
         """Ids of each part; all parts together are about one segment."""
-        if len(self.cores) > self.limit:
-            self._empty()
-        elif len(self.known) > self.limit:
-            self._forget_chunks()
+        if len(self.known) > self.limit:
+            self._forget_rare()
         chunks = [part.split() for part in parts]  # at ASCII white space
         sizes = [len(c) for c in chunks]
         word = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(chunks)),
@@ -160,6 +181,8 @@ class WordIds:
         if self.known.new:
             self._learn([c.decode() for c in self.known.new])
             self.known.new.clear()
+        met = np.bincount(word)
+        self.uses[:len(met)] += met
         core = np.empty(2 * len(word), dtype=np.int64)
         core[0::2], core[1::2] = self.first[word], self.second[word]
         size = self.length[core]
