@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +28,16 @@ def month_keys(as_of: dt.date, months: int = K.REVENUE_MONTHS) -> list[str]:
     return [f"{(base - i) // 12:04d}{(base - i) % 12 + 1:02d}" for i in range(months)]
 
 
+def in_months(day: Column, months: list[int]) -> Column:
+    """Whether ``day`` (``yyyymmdd``) lies in one of ``months`` (``yyyyMM``, sorted).
+
+    One look-up of the row's month, however many are wanted: a range for each
+    would be evaluated one by one, in code too long for the JVM to compile.
+    """
+    return (day.between(months[0] * 100, months[-1] * 100 + 99)
+            & F.floor(day / 100).isin(months))
+
+
 def monthly_revenue(tx: DataFrame) -> DataFrame:
     """Sum of transaction values per point of sale and ``yyyyMM`` month."""
     return (tx.groupBy("numero_ponto_venda", year_month_text("anomesdia").alias("anomes"))
@@ -93,14 +102,12 @@ class RevenueMonths:
 
     def replace(self, tx: DataFrame, months: Iterable[str | int]) -> None:
         """Sum the transactions of ``months`` (``yyyyMM``) anew; only these are read
-        (a range of ``anomesdia`` per month, so a partitioned table is pruned).
+        (by ``anomesdia`` alone, so a partitioned table is pruned).
         A month without transactions any more is emptied."""
         wanted = sorted({int(m) for m in months})
         if not wanted:
             return
-        day = F.col("anomesdia")
-        inside = reduce(Column.__or__, [day.between(m * 100, m * 100 + 99) for m in wanted])
-        sums = monthly_revenue(tx.where(inside)).select(
+        sums = monthly_revenue(tx.where(in_months(F.col("anomesdia"), wanted))).select(
             "numero_ponto_venda", F.col("faturamento").cast(MONEY).alias("faturamento"),
             F.col("anomes").cast("int").alias("mes"))
         # A row without a point of sale marks the month as present.

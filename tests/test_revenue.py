@@ -79,3 +79,24 @@ def test_exact_sums_for_other_decimal_types(spark, tx, dtype):
         "numero_ponto_venda", F.substring(F.col("anomesdia").cast("string"), 1, 6).alias("anomes"))
         .agg(F.sum("valor_transacao").alias("faturamento")).collect()}
     assert got == want
+
+
+def test_month_filter_is_one_look_up_however_many_months(spark):
+    days = [20231231, 20240100, 20240101, 20240131, 20240199, 20240200, 20240301, 20240315, 20240400,
+            2024010, 202401011, 0, -1, None]
+    df = spark.createDataFrame([(d,) for d in days], "anomesdia int")
+    months = [202401, 202403]
+    got = [r[0] for r in df.where(R.in_months(df.anomesdia, months)).collect()]
+    assert got == [d for d in days if d is not None and any(m * 100 <= d <= m * 100 + 99 for m in months)]
+
+    def comparisons(months):
+        plan = df.where(R.in_months(df.anomesdia, months))._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("anomesdia#")
+    assert comparisons([202000 + m for m in range(1, 100)]) == comparisons([202001, 202003])
+
+
+def test_stored_months_match_the_matrix(spark, tx, scratch_dir):
+    stored = R.RevenueMonths(spark, f"{scratch_dir}/months")
+    stored.replace(tx, [202401, 202311])
+    stored.replace(tx, ["202312", 202201])
+    assert _by_pdv(stored.matrix(AS_OF, 3)) == _by_pdv(R.revenue_matrix(tx, AS_OF, 3))
