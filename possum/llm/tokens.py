@@ -3,15 +3,16 @@
 The vocabulary lower-cases, drops white space and never merges across it, so
 a text's ids are those of its white-space chunks in order.  ``WordIds`` looks
 the chunks themselves (no hashes of them) up in a bounded table per worker and
-asks the tokenizer only for new ones.  A chunk of plain letters with trailing punctuation is asked
-for as its lower-cased letters and its punctuation, which the tokenizer
-separates as well.  A text holding a character on which this split and the
+asks the tokenizer only for new ones.  Lower-casing and a mark after a word's
+last letter are taken off whole segments before the look-up; a chunk of plain
+letters with more punctuation is asked for as its letters and its punctuation,
+which the tokenizer separates as well.  A text holding a character on which this split and the
 tokenizer could disagree about white space goes to the tokenizer whole.
 """
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -27,6 +28,12 @@ SEGMENT = 1 << 20
 # Unicode white space and separators beyond ASCII's plain white space.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 TRAIL = ".,!?;:|*$%&#()[]\"-"
+# Stands between texts that are looked up together; never part of UTF-8.
+BETWEEN = b"\xff"
+_JOIN = b" \xff "
+# 1: ASCII letter, 2: mark of TRAIL, 3: white space.
+_KIND = bytes(1 if chr(b).isalpha() and b < 128 else 2 if b < 128 and chr(b) in TRAIL
+              else 3 if b in b" \t\n\r\x0b\x0c" else 0 for b in range(256))
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -48,10 +55,41 @@ def _cut(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
+def _mark_apart(data: bytes) -> bytes:
+    """``data``, which ends in white space, with a blank between an ASCII letter and one
+    mark at a chunk's end.  The tokenizer separates them as well."""
+    kind = np.frombuffer(data.translate(_KIND), dtype=np.uint8)
+    lone = np.flatnonzero((kind[:-2] == 1) & (kind[1:-1] == 2) & (kind[2:] == 3)) + 1
+    if not len(lone):
+        return data
+    out = np.full(len(data) + len(lone), 32, dtype=np.uint8)
+    old = np.ones(len(out), dtype=bool)
+    old[lone + np.arange(len(lone))] = False
+    out[old] = np.frombuffer(data, dtype=np.uint8)
+    return out.tobytes()
+
+
+def _lowered(text: str) -> bytes:
+    """The text in UTF-8; ASCII letters are lower-cased where that changes no id: no
+    character composes with a letter, and no special token is in it."""
+    data = text.encode()
+    if text.isascii() or np.frombuffer(data, dtype=np.uint8).max() <= 0xC3:  # up to U+00FF
+        return data if b"<|" in data else data.lower()
+    return data
+
+
+def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Indices start, start + 1, ... of every span, one after the other."""
+    stop = np.cumsum(length)
+    return np.repeat(start - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)
+
+
 class Chunks(dict[bytes, int]):
-    """Numbers of chunks; ``new`` lists those that were numbered by a look-up."""
+    """Numbers of chunks; ``new`` lists those that were numbered by a look-up.
+    Number 0 is ``BETWEEN``."""
 
     def __init__(self) -> None:
+        self[BETWEEN] = 0
         self.new: list[bytes] = []
 
     def __missing__(self, chunk: bytes) -> int:
@@ -63,14 +101,22 @@ class Chunks(dict[bytes, int]):
 class WordIds:
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        # The same model for words that are already lower-cased and split.
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = None
-        self.words.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(),
+        # The same model for words that are already lower-cased and split.  They are
+        # new, so the model remembers none of them.
+        with open(path) as file:
+            spec = json.load(file)["model"]
+        model = models.BPE(
+            vocab=spec["vocab"],
+            merges=[tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]],
+            cache_capacity=0, end_of_word_suffix=spec["end_of_word_suffix"])
+        self.words = Tokenizer(model)  # of printable ASCII, which byte-level symbols keep
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.beyond = Tokenizer(model)
+        self.beyond.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.CharDelimiterSplit(" "),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.whole.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -79,119 +125,97 @@ class WordIds:
         self._empty()
 
     def _empty(self) -> None:
-        """Forget all. Entry 0 of the cores is the empty one."""
-        self.cores: dict[str, int] = {"": 0}
+        """Forget all. Chunk 0, between texts, has no ids."""
+        self.known = Chunks()
         self.start = np.zeros(1 << 16, dtype=np.int64)
         self.length = np.zeros(1 << 16, dtype=np.int64)
+        self.uses = np.zeros(1 << 16, dtype=np.int64)
         self.pool = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
-        self.known = Chunks()
-        self.first = np.zeros(1 << 16, dtype=np.int32)
-        self.second = np.zeros(1 << 16, dtype=np.int32)
-        self.uses = np.zeros(1 << 16, dtype=np.int64)
 
     def _forget_rare(self) -> None:
         """Keep the chunks that were met again, the most used ones, at most half a table."""
         uses = self.uses[:len(self.known)]
         keep = np.flatnonzero(uses > 1)
+        keep = keep[keep > 0]
         if len(keep) > self.limit // 2:
             keep = np.sort(keep[np.argsort(-uses[keep], kind="stable")[:self.limit // 2]])
-        chunks, cores = list(self.known), list(self.cores)
-        first, second, uses = self.first[keep], self.second[keep], uses[keep] // 2
-        held = np.zeros(len(cores), dtype=bool)
-        held[0] = held[first] = held[second] = True
-        place = (np.cumsum(held) - 1).astype(np.int32)
-        held = np.flatnonzero(held)
-        start, length, pool = self.start[held], self.length[held], self.pool
+        chunks = list(self.known)
+        start, length, uses, pool = self.start[keep], self.length[keep], uses[keep] // 2, self.pool
         self._empty()
-        self.cores = {cores[k]: i for i, k in enumerate(held.tolist())}
-        stop = np.cumsum(length)
-        ids = pool[np.repeat(start - (stop - length), length) + np.arange(stop[-1])]
-        self._store(np.arange(len(held)), ids, length)
         for k in keep.tolist():
             self.known[chunks[k]]
         self.known.new.clear()
-        self._room()
-        self.first[:len(keep)], self.second[:len(keep)] = place[first], place[second]
-        self.uses[:len(keep)] = uses
-
-    def _room(self) -> None:
-        while len(self.known) > len(self.first):
-            self.first, self.second, self.uses = (
-                np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.second, self.uses))
+        at = np.arange(1, len(keep) + 1)
+        self._store(at, pool[_spans(start, length)], length)
+        self.uses[at] = uses
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         got = self.whole.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in got]
 
     def _store(self, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Ids of the cores numbered ``at``, one after the other in ``ids``."""
+        """Ids of the chunks numbered ``at``, one after the other in ``ids``."""
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while len(self.cores) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        while len(self.known) > len(self.start):
+            self.start, self.length, self.uses = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.uses))
         self.pool[self.used:self.used + len(ids)] = ids
         self.start[at] = self.used + np.cumsum(sizes) - sizes
         self.length[at] = sizes
         self.used += len(ids)
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Cores of the newest chunks."""
-        cores, plain, other, first, second = self.cores, [], [], [], []
-        get = cores.get
-        for chunk in chunks:
-            core = chunk.rstrip(TRAIL)
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Ids of the newest chunks."""
+        first = len(self.known) - len(chunks)
+        plain, at, beyond, beyond_at, other, other_at = [], [], [], [], [], []
+        for number, chunk in enumerate(chunks, first):
+            if chunk.isalpha():  # ASCII letters
+                plain.append(chunk)
+                at.append(number)
+                continue
+            text = chunk.decode()
+            core = text.rstrip(TRAIL)
             if core.isalpha() and (core.isascii() or max(core) < "Ā"):
-                names, into = (core.lower(), chunk[len(core):]), plain
+                into, own = (plain, at) if core.isascii() else (beyond, beyond_at)
+                into.append(core.encode())
+                own.append(number)
+                if len(core) < len(text):
+                    into.append(text[len(core):].encode())
+                    own.append(number)
             else:
-                names, into = (chunk, ""), other
-            for name, places in zip(names, (first, second)):
-                at = get(name)
-                if at is None:
-                    at = cores[name] = len(cores)
-                    into.append(name)
-                places.append(at)
-        if plain:
-            ids = np.array(self.words.encode_batch_fast(
-                [" ".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+                other.append(text)
+                other_at.append(number)
+        for words, own, coder in ((plain, at, self.words), (beyond, beyond_at, self.beyond)):
+            if not words:
+                continue
+            ids = np.array(coder.encode_batch_fast(
+                [b" ".join(words).decode().lower()], add_special_tokens=False)[0].ids, dtype=np.uint32)
             sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
-            if len(sizes) != len(plain):
+            if len(sizes) != len(words):
                 raise AssertionError("a word without exactly one end token")
-            self._store(np.array([cores[c] for c in plain]), ids, sizes)
+            begins = np.flatnonzero(np.diff(own, prepend=-1))
+            self._store(np.array(own)[begins], ids, np.add.reduceat(sizes, begins))
         if other:
             got = self._whole(other)
-            self._store(np.array([cores[c] for c in other]), np.concatenate(got),
-                        np.array([len(ids) for ids in got]))
-        self._room()
-        at = len(self.known) - len(chunks)
-        self.first[at:len(self.known)] = first
-        self.second[at:len(self.known)] = second
+            self._store(np.array(other_at), np.concatenate(got), np.array([len(ids) for ids in got]))
 
     def _segment(self, parts: list[bytes]) -> list[np.ndarray]:
         """Ids of each part; all parts together are about one segment."""
         if len(self.known) > self.limit:
             self._forget_rare()
-        chunks = [part.split() for part in parts]  # at ASCII white space
-        sizes = [len(c) for c in chunks]
-        word = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(chunks)),
-                           np.int64, sum(sizes))
-        if not len(word):
-            return [np.zeros(0, dtype=np.uint32)] * len(parts)
+        chunks = _mark_apart(_JOIN.join(parts) + b" ").split()  # at ASCII white space
+        word = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
         if self.known.new:
-            self._learn([c.decode() for c in self.known.new])
+            self._learn(self.known.new)
             self.known.new.clear()
-        met = np.bincount(word)
+        met = np.bincount(word, minlength=1)
         self.uses[:len(met)] += met
-        core = np.empty(2 * len(word), dtype=np.int64)
-        core[0::2], core[1::2] = self.first[word], self.second[word]
-        size = self.length[core]
-        stop = np.cumsum(size)
-        pick = np.repeat(self.start[core] - (stop - size), size) + np.arange(stop[-1])
-        ids = self.pool[pick]
-        last = np.cumsum(sizes)[:-1]
-        bounds = np.concatenate([[0], stop[1::2]])[last]
-        return np.split(ids, bounds)
+        size = self.length[word]
+        stop = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[_spans(self.start[word], size)]
+        return np.split(ids, stop[np.flatnonzero(word == 0)])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
@@ -209,7 +233,7 @@ class WordIds:
             if ODD_SPACE.search(text):
                 out[i].append(self._whole([text])[0])
                 continue
-            for part in _cut(text.encode()):
+            for part in _cut(_lowered(text)):
                 queue.append((i, part))
                 held += len(part) + 1
                 if held >= SEGMENT:

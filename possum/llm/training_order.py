@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -36,6 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import materialise
+from ..plans.session import settings
 from .common import map_rows, shared_path, ship, text_of
 from .tokens import vocabulary_path, word_ids
 
@@ -204,17 +206,15 @@ def read_layout(spark: SparkSession, path: str) -> Layout:
     return Layout(**json.loads(spark.read.text(f"{path}-layout").first()["value"]))
 
 
-def read_order(spark: SparkSession, path: str, start: int = 0, stop: int | None = None) -> DataFrame:
-    """(slot, shard, byte_offset, ids) of slots start..stop-1; only their shards are read."""
-    layout = read_layout(spark, path)
-    stop = layout.sequences if stop is None else min(stop, layout.sequences)
-    schema = "slot bigint, shard int, byte_offset bigint, ids binary"
-    if start >= stop:
-        return spark.createDataFrame([], schema)
+def _read(spark: SparkSession, path: str, layout: Layout, start: int, stop: int, schema: str,
+          columns: Callable[[list[bytes]], list[pa.Array]]) -> DataFrame:
+    """slot, shard, byte_offset and ``columns`` of the records of slots start..stop-1."""
     shard = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
     files = (spark.read.format("binaryFile").load(path).select(shard.alias("shard"), "content")
              .where(F.col("shard").between(start // layout.per_shard,
                                            (stop - 1) // layout.per_shard)))
+    names = spark.createDataFrame([], schema).columns
+    ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_ids.cache_clear()  # the worker's token tables make room for the shards
@@ -230,27 +230,45 @@ def read_order(spark: SparkSession, path: str, start: int = 0, stop: int | None
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(numbers, pa.int64()), pa.array([shard_no] * len(begins), pa.int32()),
                          pa.array(begins, pa.int64()),
-                         pa.array([bytes(content[b:b + layout.stride - 1]) for b in begins],
-                                  pa.binary())],
-                        names=["slot", "shard", "byte_offset", "ids"])
+                         *columns([content[b:b + layout.stride - 1] for b in begins])], names=names)
 
     return files.mapInArrow(run, schema)
 
 
+def read_order(spark: SparkSession, path: str, start: int = 0, stop: int | None = None) -> DataFrame:
+    """(slot, shard, byte_offset, ids) of slots start..stop-1; only their shards are read."""
+    layout = read_layout(spark, path)
+    stop = layout.sequences if stop is None else min(stop, layout.sequences)
+    schema = "slot bigint, shard int, byte_offset bigint, ids binary"
+    if start >= stop:
+        return spark.createDataFrame([], schema)
+    return _read(spark, path, layout, start, stop, schema,
+                 lambda records: [pa.array([bytes(r) for r in records], pa.binary())])
+
+
+def _digests(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
+    """slot, shard, byte_offset, n_ids, ids_crc32 of every record as it is read back.
+
+    One Python pass over one shard at a time: a second worker beside the reader, or
+    a batch of several shards, would hold an executor's memory for nothing.
+    """
+    schema = "slot bigint, shard int, byte_offset bigint, n_ids int, ids_crc32 bigint"
+    if not layout.sequences:
+        return spark.createDataFrame([], schema)
+    found = _read(spark, path, layout, 0, layout.sequences, schema,
+                  lambda records: [pa.array([len(r) // 2 for r in records], pa.int32()),
+                                   pa.array([zlib.crc32(r) for r in records], pa.int64())])
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
+        return materialise(found)
+
+
 def training_order(docs: DataFrame) -> DataFrame:
     """Write the order to the shared folder; one row per sequence read back:
     slot, shard, byte_offset, n_ids, ids_crc32 (of its bytes), doc_ids."""
     spark = docs.sparkSession
     path = shared_path(spark, "training_order")
-    _, listed = materialise_order(docs, path)
-    back = read_order(spark, path)
-
-    def rows(batch: list[dict]) -> Iterator[tuple]:
-        for r in batch:
-            yield r["slot"], r["shard"], r["byte_offset"], len(r["ids"]) // 2, zlib.crc32(r["ids"])
-
-    found = map_rows(back, "slot bigint, shard int, byte_offset bigint, n_ids int, "
-                           "ids_crc32 bigint", rows)
+    layout, listed = materialise_order(docs, path)
+    found = _digests(spark, path, layout)
     # At most SEQUENCE pieces in a sequence.
     docs_in = listed.groupBy("slot").agg(F.array_sort(F.collect_list(F.struct("place", "doc_id")))
                                          .alias("parts"))

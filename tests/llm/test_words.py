@@ -61,6 +61,33 @@ def test_ids_do_not_depend_on_a_full_cache(coder):
         assert [g.tolist() + [1] for g in got] == [ids_of(coder, t) for t in part]
 
 
+def test_marks_case_and_odd_characters_keep_the_tokenizers_ids(coder):
+    rng = random.Random(5)
+    plain = [*"abcdTHEZéÀßµª'.,!?-|<>0 1\n\t", *[" "] * 6, "'s", "a,", "b).", "!!", ", ", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    odd = ["\u0308", "T\u0308", "\u0130", "\u03a3", "\u03c2", "\u00f8,", "\ufb01", "\u212a", "\u4e2d", "\x85"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40)))
+             for alphabet in (plain, plain + odd) for _ in range(1500)]
+    for entries in (300_000, 40):
+        words = WordIds(vocabulary_path(), cache_entries=entries)
+        for part in itertools.batched(texts, 50):
+            got = words.encode_batch(list(part))
+            assert [g.tolist() + [1] for g in got] == [ids_of(coder, t) for t in part]
+
+
+def test_case_and_a_mark_take_no_entry_of_their_own():
+    words = WordIds(vocabulary_path())
+    words.encode_batch(["Onerer, onerer. ONERER\nonerer; nd,", "naïve NaÏve, naïve"])
+    assert sorted(words.known)[:-1] == sorted([b",", b".", b";", b"onerer", b"nd", "naïve".encode(), "naÏve".encode()])
+
+
+def test_an_order_is_read_back_by_one_worker_per_task(spark):
+    texts = ["a few words here"] * 9 + [None, ""]
+    found = training_order.training_order(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    # What is left to do lists the documents; the records were read in one pass and stored.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [r["n_ids"] for r in found.collect()] == [training_order.SEQUENCE]
+
+
 def compared(rows, cross):
     sets = [set(near_join.shingles(r["text"]).tolist()) for r in rows]
     n = len(rows)
