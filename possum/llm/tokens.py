@@ -78,7 +78,7 @@ def _lowered(text: str) -> bytes:
     return data
 
 
-def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of every span, one after the other."""
     stop = np.cumsum(length)
     return np.repeat(start - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)
@@ -147,7 +147,7 @@ class WordIds:
             self.known[chunks[k]]
         self.known.new.clear()
         at = np.arange(1, len(keep) + 1)
-        self._store(at, pool[_spans(start, length)], length)
+        self._store(at, pool[spans(start, length)], length)
         self.uses[at] = uses
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -214,7 +214,7 @@ class WordIds:
         self.uses[:len(met)] += met
         size = self.length[word]
         stop = np.concatenate([[0], np.cumsum(size)])
-        ids = self.pool[_spans(self.start[word], size)]
+        ids = self.pool[spans(self.start[word], size)]
         return np.split(ids, stop[np.flatnonzero(word == 0)])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:

@@ -367,3 +367,29 @@ def test_merge_dropout_varies_by_occurrence():
         assert abs(parts.count(tuple(ids)) - want.count(ids)) < 500
         assert len(set(parts)) > (4 if merges > 3 else 1)
     assert coder.encode("the same text").tolist() == coder.encode("the same text").tolist()
+
+
+@pytest.mark.parametrize("rate,entries", [(0.1, 800_000), (0.1, 64), (0.5, 1), (1.0, 64), (0.0, 64)])
+def test_merge_dropout_side_by_side_agrees_with_each_part_alone(rate, entries):
+    path = vocabulary_path(merge_dropout.VOCABULARY)
+    rng = np.random.default_rng(5)
+    alphabet = [*"abcdetheonrsZé▁'.,!?-|\n\t  ", "中", "😀", " the", " onthing", " inernationalising", "x" * 30]
+    some = ["".join(rng.choice(alphabet, n)) for n in rng.integers(0, 90, 120)] + ["", "a", " ", "ab" * 300]
+    some += some[:20]
+    coder = merge_dropout.Dropout(path, rate, 3, cache_entries=entries)
+    for t, ids in zip(some, coder.encode_batch(some)):
+        parts = coder.split(t)
+        draws = coder.draws(t, len(parts)).tolist()
+        assert ids.tolist() == [i for p, d in zip(parts, draws) for i in coder.encode_part(p, d)]
+        assert ids.tolist() == coder.encode(t).tolist()
+
+
+def test_merge_dropout_merges_known_characters_side_by_side(docs, monkeypatch):
+    path = vocabulary_path(merge_dropout.VOCABULARY)
+    coder = merge_dropout.Dropout(path, 0.1, 7)
+    known = [t for _, t in texts(docs) if t.isascii() and "\t" not in t][:20]
+    alone = []
+    encoded = coder._encoded
+    monkeypatch.setattr(coder, "_encoded", lambda part, gaps: alone.append(part) or encoded(part, gaps))
+    coder.encode_batch(known)
+    assert known and all(len(p) >= merge_dropout.SHORT or any(coder.single[ord(c)] < 0 for c in p) for p in alone)
