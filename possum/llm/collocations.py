@@ -12,7 +12,9 @@ Two passes over the texts find every phrase of 1 to 4 words with at least
 2. The surviving classes become a bit filter of at most 2 x 2**29 bits, which
    is broadcast.  The texts are read again and only n-grams that pass the
    filter, with all their shorter parts, are counted, as text, map-side per
-   chunk and then by Spark.  The counts are exact: neither hash decides them.
+   chunk and then by Spark.  A chunk ships the longest such n-gram of each place
+   only; the shorter ones that start there are summed from the merged counts.
+   The counts are exact: neither hash decides them.
 
 Beyond 2**26 surviving classes the filter passes more n-grams to the exact
 count; the result stays the same and the cost linear.
@@ -394,7 +396,9 @@ def _filter_of(survivors: DataFrame, layout: Layout) -> Filter:
 
 
 def _phrases(chunk: Chunk, known: Filter) -> Iterator[pa.RecordBatch]:
-    """Exact counts of the chunk's n-grams that pass the filter with all their parts."""
+    """Exact counts of the chunk's n-grams that pass the filter with all their parts: each
+    place counts once, for the longest that starts there.  The shorter ones there are its
+    first words, so their counts are sums over the longer."""
     def batch(langs: list[str], size: int, phrases: list[bytes], n: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([
             pa.array(langs, pa.string()), pa.array(np.full(len(n), size, np.int32)),
@@ -404,29 +408,38 @@ def _phrases(chunk: Chunk, known: Filter) -> Iterator[pa.RecordBatch]:
     totals = chunk.words_by_lang()
     yield batch(chunk.langs, 0, [b""] * len(totals), totals)
     names, tok = chunk.names, chunk.tok
-    kept = rank = None
+
+    def ended(size: int, starts: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        met = np.flatnonzero(counts)
+        for i in range(0, len(met), 200_000):
+            some = starts[met[i:i + 200_000]]
+            words = [[names[t] for t in tok[some + k].tolist()] for k in range(size)]
+            yield batch([chunk.langs[k] for k in chunk.lang[some].tolist()], size,
+                        [b" ".join(w) for w in zip(*words)], counts[met[i:i + 200_000]])
+
+    kept = rank = starts = None
     for n, classes, inside in chunk.grams():
         if n > 1:
             inside = inside & kept[:-1] & kept[1:]
         at = np.flatnonzero(inside)
         at = at[known.passes(classes[at])]
+        if n > 1:
+            longest = kept.copy()
+            longest[at] = False
+            yield from ended(n - 1, starts, np.bincount(rank[longest], minlength=len(starts)))
         if not len(at):
             return
         # Numbers of equal n-grams, exact: the number of the n-gram's first
         # n - 1 words (of its language at n = 1) beside its last word.
         ahead = rank[at] if n > 1 else chunk.lang[at].astype(np.int64)
-        _, first, same, count = np.unique(ahead << 32 | tok[at + n - 1], return_index=True,
-                                          return_inverse=True, return_counts=True)
+        _, first, same = np.unique(ahead << 32 | tok[at + n - 1], return_index=True,
+                                   return_inverse=True)
         kept = np.zeros(len(classes), dtype=bool)
         kept[at] = True
         rank = np.zeros(len(classes), dtype=np.int64)
         rank[at] = same
         starts = at[first]
-        for i in range(0, len(starts), 200_000):
-            some = starts[i:i + 200_000]
-            words = [[names[t] for t in tok[some + k].tolist()] for k in range(n)]
-            yield batch([chunk.langs[k] for k in chunk.lang[some].tolist()], n,
-                        [b" ".join(w) for w in zip(*words)], count[i:i + 200_000])
+    yield from ended(LONGEST, starts, np.bincount(rank[kept], minlength=len(starts)))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST,
@@ -447,9 +460,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST,
         for chunk in _chunks(batches, layout):
             yield from _phrases(chunk, known.value)
 
-    counted = materialise(texts.mapInArrow(count, _COUNTS)
-                          .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-                          .where((F.col("size") == 0) | (F.col("n") >= least)))
+    longest = (texts.mapInArrow(count, _COUNTS)
+               .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")))
+    counted = materialise(longest.select("lang", "phrase", "n", F.explode(
+        F.expr("sequence(least(size, 1), size)")).alias("size"))
+        .select("lang", "size", F.expr("substring_index(phrase, ' ', size)").alias("phrase"), "n")
+        .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+        .where((F.col("size") == 0) | (F.col("n") >= least)))
     known.unpersist()
     return counted
 

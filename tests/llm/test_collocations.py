@@ -99,3 +99,18 @@ def test_summary_loses_no_frequent_class():
 def test_packing_round_trip():
     values = np.array([0, 1, 255, 256, 2**40, 2**64 - 1], dtype=np.uint64)
     assert (C._unpack(C._pack(values)) == values).all()
+
+
+def test_a_chunk_ships_each_place_once():
+    words = C.Words()
+    ids = words.ids("a b c d e. a b c d e. a b")
+    chunk = C.Chunk(words, ["en"], ids, [0], [sum(map(len, ids))], C.Layout.of(1000))
+
+    class Every:
+        def passes(self, classes):
+            return np.ones(len(classes), dtype=bool)
+
+    rows = [r for b in C._phrases(chunk, Every()) for r in b.to_pylist()]
+    assert sorted((r["phrase"], r["n"]) for r in rows if r["size"]) == [
+        ("a b", 1), ("a b c d", 2), ("b", 1), ("b c d e", 2), ("c d e", 2), ("d e", 2), ("e", 2)]
+    assert [r["n"] for r in rows if not r["size"]] == [12]
