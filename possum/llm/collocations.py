@@ -11,10 +11,12 @@ Two passes over the texts find every phrase of 1 to 4 words with at least
    each of its n-grams; two n-grams in one class only keep more.)
 2. The surviving classes become a bit filter of at most 2 x 2**29 bits, which
    is broadcast.  The texts are read again and only n-grams that pass the
-   filter, with all their shorter parts, are counted, as text, map-side per
-   chunk and then by Spark.  A chunk ships the longest such n-gram of each place
-   only; the shorter ones that start there are summed from the merged counts.
-   The counts are exact: neither hash decides them.
+   filter, with all their shorter parts, are counted, as text.  A place counts
+   for the longest such n-gram that starts there only; the shorter ones there are
+   summed from the merged counts.  A task sums the phrases of its chunks and
+   ships them as one packed table per hash partition, which sums them again.
+   The counts are exact: neither hash decides them.  The phrases shipped are
+   at most one per word of the text, however many become frequent.
 
 Beyond 2**26 surviving classes the filter passes more n-grams to the exact
 count; the result stays the same and the cost linear.
@@ -40,6 +42,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,6 +64,8 @@ VOCABULARY = 1_000_000
 PARTITION_MASS = 1 << 27
 FEWEST_PARTITIONS = 64
 SMALLEST_SUMMARY = 1 << 20
+# Bytes of counted phrases that a task holds before it sends them on.
+HELD_BYTES = 48 << 20
 FILTER_BITS = (20, 29)
 
 BREAK = b"\xff"  # never part of UTF-8
@@ -272,6 +277,7 @@ class Summary:
 
 _SHIPPED = "part int, kind int, mass bigint, classes binary, counts binary"
 _SURVIVORS = "part int, n bigint, classes binary"
+_PACKED = "part int, counts binary"
 _COUNTS = "lang string, size int, phrase string, n bigint"
 
 
@@ -399,25 +405,30 @@ def _phrases(chunk: Chunk, known: Filter) -> Iterator[pa.RecordBatch]:
     """Exact counts of the chunk's n-grams that pass the filter with all their parts: each
     place counts once, for the longest that starts there.  The shorter ones there are its
     first words, so their counts are sums over the longer."""
-    def batch(langs: list[str], size: int, phrases: list[bytes], n: np.ndarray) -> pa.RecordBatch:
+    def batch(langs: list[str], size: int, phrases: list[bytes], n: np.ndarray,
+              classes: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([
             pa.array(langs, pa.string()), pa.array(np.full(len(n), size, np.int32)),
             pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64)),
-        ], ["lang", "size", "phrase", "n"])
+            pa.array(chunk.layout.part_of(classes).astype(np.int32)),
+        ], ["lang", "size", "phrase", "n", "part"])
 
     totals = chunk.words_by_lang()
-    yield batch(chunk.langs, 0, [b""] * len(totals), totals)
+    yield batch(chunk.langs, 0, [b""] * len(totals), totals,
+                chunk.lang_hash >> np.uint64(64 - chunk.layout.class_bits))
     names, tok = chunk.names, chunk.tok
 
-    def ended(size: int, starts: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def ended(size: int, starts: np.ndarray, counts: np.ndarray,
+              classes: np.ndarray) -> Iterator[pa.RecordBatch]:
         met = np.flatnonzero(counts)
         for i in range(0, len(met), 200_000):
             some = starts[met[i:i + 200_000]]
             words = [[names[t] for t in tok[some + k].tolist()] for k in range(size)]
             yield batch([chunk.langs[k] for k in chunk.lang[some].tolist()], size,
-                        [b" ".join(w) for w in zip(*words)], counts[met[i:i + 200_000]])
+                        [b" ".join(w) for w in zip(*words)], counts[met[i:i + 200_000]],
+                        classes[some])
 
-    kept = rank = starts = None
+    kept = rank = starts = shorter = None
     for n, classes, inside in chunk.grams():
         if n > 1:
             inside = inside & kept[:-1] & kept[1:]
@@ -426,7 +437,8 @@ def _phrases(chunk: Chunk, known: Filter) -> Iterator[pa.RecordBatch]:
         if n > 1:
             longest = kept.copy()
             longest[at] = False
-            yield from ended(n - 1, starts, np.bincount(rank[longest], minlength=len(starts)))
+            yield from ended(n - 1, starts, np.bincount(rank[longest], minlength=len(starts)),
+                             shorter)
         if not len(at):
             return
         # Numbers of equal n-grams, exact: the number of the n-gram's first
@@ -438,12 +450,99 @@ def _phrases(chunk: Chunk, known: Filter) -> Iterator[pa.RecordBatch]:
         kept[at] = True
         rank = np.zeros(len(classes), dtype=np.int64)
         rank[at] = same
-        starts = at[first]
-    yield from ended(LONGEST, starts, np.bincount(rank[kept], minlength=len(starts)))
+        starts, shorter = at[first], classes
+    yield from ended(LONGEST, starts, np.bincount(rank[kept], minlength=len(starts)), shorter)
+
+
+class Sums:
+    """Sums of counted phrases in a bounded room: what does not fit is sent on early and
+    added up by whoever comes next."""
+
+    def __init__(self, keys: list[str], most: int):
+        self.keys = keys
+        self.most = most
+        self.settled: pa.Table | None = None
+        self.waiting: list[pa.Table] = []
+        self.held = 0
+
+    def add(self, counts: pa.Table) -> Iterator[pa.Table]:
+        self.waiting.append(counts)
+        self.held += counts.nbytes
+        if self.held > self.most // 2:
+            self.settle()
+            if self.settled.nbytes > self.most // 2:
+                yield from self.take()
+
+    def settle(self) -> None:
+        if self.waiting:
+            parts = self.waiting if self.settled is None else [self.settled, *self.waiting]
+            self.settled = (pa.concat_tables(parts).group_by(self.keys, use_threads=False)
+                            .aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+                            .select(parts[0].column_names))
+            self.waiting, self.held = [], 0
+
+    def take(self) -> Iterator[pa.Table]:
+        self.settle()
+        if self.settled is not None and self.settled.num_rows:
+            yield self.settled
+        self.settled = None
+
+
+def _packed(counts: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, counts.schema,
+                           options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(counts)
+    return sink.getvalue().to_pybytes()
+
+
+def _ship_phrases(layout: Layout, known: Broadcast[Filter], most: int):
+    """One row per partition for all the phrases a task has met, or for each time its room
+    was full."""
+    def packed(sums: pa.Table) -> Iterator[pa.RecordBatch]:
+        sums = sums.sort_by([("part", "ascending"), ("lang", "ascending"), ("phrase", "ascending")])
+        part = sums["part"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        ends = np.append(starts[1:], len(part))
+        counts = sums.select(["lang", "size", "phrase", "n"])
+        for a, b in zip(starts, ends):
+            yield pa.record_batch([
+                pa.array(part[a:a + 1]),
+                pa.array([_packed(counts.slice(a, b - a).combine_chunks())], pa.binary()),
+            ], ["part", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums(["lang", "size", "phrase", "part"], most)
+        for chunk in _chunks(batches, layout):
+            for batch in _phrases(chunk, known.value):
+                for full in sums.add(pa.table(batch)):
+                    yield from packed(full)
+        for rest in sums.take():
+            yield from packed(rest)
+    return run
+
+
+def _sum_phrases(most: int):
+    """A partition's phrases with their counts; a phrase comes once more each time the
+    room was full."""
+    def rows_of(sums: pa.Table) -> Iterator[pa.RecordBatch]:
+        return iter(sums.select(["lang", "size", "phrase", "n"]).to_batches(max_chunksize=50_000))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums(["lang", "size", "phrase"], most)
+        for batch in batches:
+            for packed in batch.column(1):
+                with pa.ipc.open_stream(packed.as_buffer()) as stream:
+                    for full in sums.add(stream.read_all()):
+                        yield from rows_of(full)
+        for rest in sums.take():
+            yield from rows_of(rest)
+    return run
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST,
-                     smallest_summary: int = SMALLEST_SUMMARY) -> DataFrame:
+                     smallest_summary: int = SMALLEST_SUMMARY,
+                     held_bytes: int = HELD_BYTES) -> DataFrame:
     """lang, size, phrase, n: every phrase of 1 to 4 words with at least ``least``
     occurrences, and per lang one row of size 0 with the number of its words."""
     spark = docs.sparkSession
@@ -455,13 +554,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST,
     by_part = shipped.repartitionById(layout.parts, "part").sortWithinPartitions("part", "kind")
     survivors = materialise(by_part.mapInArrow(_summarise(least, smallest_summary), _SURVIVORS))
     known = spark.sparkContext.broadcast(_filter_of(survivors, layout))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, layout):
-            yield from _phrases(chunk, known.value)
-
-    longest = (texts.mapInArrow(count, _COUNTS)
-               .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")))
+    longest = (texts.mapInArrow(_ship_phrases(layout, known, held_bytes), _PACKED)
+               .repartitionById(layout.parts, "part")
+               .mapInArrow(_sum_phrases(held_bytes), _COUNTS))
     counted = materialise(longest.select("lang", "phrase", "n", F.explode(
         F.expr("sequence(least(size, 1), size)")).alias("size"))
         .select("lang", "size", F.expr("substring_index(phrase, ' ', size)").alias("phrase"), "n")

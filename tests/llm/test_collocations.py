@@ -4,6 +4,7 @@ import collections
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
@@ -114,3 +115,42 @@ def test_a_chunk_ships_each_place_once():
     assert sorted((r["phrase"], r["n"]) for r in rows if r["size"]) == [
         ("a b", 1), ("a b c d", 2), ("b", 1), ("b c d e", 2), ("c d e", 2), ("d e", 2), ("e", 2)]
     assert [r["n"] for r in rows if not r["size"]] == [12]
+
+
+def shipped(texts, most):
+    class Known:
+        class value:
+            @staticmethod
+            def passes(classes):
+                return np.ones(len(classes), dtype=bool)
+
+    layout = C.Layout.of(1000)
+    batch = pa.record_batch([pa.array(texts), pa.array(["en"] * len(texts))], ["text", "lang"])
+    packed = list(C._ship_phrases(layout, Known, most)(iter([batch])))
+    merged = collections.Counter()
+    for b in C._sum_phrases(most)(iter(packed)):
+        for r in b.to_pylist():
+            merged[r["size"], r["phrase"]] += r["n"]
+    return layout, packed, merged
+
+
+def test_rows_shipped_do_not_grow_with_chunks_and_phrases(monkeypatch):
+    monkeypatch.setattr(C, "CHUNK_WORDS", 50)
+    texts = [f"w{i % 97} w{i % 89} w{i % 83} x{i}" for i in range(1000)]
+    layout, packed, merged = shipped(texts, C.HELD_BYTES)
+    assert sum(b.num_rows for b in packed) <= layout.parts
+    want = collections.Counter({(0, ""): 4000})
+    for w in map(str.split, texts):
+        want.update((4 - k, " ".join(w[k:])) for k in range(4))
+    assert merged == want
+    for most in (1000, 20_000, 100_000):  # little room: the same counts in more rows
+        assert shipped(texts, most)[2] == want
+
+
+def test_little_room_matches_counting(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text", "lang").limit(40)
+    rows = [tuple(r) for r in docs.collect()]
+    some = spark.createDataFrame(rows, "text string, lang string")
+    little, plenty = (sorted(map(tuple, C.frequent_phrases(some, 2, 1, held).collect()))
+                      for held in (1000, C.HELD_BYTES))
+    assert little == plenty and len(little) > 3
